@@ -92,10 +92,15 @@ def _range_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFram
 
 
 def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
-                prefix: str = "prev_", descending: bool = False) -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key."""
+                prefix: str = "prev_", descending: bool = False,
+                hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
+    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
+
+    ``hot`` may pass a ``hot_keys`` result computed once for a parent of ``df``
+    (a subset of rows has no hotter keys), saving a sampling pass.
+    """
     keys, order, cols = list(keys), list(order), list(cols)
-    hot, overflow = hot_keys(df, keys)
+    hot, overflow = hot if hot is not None else hot_keys(df, keys)
     if overflow:
         return _range_lag(df, keys, order, cols, prefix, descending)
     if hot is None:
@@ -108,6 +113,6 @@ def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str
 
 
 def ordered_lead(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
-                 prefix: str = "next_") -> DataFrame:
+                 prefix: str = "next_", hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
     """``lead`` is the lag of the reversed order."""
-    return ordered_lag(df, keys, order, cols, prefix=prefix, descending=True)
+    return ordered_lag(df, keys, order, cols, prefix=prefix, descending=True, hot=hot)

@@ -88,7 +88,7 @@ def company_dimension_from_customer(customer: DataFrame) -> DataFrame:
     )
 
 
-def index_rows_from_events(events: DataFrame) -> DataFrame:
+def index_rows_from_events(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Daily-index rows (bronze filing_index payload fields, all strings).
 
     One filing per event: accession from (event id, year, user), cik = user,
@@ -104,6 +104,7 @@ def index_rows_from_events(events: DataFrame) -> DataFrame:
         F.format_string("edgar/data/%d/%s.txt", F.col("user_id"), acc).alias("file_name"),
         acc.alias("accession_number"),
         F.to_date("ts").alias("logical_date"),
+        *[F.col(c) for c in extra],
     )
 
 

@@ -11,6 +11,11 @@ def pad(expr: str) -> str:
     return f"(CASE WHEN length({s}) < 10 THEN lpad({s}, 10, '0') ELSE {s} END)"
 
 
+CONCEPT_LIST = ("['Revenues', 'RevenueFromContractWithCustomerExcludingAssessedTax', 'NetIncomeLoss', "
+                "'OperatingIncomeLoss', 'GrossProfit', 'CostOfRevenue', 'Assets', 'AssetsCurrent', 'Liabilities', "
+                "'LiabilitiesCurrent', 'StockholdersEquity', 'CashAndCashEquivalentsAtCarryingValue', "
+                "'NetCashProvidedByUsedInOperatingActivities', 'EarningsPerShareBasic', 'EarningsPerShareDiluted']")
+
 GENERATED_AT = "TIMESTAMP '2026-01-01 00:00:00'"
 RUN_ID = "'run-00000000'"
 META = f"{GENERATED_AT} AS _generated_at, {RUN_ID} AS _run_id"

@@ -55,4 +55,5 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from factlake.plans import (  # noqa: F401
         gold_queries,
+        silver_queries,
     )
