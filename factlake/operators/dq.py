@@ -124,6 +124,6 @@ def gate(violations: DataFrame, check_name: str) -> None:
 def freshness(filings: DataFrame, now_ts: str, limit_hours: int = C.FRESHNESS_LIMIT_HOURS) -> DataFrame:
     """Serving health: stale when now - max(filed_date) exceeds the limit."""
     mx = filings.agg(F.max("filed_date").alias("gold_max_filed_date"))
-    age = F.timestampdiff("HOUR", F.col("gold_max_filed_date").cast("timestamp"), F.to_timestamp(F.lit(now_ts)))
+    age = F.expr(f"timestampdiff(HOUR, CAST(gold_max_filed_date AS TIMESTAMP), TIMESTAMP'{now_ts}')")
     return mx.select("gold_max_filed_date", age.cast("bigint").alias("age_hours"),
                      (age > F.lit(limit_hours)).alias("is_stale"))

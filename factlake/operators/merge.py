@@ -36,17 +36,16 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], att
     b = latest_per_key(batch.select(*key, order_col, *attrs), key, [order_col])
     if target is None:
         return b.select(*key, order_col, *attrs, ts.alias("_first_seen_ts"), ts.alias("_last_seen_ts"))
-    t = target.alias("t")
-    b = b.alias("b")
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    b = b.withColumn("_in_b", F.lit(True)).alias("b")
     on = reduce(lambda x, y: x & y, [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key])
     j = t.join(b, on, "full_outer")
-    has_b = F.col(f"b.{key[0]}").isNotNull() | reduce(
-        lambda x, y: x | y, [F.col(f"b.{c}").isNotNull() for c in [order_col]])
-    has_t = F.col("t._first_seen_ts").isNotNull()
+    has_b = F.col("b._in_b").isNotNull()
+    has_t = F.col("t._in_t").isNotNull()
     take_b = has_b & (~has_t | (F.col(f"b.{order_col}") >= F.col(f"t.{order_col}")))
-    out = [F.coalesce(F.col(f"t.{k}"), F.col(f"b.{k}")).alias(k) for k in key]
+    out = [F.when(has_t, F.col(f"t.{k}")).otherwise(F.col(f"b.{k}")).alias(k) for k in key]
     out += [F.when(take_b, F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in [order_col, *attrs]]
-    out += [F.coalesce(F.col("t._first_seen_ts"), ts).alias("_first_seen_ts"),
+    out += [F.when(has_t, F.col("t._first_seen_ts")).otherwise(ts).alias("_first_seen_ts"),
             F.when(has_b, ts).otherwise(F.col("t._last_seen_ts")).alias("_last_seen_ts")]
     return j.select(*out)
 

@@ -36,7 +36,7 @@ def concept_canonical(tag: Column) -> Column:
     return F.try_element_at(m, tag)
 
 
-def facts_from_lineitem(lineitem: DataFrame) -> DataFrame:
+def facts_from_lineitem(lineitem: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """silver.financial_fact rows: one assertion per lineitem row.
 
     cik = padded order key; concept = 'L' || line number; odd lines are instant
@@ -65,6 +65,7 @@ def facts_from_lineitem(lineitem: DataFrame) -> DataFrame:
         filed.alias("filed_date"),
         F.lit(None).cast("string").alias("frame"),
         filed.alias("logical_date"),
+        *[F.col(c).alias(c) for c in keep],
     )
 
 
@@ -73,6 +74,24 @@ def companies_from_customer(customer: DataFrame) -> DataFrame:
     return customer.select(K.pad_cik("c_custkey").alias("cik"), F.col("c_name").alias("company_name"))
 
 
+def facts_with_defects(lineitem: DataFrame) -> DataFrame:
+    """Facts whose defects follow from the data itself: unpadded cik on single-unit
+    lines, malformed accession at the top discount, empty unit when untaxed,
+    no value when undiscounted, period end before start on 50-unit lines."""
+    raw = ("l_orderkey", "l_quantity", "l_discount", "l_tax")
+    g = facts_from_lineitem(lineitem, keep=raw)
+    cols = {c: F.col(c) for c in g.columns if c not in raw}
+    cols["cik"] = F.when(F.col("l_quantity") == 1, F.col("l_orderkey").cast("string")).otherwise(cols["cik"])
+    cols["accession_number"] = (F.when(F.col("l_discount") >= 0.095,
+                                       F.regexp_replace(cols["accession_number"], "-", ""))
+                                .otherwise(cols["accession_number"]))
+    cols["unit"] = F.when(F.col("l_tax") == 0, F.lit("")).otherwise(cols["unit"])
+    cols["value"] = F.when(F.col("l_discount") == 0, F.lit(None).cast("decimal(38,6)")).otherwise(cols["value"])
+    cols["period_end"] = (F.when(F.col("l_quantity") == 50, F.lit("1994-12-31").cast("date"))
+                          .otherwise(cols["period_end"]))
+    return g.select(*[e.alias(n) for n, e in cols.items()])
+
+
 def company_dimension_from_customer(customer: DataFrame) -> DataFrame:
     """Current company attributes: nation key as SIC code, market segment as its description."""
     return customer.select(

@@ -40,6 +40,57 @@ FACTS = f"""
          CAST(l_shipdate AS DATE) AS logical_date
   FROM lineitem"""
 
+DEFECT_FACTS = FACTS.replace(
+    f"SELECT {pad('l_orderkey')} AS cik,",
+    f"SELECT CASE WHEN l_quantity = 1 THEN CAST(l_orderkey AS VARCHAR) ELSE {pad('l_orderkey')} END AS cik,"
+).replace(
+    "printf('%010d-%02d-%06d', l_partkey, year(l_shipdate) % 100, l_suppkey) AS accession_number",
+    "CASE WHEN l_discount >= 0.095 THEN replace(printf('%010d-%02d-%06d', l_partkey, year(l_shipdate) % 100, "
+    "l_suppkey), '-', '') ELSE printf('%010d-%02d-%06d', l_partkey, year(l_shipdate) % 100, l_suppkey) "
+    "END AS accession_number"
+).replace(
+    "'USD' AS unit", "CASE WHEN l_tax = 0 THEN '' ELSE 'USD' END AS unit"
+).replace(
+    "CAST(l_extendedprice AS DECIMAL(38,6)) AS value",
+    "CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(38,6)) END AS value"
+).replace(
+    "DATE '2001-12-31' AS period_end",
+    "CASE WHEN l_quantity = 50 THEN DATE '1994-12-31' ELSE DATE '2001-12-31' END AS period_end")
+
+# Row checks on silver.financial_fact in registry order: (name, good-row condition).
+FACT_ROW_CHECKS = (
+    ("fact_cik_padded", "regexp_matches(cik, '^[0-9]{10}$')", "reject"),
+    ("fact_accession_format", "regexp_matches(accession_number, '^[0-9]{10}-[0-9]{2}-[0-9]{6}$')", "reject"),
+    ("fact_unit_present", "unit IS NOT NULL AND length(unit) > 0", "reject"),
+    ("fact_value_present", "value IS NOT NULL", "reject"),
+    ("fact_period_end_present", "period_end IS NOT NULL", "reject"),
+    ("fact_period_order", "period_start IS NULL OR period_end >= period_start", "reject"),
+    ("fact_value_magnitude", "abs(value) < 1e15", "warn"),
+)
+
+SNAPSHOTS = f"""
+  SELECT cik, logical_date, 'Company ' || cik AS company_name, o_orderstatus AS sic,
+         o_orderpriority AS state_of_incorporation
+  FROM (SELECT {pad('o_custkey')} AS cik, CAST(o_orderdate AS DATE) AS logical_date, o_orderstatus, o_orderpriority,
+               row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
+        FROM orders) WHERE rn = 1"""
+
+# SCD-2 versions of the snapshots: (cik, tracked..., _hash_diff, valid_from, valid_to, is_current, seen).
+SCD2_CTES = dict(
+    snap=SNAPSHOTS,
+    hashed="""SELECT *, sha256(concat_ws('|', coalesce(company_name, ''), coalesce(sic, ''),
+                 coalesce(state_of_incorporation, ''))) AS _hash_diff FROM snap""",
+    marked="""SELECT *, lag(_hash_diff) OVER w AS p, lead(_hash_diff) OVER w AS n FROM hashed
+              WINDOW w AS (PARTITION BY cik ORDER BY logical_date)""",
+    kept="""SELECT *, p IS DISTINCT FROM _hash_diff AS is_start, n IS DISTINCT FROM _hash_diff AS is_end
+            FROM marked WHERE p IS DISTINCT FROM _hash_diff OR n IS DISTINCT FROM _hash_diff""",
+    spans="""SELECT *, CASE WHEN is_end THEN logical_date
+                 ELSE lead(logical_date) OVER (PARTITION BY cik ORDER BY logical_date) END AS last_seen FROM kept""",
+    versions="""SELECT cik, company_name, sic, state_of_incorporation, _hash_diff, logical_date AS valid_from,
+                  lead(logical_date) OVER (PARTITION BY cik ORDER BY logical_date) AS valid_to, last_seen
+                FROM spans WHERE is_start""",
+)
+
 COMPANIES = f"SELECT {pad('c_custkey')} AS cik, c_name AS company_name FROM customer"
 
 # Facts in gold scope with the previous assertion of the same fact attached.

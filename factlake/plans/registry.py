@@ -56,4 +56,6 @@ def load_all() -> None:
     from factlake.plans import (  # noqa: F401
         gold_queries,
         silver_queries,
+        quality_queries,
+        history_queries,
     )
