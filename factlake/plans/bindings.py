@@ -148,17 +148,18 @@ def company_snapshots_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def request_log_from_events(events: DataFrame) -> DataFrame:
-    """A fetch log: one request per event; status by event type."""
+    """A fetch log: one request per event; stream by user, status by event type."""
     status = (F.when(F.col("event_type") == "signup", 404)
               .when(F.col("event_type") == "error", 503)
               .when(F.col("event_type") == "purchase", 429)
               .otherwise(200))
+    streams = F.array(*[F.lit(s) for s in C.STREAMS])
     return events.select(
         F.col("event_id").alias("request_id"),
         F.col("ts").alias("requested_at"),
-        F.col("user_id").alias("resource_key"),
+        K.pad_cik("user_id").alias("resource_cik"),
         K.submissions_url("user_id").alias("url"),
-        F.lit("company_submissions").alias("stream"),
+        F.element_at(streams, (F.col("user_id") % 3 + 1).cast("int")).alias("stream"),
         status.alias("http_status"),
     )
 
@@ -169,7 +170,21 @@ def universe_from_customer(customer: DataFrame) -> DataFrame:
 
 def completed_from_orders(orders: DataFrame) -> DataFrame:
     """Pairs already fetched in an interrupted run: concept 1 for customers
-    that have an order with order key divisible by 3."""
+    that have an order with order key divisible by 3; even customers' concept
+    was not reported (null envelope, still done)."""
     return (orders.where(F.col("o_orderkey") % 3 == 0)
-            .select(K.pad_cik("o_custkey").alias("cik"), F.lit(C.CONCEPT_SET[0]).alias("concept"))
+            .select(K.pad_cik("o_custkey").alias("cik"), F.lit(C.CONCEPT_SET[0]).alias("concept"),
+                    F.when(F.col("o_custkey") % 2 == 0, F.lit(None).cast("string"))
+                    .otherwise(F.concat(F.lit("env:"), K.pad_cik("o_custkey"), F.lit("/"),
+                                        F.lit(C.CONCEPT_SET[0]))).alias("envelope"))
             .distinct())
+
+
+def fetched_for_plan(plan: DataFrame, customer: DataFrame) -> DataFrame:
+    """Outcome of fetching the pending pairs: customers with a negative balance
+    report nothing (404, null envelope)."""
+    neg = customer.select(K.pad_cik("c_custkey").alias("cik"), (F.col("c_acctbal") < 0).alias("_neg"))
+    return plan.join(neg, "cik", "left").select(
+        "cik", "concept",
+        F.when(F.coalesce(F.col("_neg"), F.lit(False)), F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("env:"), F.col("resource_id"))).alias("envelope"))

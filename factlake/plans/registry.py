@@ -58,4 +58,5 @@ def load_all() -> None:
         silver_queries,
         quality_queries,
         history_queries,
+        request_queries,
     )
