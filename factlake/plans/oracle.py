@@ -133,6 +133,6 @@ SILVER_FILING = f"""
   FROM index_rows"""
 
 
-def with_ctes(body: str, **ctes: str) -> str:
+def with_ctes(final_select: str, /, **ctes: str) -> str:
     parts = ",\n".join(f"{name} AS MATERIALIZED ({sql})" for name, sql in ctes.items())
-    return f"WITH {parts}\n{body}"
+    return f"WITH {parts}\n{final_select}"

@@ -59,4 +59,5 @@ def load_all() -> None:
         quality_queries,
         history_queries,
         request_queries,
+        source_queries,
     )
