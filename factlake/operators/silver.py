@@ -84,8 +84,12 @@ def facts_from_concepts(docs: DataFrame, payload_col: str = "payload_json") -> D
     if "http_status" in docs.columns:
         base = base.where(F.col("http_status") == 200)
     d = base.select(p.alias("_p"), *[c for c in ("logical_date",) if c in docs.columns])
-    u = d.select("*", F.explode(F.col("_p.units")).alias("unit", "_a"))
-    a = u.select("*", F.explode(F.col("_a")).alias("_f"))
+    # One generator over (unit, assertion) pairs: units map entries, each an array.
+    pairs = F.flatten(F.transform(
+        F.map_entries(F.col("_p.units")),
+        lambda e: F.transform(e["value"], lambda f: F.struct(e["key"].alias("unit"), f.alias("f")))))
+    a = d.select("*", F.explode(pairs).alias("_u")).select("*", F.col("_u.unit").alias("unit"),
+                                                           F.col("_u.f").alias("_f"))
     tag = F.col("_p.tag")
     start = F.to_date(F.col("_f.start"))
     return a.select(
@@ -107,3 +111,17 @@ def facts_from_concepts(docs: DataFrame, payload_col: str = "payload_json") -> D
         F.col("_f.frame").alias("frame"),
         *[F.col(c) for c in ("logical_date",) if c in docs.columns],
     )
+
+
+def flatten_submissions(docs: DataFrame, payload_col: str = "payload_json", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per recent filing with the company's attributes (document parsed once)."""
+    d = docs.select(*keep, F.from_json(F.col(payload_col), C.SUBMISSIONS_PAYLOAD).alias("_p"))
+    r = F.col("_p.filings.recent")
+    z = F.arrays_zip(r["accessionNumber"].alias("accession_number"), r["filingDate"].alias("filing_date"),
+                     r["form"].alias("form_type"), r["primaryDocument"].alias("primary_document"))
+    return d.select(
+        *keep, K.pad_cik(F.col("_p.cik")).alias("cik"), F.col("_p.name").alias("company_name"),
+        F.col("_p.sic").alias("sic"), F.col("_p.sicDescription").alias("sic_description"),
+        F.sort_array(F.col("_p.tickers")).alias("tickers"), F.sort_array(F.col("_p.exchanges")).alias("exchanges"),
+        F.transform(F.col("_p.formerNames"), lambda x: x["name"]).alias("former_names"),
+        F.inline_outer(z))

@@ -61,3 +61,121 @@ def write_index_files(spark: SparkSession, sf_dir: str) -> str:
     (index_lines(spark, sf_dir).repartition("nation").sortWithinPartitions("nation", "seq", "k")
      .select("nation", "line").write.mode("overwrite").partitionBy("nation").text(path))
     return path
+
+
+# ---------------------------------------------------------------------------
+# Document captures: every document landed on two days; German texts revised
+# on the second day.
+# ---------------------------------------------------------------------------
+CAPTURE_DATES = ("2024-03-01", "2024-03-02")
+
+
+def document_envelopes(spark: SparkSession, sf_dir: str, capture: int) -> DataFrame:
+    from factlake.functions import keys as K
+    from factlake.sources.landing import build_envelope
+
+    d = B.table(spark, sf_dir, "documents")
+    day = CAPTURE_DATES[capture]
+    text = F.col("text")
+    if capture == 1:
+        text = F.when(F.col("lang") == "de", F.concat(text, F.lit(" [rev]"))).otherwise(text)
+    payload = K.canonical_json(K.sorted_struct(doc_id=F.col("doc_id"), lang=F.col("lang"),
+                                               source=F.col("source"), text=text))
+    d = d.select("doc_id", payload.alias("_payload"))
+    return build_envelope(
+        d, "company_submissions", F.lit(day), K.pad_cik("doc_id"), K.submissions_url("doc_id"),
+        F.col("_payload"), F.lit(f"{day}T06:00:00.000000Z"))
+
+
+def land_documents(spark: SparkSession, sf_dir: str, root: str | None = None, captures=(0, 1)) -> str:
+    from factlake.sinks.landing import write_stream
+
+    root = root or scratch_dir(spark, "landing")
+    for c in captures:
+        write_stream(document_envelopes(spark, sf_dir, c), root, "company_submissions")
+    return root
+
+
+def index_envelopes_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """filing_index envelopes; payloads of 'error' events carry two undeclared keys."""
+    from factlake import contracts as C
+    from factlake.functions import keys as K
+    from factlake.sources.landing import build_envelope, rfc3339
+
+    rows = B.index_rows_from_events(B.table(spark, sf_dir, "events"), extra=("ts", "event_type", "props"))
+    fields = {f.name: F.col(f.name) for f in C.INDEX_PAYLOAD.fields}
+    plain = K.canonical_json(K.sorted_struct(**fields))
+    extra = K.canonical_json(K.sorted_struct(**fields, props=F.parse_json("props"), severity=F.lit("high")))
+    payload = F.when(F.col("event_type") == "error", extra).otherwise(plain)
+    return build_envelope(rows, "filing_index", F.col("logical_date"), F.col("accession_number"),
+                          K.daily_index_url(F.col("logical_date")), payload, rfc3339(F.col("ts")))
+
+
+def land_index(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    from factlake.sinks.landing import write_stream
+
+    root = root or scratch_dir(spark, "landing")
+    write_stream(index_envelopes_with_extras(spark, sf_dir), root, "filing_index")
+    return root
+
+
+# ---------------------------------------------------------------------------
+# Concept and submissions documents: one per order (bounded size, no grouping).
+# ---------------------------------------------------------------------------
+def concept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """company_concept payloads, one per order not pending ('P' = not reported, never landed).
+
+    Units: USD (duration for fulfilled orders, else instant; frame on fulfilled)
+    and shares (instant, no frame).  The cik travels as a JSON number.
+    """
+    from factlake import contracts as C
+
+    o = B.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
+    tags = F.array(*[F.lit(c) for c in C.CONCEPT_SET])
+    tag = F.element_at(tags, (F.col("o_orderkey") % 15 + 1).cast("int"))
+    d = F.to_date("o_orderdate")
+    accn = F.format_string("%010d-%02d-%06d", F.col("o_custkey"), F.year(d) % 100, F.col("o_orderkey") % 1000000)
+    fulfilled = F.col("o_orderstatus") == "F"
+    usd = F.struct(
+        F.when(fulfilled, F.date_sub(d, 364).cast("string")).alias("start"),
+        d.cast("string").alias("end"), F.col("o_totalprice").alias("val"), accn.alias("accn"),
+        F.year(d).alias("fy"), F.lit("FY").alias("fp"), F.lit("10-K").alias("form"),
+        F.date_add(d, 30).cast("string").alias("filed"),
+        F.when(fulfilled, F.format_string("CY%d", F.year(d))).alias("frame"))
+    shares = F.struct(
+        F.lit(None).cast("string").alias("start"), d.cast("string").alias("end"),
+        F.col("o_orderkey").cast("double").alias("val"), accn.alias("accn"), F.year(d).alias("fy"), F.lit("Q4").alias("fp"),
+        F.lit("10-Q").alias("form"), F.date_add(d, 45).cast("string").alias("filed"),
+        F.lit(None).cast("string").alias("frame"))
+    units = F.create_map(F.lit("USD"), F.array(usd), F.lit("shares"), F.array(shares))
+    doc = F.to_json(F.struct(F.col("o_custkey").alias("cik"), F.lit("us-gaap").alias("taxonomy"),
+                             tag.alias("tag"), tag.alias("label"), F.lit("").alias("description"),
+                             F.format_string("Company %d", F.col("o_custkey")).alias("entityName"),
+                             units.alias("units")))
+    return o.select(F.col("o_orderkey"), doc.alias("payload_json"), F.lit(200).alias("http_status"),
+                    d.alias("logical_date"))
+
+
+def submissions_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """company_submissions payloads, one per order: unsorted tickers, a former name,
+    and ``filings.recent`` as two parallel arrays of length 2."""
+    o = B.table(spark, sf_dir, "orders")
+    d = F.to_date("o_orderdate")
+    cik = F.format_string("%010d", F.col("o_custkey"))
+    a1 = F.format_string("%010d-%02d-%06d", F.col("o_custkey"), F.year(d) % 100, F.col("o_orderkey") % 1000000)
+    a2 = F.format_string("%010d-%02d-%06d", F.col("o_custkey"), (F.year(d) + 1) % 100, F.col("o_orderkey") % 1000000)
+    recent = F.struct(
+        F.array(a1, a2).alias("accessionNumber"),
+        F.array(d.cast("string"), F.date_add(d, 1).cast("string")).alias("filingDate"),
+        F.array(F.lit("10-K"), F.lit("10-K/A")).alias("form"),
+        F.array(F.format_string("d%d.htm", F.col("o_orderkey")), F.lit(None).cast("string")).alias("primaryDocument"))
+    doc = F.to_json(F.struct(
+        cik.alias("cik"), F.lit("operating").alias("entityType"), F.col("o_orderstatus").alias("sic"),
+        F.col("o_orderpriority").alias("sicDescription"), F.format_string("Company %d", F.col("o_custkey")).alias("name"),
+        F.lit("1231").alias("fiscalYearEnd"),
+        F.array(F.concat(F.lit("T"), F.col("o_orderstatus")), F.lit("A"), F.lit("Z")).alias("tickers"),
+        F.array(F.lit("NYSE"), F.lit("NASDAQ")).alias("exchanges"),
+        F.array(F.struct(F.format_string("Old %d", F.col("o_custkey")).alias("name"),
+                         F.lit("1990-01-01").alias("from"), F.lit("1994-12-31").alias("to"))).alias("formerNames"),
+        F.struct(recent.alias("recent"), F.array().cast("array<struct<name:string>>").alias("files")).alias("filings")))
+    return o.select("o_orderkey", doc.alias("payload_json"), d.alias("logical_date"))

@@ -60,4 +60,5 @@ def load_all() -> None:
         history_queries,
         request_queries,
         source_queries,
+        landing_queries,
     )

@@ -89,11 +89,12 @@ def validate_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
     nulls = F.filter(F.array(*[F.when(parsed[f].isNull(), F.lit(f)) for f in C.ENVELOPE_FIELDS]),
                      lambda x: x.isNotNull())
     underscore = F.filter(F.coalesce(keys, F.array()), lambda k: k.startswith("_"))
-    status_ok = F.get_json_object(F.col(text_col), "$.http_status").rlike("^-?[0-9]+$")
+    status_bad = (F.get_json_object(F.col(text_col), "$.http_status").isNotNull()
+                  & parsed["http_status"].isNull())
     reason = (F.when(keys.isNull(), F.lit("unparseable"))
               .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ",")))
               .when(F.size(underscore) > 0, F.concat(F.lit("private_key:"), F.array_join(underscore, ",")))
-              .when(~F.coalesce(status_ok, F.lit(False)), F.lit("http_status_not_int"))
+              .when(status_bad, F.lit("http_status_not_int"))
               .when(F.size(nulls) > 0, F.concat(F.lit("null:"), F.array_join(nulls, ","))))
     return lines.select("*", reason.alias("invalid_reason"), reason.isNull().alias("is_valid"))
 
