@@ -111,11 +111,18 @@ def index_envelopes_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
                           K.daily_index_url(F.col("logical_date")), payload, rfc3339(F.col("ts")))
 
 
-def land_index(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+def land_index(spark: SparkSession, sf_dir: str, root: str | None = None,
+               dates: tuple[str | None, str | None] = (None, None)) -> str:
+    """Land the filing_index envelopes, optionally only logical dates in [from, to)."""
     from factlake.sinks.landing import write_stream
 
     root = root or scratch_dir(spark, "landing")
-    write_stream(index_envelopes_with_extras(spark, sf_dir), root, "filing_index")
+    env = index_envelopes_with_extras(spark, sf_dir)
+    if dates[0]:
+        env = env.where(F.col("logical_date") >= dates[0])
+    if dates[1]:
+        env = env.where(F.col("logical_date") < dates[1])
+    write_stream(env, root, "filing_index")
     return root
 
 

@@ -61,4 +61,5 @@ def load_all() -> None:
         request_queries,
         source_queries,
         landing_queries,
+        stream_queries,
     )
