@@ -111,6 +111,31 @@ def index_envelopes_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
                           K.daily_index_url(F.col("logical_date")), payload, rfc3339(F.col("ts")))
 
 
+def write_envelope_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Raw envelope lines with contract faults that follow the events: 'error' lines
+    lack payload_json, 'signup' lines carry a private key, large purchases are
+    truncated, large clicks carry http_status as a string."""
+    from factlake import contracts as C
+    from factlake.functions import keys as K
+
+    fields = list(C.ENVELOPE_FIELDS)
+    ev = B.table(spark, sf_dir, "events").select(
+        K.accession_from_parts(F.col("event_id"), F.year("ts") % 100, F.col("user_id") % 1000000)
+        .alias("resource_id"), "event_type", "value")
+    env = index_envelopes_with_extras(spark, sf_dir).join(ev, "resource_id")
+    full = F.to_json(F.struct(*fields))
+    no_payload = F.to_json(F.struct(*[f for f in fields if f != "payload_json"]))
+    et, v = F.col("event_type"), F.col("value")
+    line = (F.when(et == "error", no_payload)
+            .when(et == "signup", F.regexp_replace(full, "^\\{", '{"_ingest_ts":"2024-01-01T00:00:00Z",'))
+            .when((et == "purchase") & (v > 400), F.substring(full, 1, 40))
+            .when((et == "click") & (v > 450), F.regexp_replace(full, '"http_status":200', '"http_status":"200"'))
+            .otherwise(full))
+    path = scratch_dir(spark, "lines")
+    env.select(line.alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
 def land_index(spark: SparkSession, sf_dir: str, root: str | None = None,
                dates: tuple[str | None, str | None] = (None, None)) -> str:
     """Land the filing_index envelopes, optionally only logical dates in [from, to)."""

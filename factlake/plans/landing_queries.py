@@ -58,21 +58,7 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM env""", **INDEX_ENV))
 def envelope_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw envelope lines checked against the contract (fields, types, no private keys)."""
-    env = L.index_envelopes_with_extras(spark, sf_dir).join(
-        L.B.table(spark, sf_dir, "events").select(
-            K.accession_from_parts(F.col("event_id"), F.year("ts") % 100, F.col("user_id") % 1000000)
-            .alias("resource_id"), "event_type", "value"), "resource_id")
-    full = F.to_json(F.struct(*ENV_FIELDS))
-    no_payload = F.to_json(F.struct(*[f for f in ENV_FIELDS if f != "payload_json"]))
-    et, v = F.col("event_type"), F.col("value")
-    line = (F.when(et == "error", no_payload)
-            .when(et == "signup", F.regexp_replace(full, "^\\{", '{"_ingest_ts":"2024-01-01T00:00:00Z",'))
-            .when((et == "purchase") & (v > 400), F.substring(full, 1, 40))
-            .when((et == "click") & (v > 450), F.regexp_replace(full, '"http_status":200', '"http_status":"200"'))
-            .otherwise(full))
-    path = scratch_dir(spark, "lines")
-    env.select(line.alias("value")).write.mode("overwrite").text(path)
-    checked = src.validate_lines(spark.read.text(path))
+    checked = src.validate_lines(spark.read.text(L.write_envelope_lines(spark, sf_dir)))
     return checked.select(F.get_json_object("value", "$.resource_id").alias("resource_id"), "is_valid",
                           "invalid_reason")
 

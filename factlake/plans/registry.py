@@ -62,4 +62,5 @@ def load_all() -> None:
         source_queries,
         landing_queries,
         stream_queries,
+        export_queries,
     )
