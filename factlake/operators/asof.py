@@ -5,7 +5,7 @@ with every version of its entity.  Here versions are replicated into the month
 buckets they cover and rows join on (key, month): each row meets only the few
 versions overlapping its month, and a hot entity is spread over its months.
 Facts after the last version start all fall into the open version, so the
-open tail is capped at that month (a single scalar read from the dimension).
+open tail is capped at that month (a scalar subquery over the dimension).
 """
 
 from __future__ import annotations
@@ -22,19 +22,18 @@ def asof_join(rows: DataFrame, versions: DataFrame, key: str, date_col: str,
               how: str = "inner", version_cols: list[str] | None = None) -> DataFrame:
     """Attach the version with ``valid_from <= d < valid_to`` (open ``valid_to`` = current)."""
     vcols = version_cols or [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
-    horizon = versions.agg(F.max("valid_from").alias("h")).first()["h"]
-    if horizon is None:
-        return rows.select("*", *[F.lit(None).alias(c) for c in ["valid_from", "valid_to", *vcols]]) \
-            if how == "left" else rows.limit(0)
-    h = month_index(F.lit(horizon).cast("date"))
+    # Scalar subquery: evaluated once inside the same plan (exchanges are reused).
+    h = versions.agg(month_index(F.max("valid_from"))).scalar()
     last = F.when(F.col("valid_to").isNull(), h).otherwise(month_index(F.date_sub(F.col("valid_to"), 1)))
     v = versions.select(
-        F.col(key).alias("_vkey"), "valid_from", "valid_to", *vcols,
+        F.col(key).alias("_vkey"), F.col("valid_from").alias("_vfrom"), F.col("valid_to").alias("_vto"),
+        *[F.col(c).alias(f"_v_{c}") for c in vcols],
         F.explode(F.sequence(month_index(F.col("valid_from")),
-                             F.greatest(last, month_index(F.col("valid_from"))))).alias("_bucket"))
+                             F.greatest(last, month_index(F.col("valid_from"))))).alias("_vbucket"))
     r = rows.withColumn("_bucket", F.least(month_index(F.col(date_col)), h))
-    cond = ((r[key] == v["_vkey"]) & (r["_bucket"] == v["_bucket"])
-            & (r[date_col] >= v["valid_from"])
-            & (v["valid_to"].isNull() | (r[date_col] < v["valid_to"])))
+    cond = ((F.col(key) == F.col("_vkey")) & (F.col("_bucket") == F.col("_vbucket"))
+            & (F.col(date_col) >= F.col("_vfrom"))
+            & (F.col("_vto").isNull() | (F.col(date_col) < F.col("_vto"))))
     j = r.join(v, cond, how)
-    return j.select(*[r[c] for c in rows.columns], v["valid_from"], v["valid_to"], *[v[c] for c in vcols])
+    return j.select(*rows.columns, F.col("_vfrom").alias("valid_from"), F.col("_vto").alias("valid_to"),
+                    *[F.col(f"_v_{c}").alias(c) for c in vcols])

@@ -2,17 +2,17 @@
 
 Restatements and the latest view share one ordered pass over the facts: the
 window (shuffle on the fact key) attaches the previous assertion, events are a
-filter of it, and the latest view is an aggregation on the same key that
-reuses the window's partitioning (no second shuffle).
+filter of it, and the latest view is a second window on the same partitioning
+and order (no second shuffle or sort).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factlake import contracts as C
-from factlake.operators.sequence import ordered_lag
+from factlake.operators.sequence import HOT_FLAG, ordered_lag
 from factlake.plans.bindings import RUN_ID, generated_at
 
 FACT_KEY = list(C.FACT_KEY)
@@ -102,18 +102,30 @@ def restatement_events(facts: DataFrame, companies: DataFrame | None = None,
 def financials_current(facts: DataFrame, companies: DataFrame | None = None,
                        sequence: DataFrame | None = None, run_id: str = RUN_ID) -> DataFrame:
     """Latest assertion per fact key (greatest filed_date, then accession), with
-    assertion_count and whether the key ever saw a restatement."""
+    assertion_count and whether the key ever saw a restatement.
+
+    Ordinary keys are finished inside the ordered pass that found restatements:
+    on the same partitioning and order, ``lead`` marks each key's last row and
+    unbounded-frame aggregates give the count and the restated flag, so no
+    aggregation or re-sort follows.  Rows of hot keys (spread over many tasks)
+    are reduced by a keyed aggregate with partial combine instead.
+    """
     seq = sequence if sequence is not None else fact_sequence(facts)
-    latest = F.max_by(
-        F.struct("value", "decimals", "fiscal_year", "fiscal_period", "accession_number", "form_type",
-                 "filed_date"),
-        F.struct(*[F.col(c) for c in FACT_ORDER]))
-    g = seq.groupBy(*FACT_KEY).agg(
-        latest.alias("l"),
-        F.count(F.lit(1)).cast("int").alias("assertion_count"),
-        F.max(F.col("is_restatement")).alias("was_restated"))
-    g = g.select(*FACT_KEY, "l.*", "assertion_count", "was_restated")
-    g = _with_company(g, companies)
+    payload = ["value", "decimals", "fiscal_year", "fiscal_period", "accession_number", "form_type", "filed_date"]
+    w = Window.partitionBy(*FACT_KEY).orderBy(*[F.col(c) for c in FACT_ORDER])
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cold = seq.where(~F.col(HOT_FLAG)).select(
+        *FACT_KEY, *payload,
+        F.lead(F.lit(1)).over(w).alias("_next"),
+        F.count(F.lit(1)).over(whole).cast("int").alias("assertion_count"),
+        F.max(F.col("is_restatement")).over(whole).alias("was_restated"))
+    cold = cold.where(F.col("_next").isNull()).drop("_next")
+    latest = F.max_by(F.struct(*payload), F.struct(*[F.col(c) for c in FACT_ORDER]))
+    hot = (seq.where(F.col(HOT_FLAG)).groupBy(*FACT_KEY)
+           .agg(latest.alias("l"), F.count(F.lit(1)).cast("int").alias("assertion_count"),
+                F.max(F.col("is_restatement")).alias("was_restated"))
+           .select(*FACT_KEY, *[F.col(f"l.{c}").alias(c) for c in payload], "assertion_count", "was_restated"))
+    g = _with_company(cold.unionByName(hot), companies)
     cols = [f.name for f in C.TABLES["gold.financials_current"].fields if not f.name.startswith("_")]
     return g.select(*cols, generated_at().alias("_generated_at"), F.lit(run_id).alias("_run_id"))
 

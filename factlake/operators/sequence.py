@@ -7,9 +7,10 @@ table.  ``ordered_lag`` therefore:
 1. samples the key columns to find hot keys (bounded list, size-checked);
 2. runs ordinary keys through a plain ``lag`` window (one shuffle on the key);
 3. runs hot keys through a range-partitioned two-level lag: rows are range
-   partitioned on (key, order), lagged inside each (key, partition) piece, and
-   the first row of each piece takes the last row of the previous piece from a
-   per-piece summary that holds at most (#hot keys x #partitions) rows.
+   partitioned on (key, order) and checkpointed with their partition id, lagged
+   inside each (key, partition) piece, and the first row of each piece takes
+   the last row of the previous piece from a per-piece summary that holds at
+   most (#hot keys x #partitions) rows (broadcast, bounded).
 
 The result equals ``lag(col) over (partition by keys order by order)``.
 ``order`` must be a total order inside each key for a deterministic answer.
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factlake.session import shuffle_width
+from factlake.session import checkpoint_root, shuffle_width
 
 HOT_ROWS_CONF = "factlake.skew.hotKeyRows"
 SAMPLE_CONF = "factlake.skew.sampleFraction"
@@ -64,15 +65,22 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
     return df.sparkSession.createDataFrame(found, schema), False
 
 
+HOT_FLAG = "_hot_key"
+
+
 def _plain_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order, descending))
-    return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
+    return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols], F.lit(False).alias(HOT_FLAG))
 
 
 def _range_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFrame:
     n = shuffle_width(df.sparkSession)
     ordering = [F.col(k).asc() for k in keys] + _order_cols(order, descending)
-    r = df.repartitionByRange(n, *ordering).withColumn("_pid", F.spark_partition_id())
+    # The piece id is read by two branches (local lag, piece summary).  Range
+    # bounds are sampled per computation, so the assignment is materialised
+    # once (reliable checkpoint in the shared folder) and both branches read it.
+    checkpoint_root(df.sparkSession)
+    r = df.repartitionByRange(n, *ordering).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
     piece = Window.partitionBy(*keys, "_pid").orderBy(*_order_cols(order, descending))
     local = r.select("*", F.row_number().over(piece).alias("_rn"),
                      *[F.lag(c).over(piece).alias(prefix + c) for c in cols])
@@ -88,7 +96,7 @@ def _range_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFram
     out = [local[c] for c in df.columns]
     for c in cols:
         out.append(F.when(local["_rn"] == 1, prev["_prev"][c]).otherwise(local[prefix + c]).alias(prefix + c))
-    return joined.select(*out)
+    return joined.select(*out, F.lit(True).alias(HOT_FLAG))
 
 
 def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
@@ -96,6 +104,7 @@ def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str
                 hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
 
+    Rows of hot keys carry ``_hot_key = true`` (they went through the range path).
     ``hot`` may pass a ``hot_keys`` result computed once for a parent of ``df``
     (a subset of rows has no hotter keys), saving a sampling pass.
     """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,22 +47,25 @@ def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold tables exported to v1/{table}/ and the manifest (row counts, max filed date, invariant checked)."""
     facts, comps = G.facts(spark, sf_dir), G.companies(spark, sf_dir)
     filings = G.silver_filings(spark, sf_dir)
-    seq = gold.fact_sequence(facts)
-    events = gold.restatement_events(facts, comps, sequence=seq)
-    tables = {
-        "financials_current": gold.financials_current(facts, comps, sequence=seq),
-        "restatement_event": events,
-        "filing_activity_daily": gold.filing_activity_daily(filings),
-        "company_profile": gold.company_profile(
-            G.B.company_dimension_from_customer(G.B.table(spark, sf_dir, "customer")), filings, events),
-    }
     root = scratch_dir(spark, "serving")
-    X.export_tables(tables, root)
-    m = X.manifest(spark, root, sorted(tables), filings, GEN)
+    # One ordered pass over the facts feeds two marts; it is kept (memory, then
+    # disk) only while they are written, and recomputed from lineage if lost.
+    seq = gold.fact_sequence(facts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        X.export_tables({"restatement_event": gold.restatement_events(facts, comps, sequence=seq),
+                         "financials_current": gold.financials_current(facts, comps, sequence=seq)}, root)
+    finally:
+        seq.unpersist()
+    events = spark.read.parquet(f"{root}/v1/restatement_event")
+    dim = G.B.company_dimension_from_customer(G.B.table(spark, sf_dir, "customer"))
+    X.export_tables({"filing_activity_daily": gold.filing_activity_daily(filings),
+                     "company_profile": gold.company_profile(dim, filings, events)}, root)
+    tables = ["company_profile", "filing_activity_daily", "financials_current", "restatement_event"]
+    m = X.manifest(spark, root, tables, filings, GEN)
     X.write_manifest(m, root, filings.agg(F.max("filed_date")).first()[0])
     rc = F.col("row_counts")
     return m.select("generated_at", "contracts_version", "gold_max_filed_date",
-                    *[F.element_at(rc, n).alias(f"{n}_rows") for n in sorted(tables)], "manifest_json")
+                    *[F.element_at(rc, n).alias(f"{n}_rows") for n in tables], "manifest_json")
 
 
 _FIELDS = list(C.ENVELOPE_FIELDS)

@@ -79,8 +79,10 @@ def validate_files(files: DataFrame) -> DataFrame:
 
 def parse_valid(validated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of valid files only: the six raw string fields plus file and line number."""
-    v = validated.where("is_valid").select(
-        "file", *keep, "_sep", F.posexplode("_body").alias("_j", "line"))
+    # Invalid files explode to nothing.  (A filter on the verdict would be pushed
+    # below the projections and re-evaluate the per-file expressions per use.)
+    body = F.when(F.col("is_valid"), F.col("_body")).otherwise(F.array())
+    v = validated.select("file", *keep, "_sep", F.posexplode(body).alias("_j", "line"))
     v = v.where(strip(F.col("line")) != "")
     f = _slices(F.col("line"))
     return v.select(
