@@ -24,13 +24,18 @@ def latest_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame
 
 
 def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], attrs: list[str],
-                 batch_ts: str, order_col: str = "logical_date") -> DataFrame:
+                 batch_ts: str, order_col: str = "logical_date",
+                 nullable_keys: tuple[str, ...] = ()) -> DataFrame:
     """SCD-1 upsert of ``batch`` into ``target``.
 
     ``_first_seen_ts`` is set on insert and kept; ``_last_seen_ts`` moves to the
     batch time on every merge that sees the key.  Attributes are replaced only
     when the incoming ``order_col`` is not older than the target's, so a late
     backfill cannot roll a row back.  Running the same batch twice is a no-op.
+
+    Business keys are NOT NULL by contract and join with plain equality, which
+    lets the join reuse the batch's hash partitioning on the key; key parts
+    listed in ``nullable_keys`` (e.g. ``period_start``) join null-safely.
     """
     ts = F.to_timestamp(F.lit(batch_ts))
     b = latest_per_key(batch.select(*key, order_col, *attrs), key, [order_col])
@@ -38,7 +43,9 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], att
         return b.select(*key, order_col, *attrs, ts.alias("_first_seen_ts"), ts.alias("_last_seen_ts"))
     t = target.withColumn("_in_t", F.lit(True)).alias("t")
     b = b.withColumn("_in_b", F.lit(True)).alias("b")
-    on = reduce(lambda x, y: x & y, [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key])
+    on = reduce(lambda x, y: x & y,
+                [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) if k in nullable_keys
+                 else F.col(f"t.{k}") == F.col(f"b.{k}") for k in key])
     j = t.join(b, on, "full_outer")
     has_b = F.col("b._in_b").isNotNull()
     has_t = F.col("t._in_t").isNotNull()

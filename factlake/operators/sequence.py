@@ -9,8 +9,9 @@ table.  ``ordered_lag`` therefore:
 3. runs hot keys through a range-partitioned two-level lag: rows are range
    partitioned on (key, order) and checkpointed with their partition id, lagged
    inside each (key, partition) piece, and the first row of each piece takes
-   the last row of the previous piece from a per-piece summary that holds at
-   most (#hot keys x #partitions) rows (broadcast, bounded).
+   the last row of the previous piece from a per-piece summary.  Pieces are
+   contiguous ranges, so the summary holds at most (#hot keys + #partitions)
+   rows (broadcast, bounded by two caps).
 
 The result equals ``lag(col) over (partition by keys order by order)``.
 ``order`` must be a total order inside each key for a deterministic answer.
@@ -90,7 +91,8 @@ def _range_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFram
              F.struct(*[F.col(c) for c in order])).alias("_last"))
     prev = (last.select(*keys, "_pid",
                         F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pid")).alias("_prev")))
-    # Bounded: one row per (hot key, partition) piece.
+    # Bounded: range pieces are contiguous intervals of (key, order), so there are
+    # at most (#hot keys + #partitions) of them; both are capped.
     prev = F.broadcast(prev)
     joined = local.join(prev, _null_safe_on(local, prev, list(keys) + ["_pid"]), "left")
     out = [local[c] for c in df.columns]

@@ -71,12 +71,17 @@ def silver_merge_stream(spark: SparkSession, landing_root: str, table_root: str,
     typed = silver.type_filings(src)
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        target = latest_snapshot(spark, table_root)
-        ts = batch.agg(F.max("logical_date")).first()[0]
-        if ts is None:
-            return
-        merged = merge_upsert(target, batch, KEY, ATTRS, f"{ts} 00:00:00")
-        merged.write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/v={epoch}")
+        # The batch is read twice (its max date, then the merge): keep it for this epoch only.
+        batch = batch.persist()
+        try:
+            ts = batch.agg(F.max("logical_date")).first()[0]
+            if ts is None:
+                return
+            target = latest_snapshot(spark, table_root)
+            merged = merge_upsert(target, batch, KEY, ATTRS, f"{ts} 00:00:00")
+            merged.write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/v={epoch}")
+        finally:
+            batch.unpersist()
 
     q = (typed.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
