@@ -45,6 +45,13 @@ def reroot(path: Column | str, prefix: str) -> Column:
     return F.regexp_replace(_c(path), "^" + prefix.replace(".", "\\.").rstrip("/"), "")
 
 
+def utc_timestamp(text: Column | str) -> Column:
+    """A UTC instant from 'yyyy-MM-dd[ HH:mm:ss]' wall-clock text, whatever the session time zone."""
+    t = F.regexp_replace(_c(text).cast("string"), " ", "T")
+    t = F.when(F.length(t) <= 10, F.concat(t, F.lit("T00:00:00"))).otherwise(t)
+    return F.to_timestamp(F.concat(t, F.lit("Z")))
+
+
 def content_hash(payload_json: Column | str) -> Column:
     return F.sha2(_c(payload_json), 256)
 

@@ -37,7 +37,7 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], att
     lets the join reuse the batch's hash partitioning on the key; key parts
     listed in ``nullable_keys`` (e.g. ``period_start``) join null-safely.
     """
-    ts = F.to_timestamp(F.lit(batch_ts))
+    ts = K.utc_timestamp(F.lit(batch_ts))
     b = latest_per_key(batch.select(*key, order_col, *attrs), key, [order_col])
     if target is None:
         return b.select(*key, order_col, *attrs, ts.alias("_first_seen_ts"), ts.alias("_last_seen_ts"))
@@ -85,6 +85,6 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: list[str], arrays: tup
         F.col(date_col).alias("valid_from"),
         F.col(f"next_{date_col}").alias("valid_to"),
         F.col(f"next_{date_col}").isNull().alias("is_current"),
-        F.col(date_col).cast("timestamp").alias("_first_seen_ts"),
-        F.col("_last_seen").cast("timestamp").alias("_last_seen_ts"),
+        K.utc_timestamp(F.col(date_col)).alias("_first_seen_ts"),
+        K.utc_timestamp(F.col("_last_seen")).alias("_last_seen_ts"),
     )

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def generated_at() -> Column:
-    return F.to_timestamp(F.lit(GENERATED_AT))
+    return K.utc_timestamp(F.lit(GENERATED_AT))
 
 
 def concept_canonical(tag: Column) -> Column:

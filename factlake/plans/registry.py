@@ -3,7 +3,7 @@
 Every query reads the given tables (or what Spark derives from them), so its
 work grows with them.  Results are normalised at the boundary to types both
 engines render the same way: DECIMAL and FLOAT -> DOUBLE, INT -> BIGINT,
-TIMESTAMP -> TIMESTAMP_NTZ, ARRAY<STRING> -> comma-joined STRING.
+TIMESTAMP -> TIMESTAMP_NTZ (UTC wall clock), ARRAY<STRING> -> comma-joined STRING.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ ORACLE: dict[str, str] = {}
 
 
 def boundary(df: DataFrame) -> DataFrame:
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -30,7 +31,8 @@ def boundary(df: DataFrame) -> DataFrame:
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(t, T.TimestampType):
-            c = c.cast("timestamp_ntz")
+            # instants are rendered as their UTC wall clock, whatever the session zone
+            c = F.convert_timezone(F.lit(tz), F.lit("UTC"), c.cast("timestamp_ntz"))
         elif isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StringType):
             c = F.array_join(c, ",")
         out.append(c.alias(f.name))
