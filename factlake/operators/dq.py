@@ -9,6 +9,8 @@ when nothing failed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,14 +34,14 @@ def evaluate(df: DataFrame, table: str, as_of_date: str = AS_OF_DATE) -> DataFra
     """Add ``dq_failed`` (names of failed row checks, registry order) and ``dq_status``
     (reject > warn > pass)."""
     cs = checks(table)
-    failed = F.filter(F.array(*[F.when(~good_expr(e, as_of_date), F.lit(n)) for n, _, e, _ in cs]),
-                      lambda x: x.isNotNull())
-    rejects = [n for n, s, _, _ in cs if s == "reject"]
-    out = df.withColumn("dq_failed", failed)
-    has_reject = F.exists(F.col("dq_failed"), lambda x: x.isin(*rejects)) if rejects else F.lit(False)
-    status = (F.when(has_reject, F.lit("reject"))
-              .when(F.size("dq_failed") > 0, F.lit("warn")).otherwise(F.lit("pass")))
-    return out.withColumn("dq_status", status)
+    bad = {n: ~good_expr(e, as_of_date) for n, _, e, _ in cs}
+    # Plain expressions (no lambdas) so the whole check set stays in generated code.
+    failed = F.array_compact(F.array(*[F.when(bad[n], F.lit(n)) for n, _, _, _ in cs]))
+    any_of = lambda names: reduce(lambda a, b: a | b, [bad[n] for n in names], F.lit(False))
+    status = (F.when(any_of([n for n, s, _, _ in cs if s == "reject"]), F.lit("reject"))
+              .when(any_of([n for n, s, _, _ in cs if s != "reject"]), F.lit("warn"))
+              .otherwise(F.lit("pass")))
+    return df.select("*", failed.alias("dq_failed"), status.alias("dq_status"))
 
 
 def split(evaluated: DataFrame) -> tuple[DataFrame, DataFrame]:

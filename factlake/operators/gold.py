@@ -36,11 +36,35 @@ def restatement_condition(value: Column, prev: Column, dec: Column, prev_dec: Co
     return prev.isNotNull() & (delta > tol) & ~F.coalesce(rounding_only, F.lit(False))
 
 
+def tag_preference(tag: Column) -> Column:
+    """Rank of an as-filed tag among those mapped to one canonical concept (map order)."""
+    ranks = F.create_map(*[x for i, (t, _) in enumerate(C.CONCEPT_MAP) for x in (F.lit(t), F.lit(i))])
+    return F.coalesce(F.try_element_at(ranks, tag), F.lit(len(C.CONCEPT_MAP)))
+
+
+def one_tag_per_filing(facts: DataFrame) -> DataFrame:
+    """Within one accession keep one row per canonical grain, preferring the first mapped
+    tag, so a tag switch inside one filing is not read as a restatement.
+
+    Only mapped concepts can collide; they take a keyed reduction (partial
+    aggregation) while all other facts pass straight through.
+    """
+    if "concept_tag" not in facts.columns:
+        return facts
+    mapped = F.col("concept_tag").isin(*[t for t, _ in C.CONCEPT_MAP])
+    rest = [c for c in facts.columns if c not in FACT_KEY and c != "accession_number"]
+    picked = (facts.where(mapped).groupBy(*FACT_KEY, "accession_number")
+              .agg(F.min_by(F.struct(*rest), F.struct(tag_preference(F.col("concept_tag")), F.col("value")))
+                   .alias("_r"))
+              .select(*FACT_KEY, "accession_number", "_r.*"))
+    return facts.where(~mapped).unionByName(picked)
+
+
 def fact_sequence(facts: DataFrame) -> DataFrame:
     """Valid facts with the previous assertion of the same fact attached and an event flag."""
     f = with_canonical_key(facts.where(F.col("value").isNotNull()))
     extra = [c for c in ("concept_tag", "fiscal_year", "fiscal_period") if c in f.columns]
-    f = f.select(*FACT_KEY, *CARRY, *extra)
+    f = one_tag_per_filing(f.select(*FACT_KEY, *CARRY, *extra))
     seq = ordered_lag(f, FACT_KEY, FACT_ORDER, CARRY)
     return seq.withColumn(
         "is_restatement",
@@ -130,14 +154,24 @@ def financials_current(facts: DataFrame, companies: DataFrame | None = None,
     return g.select(*cols, generated_at().alias("_generated_at"), F.lit(run_id).alias("_run_id"))
 
 
-def filing_activity_daily(filings: DataFrame, run_id: str = RUN_ID, approximate: bool = False) -> DataFrame:
-    """Per (filed_date, base_form_type): filings, amendments, distinct filers."""
+def filing_activity_daily(filings: DataFrame, run_id: str = RUN_ID, approximate: bool = False,
+                          all_filers: DataFrame | None = None) -> DataFrame:
+    """Per (filed_date, base_form_type): filings, amendments, distinct filers.
+
+    silver.filing keeps one row per accession, so co-registrants sharing an
+    accession count once.  Pass the typed rows before that de-duplication as
+    ``all_filers`` to count every filer of a shared accession instead.
+    """
     distinct = (F.approx_count_distinct("cik") if approximate else F.countDistinct("cik"))
-    return (filings.groupBy("filed_date", "base_form_type")
-            .agg(F.count(F.lit(1)).cast("int").alias("filing_count"),
-                 F.count_if(F.col("is_amendment")).cast("int").alias("amendment_count"),
-                 distinct.cast("int").alias("distinct_cik_count"))
-            .select("*", generated_at().alias("_generated_at"), F.lit(run_id).alias("_run_id")))
+    g = filings.groupBy("filed_date", "base_form_type").agg(
+        F.count(F.lit(1)).cast("int").alias("filing_count"),
+        F.count_if(F.col("is_amendment")).cast("int").alias("amendment_count"),
+        *([] if all_filers is not None else [distinct.cast("int").alias("distinct_cik_count")]))
+    if all_filers is not None:
+        d = all_filers.groupBy("filed_date", "base_form_type").agg(distinct.cast("int").alias("distinct_cik_count"))
+        g = g.join(d, ["filed_date", "base_form_type"], "left")
+    return g.select("filed_date", "base_form_type", "filing_count", "amendment_count", "distinct_cik_count",
+                    generated_at().alias("_generated_at"), F.lit(run_id).alias("_run_id"))
 
 
 def company_profile(companies: DataFrame, filings: DataFrame, events: DataFrame,

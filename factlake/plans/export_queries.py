@@ -46,8 +46,10 @@ EXPORT_SQL = O.with_ctes(
 def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold tables exported to v1/{table}/ and the manifest (row counts, max filed date, invariant checked)."""
     facts, comps = G.facts(spark, sf_dir), G.companies(spark, sf_dir)
-    filings = G.silver_filings(spark, sf_dir)
     root = scratch_dir(spark, "serving")
+    # silver.filing feeds three marts and the manifest: written once, read back.
+    G.silver_filings(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/silver/filing")
+    filings = spark.read.parquet(f"{root}/silver/filing")
     # One ordered pass over the facts feeds two marts; it is kept (memory, then
     # disk) only while they are written, and recomputed from lineage if lost.
     seq = gold.fact_sequence(facts).persist(StorageLevel.MEMORY_AND_DISK)

@@ -5,16 +5,15 @@ Each constant is one CTE body over the driver's pre-registered views.
 
 from __future__ import annotations
 
+from factlake import contracts as C
+
 
 def pad(expr: str) -> str:
     s = f"CAST({expr} AS VARCHAR)"
     return f"(CASE WHEN length({s}) < 10 THEN lpad({s}, 10, '0') ELSE {s} END)"
 
 
-CONCEPT_LIST = ("['Revenues', 'RevenueFromContractWithCustomerExcludingAssessedTax', 'NetIncomeLoss', "
-                "'OperatingIncomeLoss', 'GrossProfit', 'CostOfRevenue', 'Assets', 'AssetsCurrent', 'Liabilities', "
-                "'LiabilitiesCurrent', 'StockholdersEquity', 'CashAndCashEquivalentsAtCarryingValue', "
-                "'NetCashProvidedByUsedInOperatingActivities', 'EarningsPerShareBasic', 'EarningsPerShareDiluted']")
+CONCEPT_LIST = "[" + ", ".join(f"'{c}'" for c in C.CONCEPT_SET) + "]"
 
 GENERATED_AT = "TIMESTAMP '2026-01-01 00:00:00'"
 RUN_ID = "'run-00000000'"

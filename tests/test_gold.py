@@ -104,3 +104,37 @@ def test_profile_is_zero_filled(spark):
     p = {r.cik: r for r in gold.company_profile(comps, filings, events).collect()}
     assert p["0000000002"].filing_count == 0 and p["0000000002"].restatement_count == 0
     assert p["0000000001"].filing_count == 1
+
+
+def test_tag_switch_inside_one_filing_is_not_a_restatement(spark):
+    def fact(tag, val, accn, filed):
+        return {"end": "2020-12-31", "start": "2020-01-01", "val": val, "accn": accn, "filed": filed, "form": "10-K"}
+    rev = dict(ASSETS_DOC, tag="Revenues", units={"USD": [
+        fact("Revenues", 100, "0000000001-21-000001", "2021-02-01"),
+        fact("Revenues", 120, "0000000001-21-000002", "2021-05-01")]})
+    rfc = dict(ASSETS_DOC, tag="RevenueFromContractWithCustomerExcludingAssessedTax", units={"USD": [
+        fact("x", 90, "0000000001-21-000001", "2021-02-01"),
+        fact("x", 120, "0000000001-21-000003", "2021-08-01")]})
+    docs = spark.createDataFrame([(json.dumps(rev), 200), (json.dumps(rfc), 200)], "payload_json string, http_status int")
+    facts = silver.facts_from_concepts(docs)
+    ev = gold.restatement_events(facts).collect()
+    # 100 (Revenues preferred in filing 1) -> 120 is the only change; 90 in filing 1 is dropped.
+    assert [(e.original_value, e.restated_value) for e in ev] == [(Decimal("100.000000"), Decimal("120.000000"))]
+    fc = gold.financials_current(facts).collect()
+    assert len(fc) == 1 and fc[0].concept_canonical == "revenue_total" and fc[0].assertion_count == 3
+
+
+def test_activity_counts_co_registrants_behind_a_switch(spark):
+    rows = spark.createDataFrame(
+        [("0001104659-26-088252", "0000001001", "10-K", "2026-07-29"),
+         ("0001104659-26-088252", "0000001002", "10-K", "2026-07-29"),
+         ("0001104659-26-000001", "0000001003", "10-K/A", "2026-07-29")],
+        "accession_number string, cik string, form_type string, d string").select(
+        "accession_number", "cik", "form_type", F.regexp_replace(F.upper("form_type"), "/A$", "").alias("base_form_type"),
+        F.col("form_type").endswith("/A").alias("is_amendment"), F.to_date("d").alias("filed_date"),
+        F.to_date("d").alias("logical_date"))
+    deduped = silver.dedupe_filings(rows)
+    a = gold.filing_activity_daily(deduped).first()
+    b = gold.filing_activity_daily(deduped, all_filers=rows).first()
+    assert (a.filing_count, a.amendment_count, a.distinct_cik_count) == (2, 1, 2)
+    assert (b.filing_count, b.distinct_cik_count) == (2, 3)
