@@ -26,7 +26,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = local_session(cpus=cpus, shuffle_partitions=max(8, 2 * int(cpus)), app="factlake-bench",
-                          memory=os.environ.get("BENCH_MEMORY", "6g"))
+                          memory=os.environ.get("BENCH_MEMORY", "4g"))
     registry.load_all()
     # Untimed warm-up so the first timed query does not pay for JVM start-up and JIT.
     registry.QUERIES["filing_activity_daily"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from factlake.operators import bronze, silver
 from factlake.operators.merge import merge_upsert
-from factlake.session import exists, to_local_path
 from factlake.sources.landing import envelope_read_schema, CORRUPT
 
 
@@ -87,5 +86,3 @@ def silver_merge_stream(spark: SparkSession, landing_root: str, table_root: str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
-
-__all__ = ["bronze_stream", "silver_merge_stream", "latest_snapshot", "exists", "to_local_path"]
