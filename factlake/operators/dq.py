@@ -102,6 +102,15 @@ def grain_violations(df: DataFrame, grain: list[str]) -> DataFrame:
             .where(F.col("row_count") > 1))
 
 
+def grain_summary(df: DataFrame, grain: list[str]) -> DataFrame:
+    """One row for the grain gate: groups, rows, duplicate groups and rows, verdict."""
+    g = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("n"))
+    return g.agg(F.count(F.lit(1)).alias("grain_groups"), F.sum("n").alias("row_count"),
+                 F.count_if(F.col("n") > 1).alias("duplicate_groups"),
+                 F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("duplicate_rows")) \
+        .withColumn("passed", F.col("duplicate_groups") == 0)
+
+
 def current_version_violations(versions: DataFrame) -> DataFrame:
     """Keys whose number of current SCD-2 versions is not exactly one, and
     negative validity intervals (both reject_batch)."""

@@ -76,7 +76,7 @@ _KEYS_SQL = ("CASE WHEN event_type = 'purchase' AND value > 400 THEN CAST([] AS
              f"WHEN event_type = 'signup' THEN {['_ingest_ts'] + _FIELDS} "
              f"ELSE {_FIELDS} END")
 CONTRACT_SQL = O.with_ctes(
-    f"""SELECT key, key IN {tuple(_FIELDS)} AS declared, sum(n) AS lines_with_key,
+    f"""SELECT key, key IN {tuple(_FIELDS)} AS declared, CAST(sum(n) AS BIGINT) AS lines_with_key,
               (SELECT count(*) FROM env WHERE NOT (event_type = 'purchase' AND value > 400)) AS total_lines,
               CASE WHEN key NOT IN {tuple(_FIELDS)} THEN 'undeclared'
                    WHEN sum(n) < (SELECT count(*) FROM env WHERE NOT (event_type = 'purchase' AND value > 400))

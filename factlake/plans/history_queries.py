@@ -89,7 +89,7 @@ def merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ASOF_SQL = O.with_ctes(
-    """SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey, r.cik, r.d, v.valid_from,
+    """SELECT r.l_orderkey, CAST(r.l_linenumber AS BIGINT) AS l_linenumber, r.l_partkey, r.l_suppkey, r.cik, r.d, v.valid_from,
               v.sic, v.state_of_incorporation
        FROM r ASOF JOIN versions v ON r.cik = v.cik AND r.d >= v.valid_from""",
     **O.SCD2_CTES,
@@ -112,7 +112,7 @@ def asof_dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FACT_FILING_SQL = f"""
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, f.accession_number,
+  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, f.accession_number,
          CAST(CAST(l_extendedprice AS DECIMAL(38,6)) AS DOUBLE) AS value,
          g.cik AS filing_cik, g.form_type, g.filed_date
   FROM (SELECT *, printf('%010d-00-000000', l_orderkey) AS accession_number FROM lineitem) f

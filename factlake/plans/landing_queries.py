@@ -64,7 +64,8 @@ def envelope_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("landing_write_roundtrip", O.with_ctes(
-    f"""SELECT logical_date, count(*) AS records, sum(length(line)) AS bytes, CAST(1 AS BIGINT) AS files,
+    f"""SELECT CAST(logical_date AS DATE) AS logical_date, count(*) AS records, CAST(sum(length(line)) AS BIGINT) AS bytes,
+              CAST(1 AS BIGINT) AS files,
               true AS identical_rerun
        FROM (SELECT logical_date, CAST(to_json({{'envelope_version': envelope_version, 'source_system': source_system,
                  'stream': stream, 'resource_id': resource_id, 'batch_id': batch_id, 'fetched_at': fetched_at,
@@ -96,7 +97,7 @@ def landing_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fanout_summary", O.with_ctes(
     """SELECT stream, CAST(logical_date AS DATE) AS logical_date, batch_id, count(*) AS records,
-              sum(length(payload_json)) AS bytes, CAST(2 AS BIGINT) AS sinks_written, CAST(1 AS BIGINT) AS push_failed
+              CAST(sum(length(payload_json)) AS BIGINT) AS bytes, CAST(2 AS BIGINT) AS sinks_written, CAST(1 AS BIGINT) AS push_failed
        FROM env GROUP BY ALL""", **INDEX_ENV))
 def fanout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered fan-out to a system of record, a copy and an unreachable copy."""
@@ -112,12 +113,13 @@ def fanout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dry_run_manifest", O.with_ctes(
     """SELECT stream, CAST(logical_date AS DATE) AS logical_date, batch_id, count(*) AS records,
-              sum(length(payload_json)) AS bytes, CAST(1 AS BIGINT) AS requests,
+              CAST(sum(length(payload_json)) AS BIGINT) AS bytes, CAST(1 AS BIGINT) AS requests,
               's3://raw-bucket/edgar/' || stream || '/logical_date=' || logical_date || '/' || batch_id || '.json.gz'
                 AS target_s3,
               '/Volumes/edgar/landing/edgar/' || stream || '/logical_date=' || logical_date || '/' || batch_id
                 || '.json.gz' AS target_volume,
-              (SELECT count(*) FROM env) AS total_records, (SELECT sum(length(payload_json)) FROM env) AS total_bytes
+              (SELECT count(*) FROM env) AS total_records,
+              (SELECT CAST(sum(length(payload_json)) AS BIGINT) FROM env) AS total_bytes
        FROM env GROUP BY ALL""", **INDEX_ENV))
 def dry_run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run would land, per batch, without writing (noop sink + observed totals)."""

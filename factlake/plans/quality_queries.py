@@ -86,14 +86,18 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 GRAIN = list(C.FACT_GRAIN)
 GRAIN_SQL = O.with_ctes(
-    f"""SELECT {', '.join(GRAIN)}, count(*) AS row_count FROM facts GROUP BY ALL HAVING count(*) > 1""",
-    facts=O.FACTS)
+    """SELECT count(*) AS grain_groups, CAST(sum(n) AS BIGINT) AS row_count,
+              count(*) FILTER (WHERE n > 1) AS duplicate_groups,
+              CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows,
+              count(*) FILTER (WHERE n > 1) = 0 AS passed
+       FROM g""",
+    facts=O.FACTS, g=f"SELECT {', '.join(GRAIN)}, count(*) AS n FROM facts GROUP BY ALL")
 
 
 @register("dq_grain_unique", GRAIN_SQL)
 def dq_grain_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups violating the declared fact grain (reject_batch gate input)."""
-    return dq.grain_violations(B.facts_from_lineitem(B.table(spark, sf_dir, "lineitem")), GRAIN)
+    """The fact grain gate (reject_batch): groups, rows, duplicates and the verdict."""
+    return dq.grain_summary(B.facts_from_lineitem(B.table(spark, sf_dir, "lineitem")), GRAIN)
 
 
 ONE_CURRENT_SQL = O.with_ctes(

@@ -146,7 +146,7 @@ def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("rate_audit", O.with_ctes(
-    """SELECT date_trunc('hour', s) AS bucket_start, sum(n) AS requests, max(n) AS peak_rps,
+    """SELECT date_trunc('hour', s) AS bucket_start, CAST(sum(n) AS BIGINT) AS requests, max(n) AS peak_rps,
               count(*) FILTER (WHERE n > 5) AS seconds_over_cap, max(n) > 5 AS throttled
        FROM (SELECT date_trunc('second', requested_at) AS s, count(*) AS n FROM log GROUP BY 1) GROUP BY 1""",
     log=LOG))

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from factlake.plans.bindings import TABLE_NAMES
 from tests.conftest import SF_SMALL
-from tools.oracle_compare import compare, register_views
+from tools.oracle_compare import compare, register_views, type_mismatches
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -26,7 +26,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    ok, msg = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    assert type_mismatches(df, con, ORACLE[name]) == []
+    ok, msg = compare(df, con, ORACLE[name])
     assert ok, f"{name}: {msg}"
 
 

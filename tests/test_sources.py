@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from factlake.session import to_local_path
 from factlake.sources import fixed_width as FW

@@ -50,3 +50,21 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     oc, oh = digest(ocols, orows)
     ok = len(rows) == len(orows) and sc == oc and sh == oh
     return ok, f"rows {len(rows)} vs {len(orows)}, cols_eq={sc == oc}, hash_eq={sh == oh}"
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> list[tuple[str, str, str]]:
+    """(column, spark type, duckdb type) where the two engines' column types differ."""
+    rel = con.sql(sql)
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in spark_df.schema.fields:
+        st = f.dataType.simpleString()
+        dt = duck.get(f.name)
+        if dt is None or SPARK_TO_DUCK.get(st, st.upper()) != dt:
+            out.append((f.name, st, dt))
+    return out
