@@ -169,10 +169,10 @@ def universe_from_customer(customer: DataFrame) -> DataFrame:
 
 
 def completed_from_orders(orders: DataFrame) -> DataFrame:
-    """Pairs already fetched in an interrupted run: concept 1 for customers
-    that have an order with order key divisible by 3; even customers' concept
-    was not reported (null envelope, still done)."""
-    return (orders.where(F.col("o_orderkey") % 3 == 0)
+    """Pairs already fetched in an interrupted run: the first concept of every
+    customer with a fulfilled order; for even customer keys it was not reported
+    (null envelope, still done)."""
+    return (orders.where(F.col("o_orderstatus") == "F")
             .select(K.pad_cik("o_custkey").alias("cik"), F.lit(C.CONCEPT_SET[0]).alias("concept"),
                     F.when(F.col("o_custkey") % 2 == 0, F.lit(None).cast("string"))
                     .otherwise(F.concat(F.lit("env:"), K.pad_cik("o_custkey"), F.lit("/"),

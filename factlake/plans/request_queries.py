@@ -25,7 +25,7 @@ def _plan(spark, sf_dir):
 UNIVERSE = f"SELECT DISTINCT {O.pad('c_custkey')} AS cik FROM customer"
 COMPLETED = f"""SELECT DISTINCT {O.pad('o_custkey')} AS cik, 'Revenues' AS concept,
                   CASE WHEN o_custkey % 2 = 0 THEN NULL ELSE 'env:' || {O.pad('o_custkey')} || '/Revenues' END AS envelope
-                FROM orders WHERE o_orderkey % 3 = 0"""
+                FROM orders WHERE o_orderstatus = 'F'"""
 CONCEPTS = f"SELECT unnest({O.CONCEPT_LIST}) AS concept"
 PLAN = """SELECT u.cik, c.concept, u.cik || '/' || c.concept AS resource_id,
                  printf('https://data.sec.gov/api/xbrl/companyconcept/CIK%s/us-gaap/%s.json', u.cik, c.concept)
