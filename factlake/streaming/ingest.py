@@ -47,20 +47,26 @@ ATTRS = ["cik", "company_name", "form_type", "base_form_type", "is_amendment", "
 
 
 def latest_snapshot(spark: SparkSession, table_root: str) -> DataFrame | None:
-    """The newest ``v=<epoch>`` snapshot under ``table_root`` (None when empty)."""
+    """The most recently committed ``v=<id>`` snapshot under ``table_root`` (None when empty).
+
+    Only snapshots with a ``_SUCCESS`` marker count, so a half-written one is never read.
+    """
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(table_root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return None
-    versions = []
+    done = []
     for st in fs.listStatus(path):
-        m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            versions.append(int(m.group(1)))
-    if not versions:
+        name = st.getPath().getName()
+        marker = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+        if re.fullmatch(r"v=[^/]+", name) and fs.exists(marker):
+            vid = name[2:]
+            done.append((fs.getFileStatus(marker).getModificationTime(),
+                          int(vid) if vid.isdigit() else -1, name))
+    if not done:
         return None
-    return spark.read.parquet(f"{table_root.rstrip('/')}/v={max(versions)}")
+    return spark.read.parquet(f"{table_root.rstrip('/')}/{max(done)[2]}")
 
 
 def silver_merge_stream(spark: SparkSession, landing_root: str, table_root: str, checkpoint: str,
