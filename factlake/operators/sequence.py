@@ -111,6 +111,8 @@ def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str
     (a subset of rows has no hotter keys), saving a sampling pass.
     """
     keys, order, cols = list(keys), list(order), list(cols)
+    if HOT_FLAG in df.columns:  # chained lags: the flag is recomputed for this split
+        df = df.drop(HOT_FLAG)
     hot, overflow = hot if hot is not None else hot_keys(df, keys)
     if overflow:
         return _range_lag(df, keys, order, cols, prefix, descending)

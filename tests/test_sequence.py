@@ -68,3 +68,20 @@ def test_lead_hot_path(spark):
     finally:
         spark.conf.unset("factlake.skew.hotKeyRows")
         spark.conf.unset("factlake.skew.sampleFraction")
+
+
+def test_chained_lags_on_hot_keys(spark):
+    from factlake.operators.merge import scd2_history
+    rows = [("1", f"2024-01-{d:02d}", "A" if d < 10 or d > 20 else "B") for d in range(1, 29)]
+    rows += [("2", "2024-01-05", "C")]
+    s = spark.createDataFrame(rows, "cik string, d string, name string").select(
+        "cik", F.to_date("d").alias("logical_date"), "name")
+    base = sorted(tuple(r) for r in scd2_history(s, "cik", ["name"]).collect())
+    spark.conf.set("factlake.skew.hotKeyRows", "3")
+    spark.conf.set("factlake.skew.sampleFraction", "1.0")
+    try:
+        hot = sorted(tuple(r) for r in scd2_history(s, "cik", ["name"]).collect())
+    finally:
+        spark.conf.unset("factlake.skew.hotKeyRows")
+        spark.conf.unset("factlake.skew.sampleFraction")
+    assert hot == base and len(base) == 4
