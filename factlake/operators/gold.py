@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factlake import contracts as C
-from factlake.operators.sequence import HOT_FLAG, ordered_lag
+from factlake.operators.sequence import HOT_FLAG, hot_keys, ordered_lag
 from factlake.plans.bindings import RUN_ID, generated_at
 
 FACT_KEY = list(C.FACT_KEY)
-FACT_ORDER = ["filed_date", "accession_number", "value"]
+FACT_ORDER = ["filed_date", "accession_number", "_tag_pref", "value"]
 CARRY = ["accession_number", "filed_date", "value", "decimals", "form_type"]
 
 
@@ -42,30 +42,25 @@ def tag_preference(tag: Column) -> Column:
     return F.coalesce(F.try_element_at(ranks, tag), F.lit(len(C.CONCEPT_MAP)))
 
 
-def one_tag_per_filing(facts: DataFrame) -> DataFrame:
-    """Within one accession keep one row per canonical grain, preferring the first mapped
-    tag, so a tag switch inside one filing is not read as a restatement.
-
-    Only mapped concepts can collide; they take a keyed reduction (partial
-    aggregation) while all other facts pass straight through.
-    """
-    if "concept_tag" not in facts.columns:
-        return facts
-    mapped = F.col("concept_tag").isin(*[t for t, _ in C.CONCEPT_MAP])
-    rest = [c for c in facts.columns if c not in FACT_KEY and c != "accession_number"]
-    picked = (facts.where(mapped).groupBy(*FACT_KEY, "accession_number")
-              .agg(F.min_by(F.struct(*rest), F.struct(tag_preference(F.col("concept_tag")), F.col("value")))
-                   .alias("_r"))
-              .select(*FACT_KEY, "accession_number", "_r.*"))
-    return facts.where(~mapped).unionByName(picked)
-
-
 def fact_sequence(facts: DataFrame) -> DataFrame:
-    """Valid facts with the previous assertion of the same fact attached and an event flag."""
+    """Valid facts with the previous assertion of the same fact attached and an event flag.
+
+    One ordered pass per fact key, ordered by (filed_date, accession, tag
+    preference, value): a row whose predecessor comes from the same accession
+    is a second tag (or copy) of one assertion and is dropped, keeping the
+    preferred tag, so a tag switch inside one filing is never a restatement.
+    The second lag runs on the same partitioning and order (no new exchange
+    or sort), and so does the latest view built on top of it.
+    """
     f = with_canonical_key(facts.where(F.col("value").isNotNull()))
     extra = [c for c in ("concept_tag", "fiscal_year", "fiscal_period") if c in f.columns]
-    f = one_tag_per_filing(f.select(*FACT_KEY, *CARRY, *extra))
-    seq = ordered_lag(f, FACT_KEY, FACT_ORDER, CARRY)
+    pref = tag_preference(F.col("concept_tag")) if "concept_tag" in f.columns else F.lit(0)
+    f = f.select(*FACT_KEY, *CARRY, *extra, pref.alias("_tag_pref"))
+    hot = hot_keys(f, FACT_KEY)
+    d = ordered_lag(f, FACT_KEY, FACT_ORDER, ["accession_number"], prefix="_same_", hot=hot)
+    d = d.where(~F.col("_same_accession_number").eqNullSafe(F.col("accession_number"))) \
+        .drop("_same_accession_number")
+    seq = ordered_lag(d, FACT_KEY, FACT_ORDER, CARRY, hot=hot)
     return seq.withColumn(
         "is_restatement",
         restatement_condition(F.col("value"), F.col("prev_value"), F.col("decimals"), F.col("prev_decimals")))

@@ -68,7 +68,7 @@ FINANCIALS_SQL = O.with_ctes(
     latest=f"""SELECT *, row_number() OVER k AS rn, count(*) OVER k AS assertion_count,
                   bool_or({O.IS_EVENT}) OVER k AS was_restated
                FROM seq WINDOW k AS (PARTITION BY cik, concept_canonical, unit, period_start, period_end,
-                  period_type ORDER BY filed_date DESC, accession_number DESC, value DESC
+                  period_type ORDER BY filed_date DESC, accession_number DESC, tag_pref DESC, value DESC
                   ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 
 

@@ -92,18 +92,28 @@ SCD2_CTES = dict(
 
 COMPANIES = f"SELECT {pad('c_custkey')} AS cik, c_name AS company_name FROM customer"
 
-# Facts in gold scope with the previous assertion of the same fact attached.
+# Facts in gold scope with the previous assertion of the same fact attached.  Consecutive rows of one
+# accession collapse to the first (preferred tag: map order, then unmapped; then lowest value).
 FACT_SEQUENCE = """
-  SELECT cik, coalesce(concept_canonical, concept_tag) AS concept_canonical, unit, period_start, period_end,
-         period_type, accession_number, filed_date, value, decimals, form_type, fiscal_year, fiscal_period,
+  SELECT *,
          lag(accession_number) OVER w AS prev_accession_number,
          lag(filed_date) OVER w AS prev_filed_date,
          lag(value) OVER w AS prev_value,
          lag(decimals) OVER w AS prev_decimals,
          lag(form_type) OVER w AS prev_form_type
-  FROM facts WHERE value IS NOT NULL
-  WINDOW w AS (PARTITION BY cik, coalesce(concept_canonical, concept_tag), unit, period_start, period_end,
-               period_type ORDER BY filed_date, accession_number, value)"""
+  FROM (SELECT * FROM (
+          SELECT *, lag(accession_number) OVER o AS same_acc
+          FROM (SELECT cik, coalesce(concept_canonical, concept_tag) AS concept_canonical, unit, period_start,
+                       period_end, period_type, accession_number, filed_date, value, decimals, form_type, fiscal_year,
+                       fiscal_period,
+                       CASE concept_tag WHEN 'Revenues' THEN 0
+                            WHEN 'RevenueFromContractWithCustomerExcludingAssessedTax' THEN 1 ELSE 2 END AS tag_pref
+                FROM facts WHERE value IS NOT NULL)
+          WINDOW o AS (PARTITION BY cik, concept_canonical, unit, period_start, period_end, period_type
+                       ORDER BY filed_date, accession_number, tag_pref, value))
+        WHERE same_acc IS DISTINCT FROM accession_number)
+  WINDOW w AS (PARTITION BY cik, concept_canonical, unit, period_start, period_end, period_type
+               ORDER BY filed_date, accession_number, tag_pref, value)"""
 
 IS_EVENT = """(prev_value IS NOT NULL
    AND abs(value - prev_value) > greatest(abs(prev_value) * 1e-6, 1e-6)
