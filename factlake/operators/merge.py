@@ -70,8 +70,7 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: list[str], arrays: tup
     s = snapshots.select(key, date_col, *tracked).withColumn(
         "_hash_diff", K.hash_diff(*tracked, arrays=arrays))
     hot = hot_keys(s, [key])
-    s = ordered_lag(s, [key], [date_col], ["_hash_diff"], prefix="prev_", hot=hot)
-    s = ordered_lead(s, [key], [date_col], ["_hash_diff"], prefix="next_", hot=hot)
+    s = ordered_lag(s, [key], [date_col], ["_hash_diff"], prefix="prev_", lead_cols=["_hash_diff"], hot=hot)
     s = (s.withColumn("_start", ~F.col("prev__hash_diff").eqNullSafe(F.col("_hash_diff")))
           .withColumn("_end", ~F.col("next__hash_diff").eqNullSafe(F.col("_hash_diff")))
           .where(F.col("_start") | F.col("_end")))

@@ -39,8 +39,8 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def _order_cols(order: list[str], descending: bool) -> list[Column]:
-    return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+def _order_cols(order: list[str]) -> list[Column]:
+    return [F.col(c).asc() for c in order]
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
@@ -69,63 +69,72 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
 HOT_FLAG = "_hot_key"
 
 
-def _plain_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*_order_cols(order, descending))
-    return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols], F.lit(False).alias(HOT_FLAG))
+def _plain(df: DataFrame, keys, order, lag_cols, lead_cols, prefix, next_prefix) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
+    return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in lag_cols],
+                     *[F.lead(c).over(w).alias(next_prefix + c) for c in lead_cols], F.lit(False).alias(HOT_FLAG))
 
 
-def _range_lag(df: DataFrame, keys, order, cols, prefix, descending) -> DataFrame:
+def _struct(cols: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(c) for c in cols]) if cols else F.struct(F.lit(None).alias("_none"))
+
+
+def _ranged(df: DataFrame, keys, order, lag_cols, lead_cols, prefix, next_prefix) -> DataFrame:
     n = shuffle_width(df.sparkSession)
-    ordering = [F.col(k).asc() for k in keys] + _order_cols(order, descending)
+    ordering = [F.col(k).asc() for k in keys] + _order_cols(order)
     # The piece id is read by two branches (local lag, piece summary).  Range
     # bounds are sampled per computation, so the assignment is materialised
     # once (reliable checkpoint in the shared folder) and both branches read it.
     checkpoint_root(df.sparkSession)
     r = df.repartitionByRange(n, *ordering).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
-    piece = Window.partitionBy(*keys, "_pid").orderBy(*_order_cols(order, descending))
-    local = r.select("*", F.row_number().over(piece).alias("_rn"),
-                     *[F.lag(c).over(piece).alias(prefix + c) for c in cols])
-    pick = F.min_by if descending else F.max_by
-    last = r.groupBy(*keys, "_pid").agg(
-        pick(F.struct(*[F.col(c).alias(c) for c in cols]),
-             F.struct(*[F.col(c) for c in order])).alias("_last"))
-    prev = (last.select(*keys, "_pid",
-                        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_pid")).alias("_prev")))
+    piece = Window.partitionBy(*keys, "_pid").orderBy(*_order_cols(order))
+    local = r.select("*", F.lag(F.lit(1)).over(piece).isNull().alias("_first_in_piece"),
+                     F.lead(F.lit(1)).over(piece).isNull().alias("_last_in_piece"),
+                     *[F.lag(c).over(piece).alias(prefix + c) for c in lag_cols],
+                     *[F.lead(c).over(piece).alias(next_prefix + c) for c in lead_cols])
+    ords = F.struct(*[F.col(c) for c in order])
+    summary = r.groupBy(*keys, "_pid").agg(F.max_by(_struct(lag_cols), ords).alias("_last"),
+                                           F.min_by(_struct(lead_cols), ords).alias("_first"))
+    over_pieces = Window.partitionBy(*keys).orderBy("_pid")
     # Bounded: range pieces are contiguous intervals of (key, order), so there are
     # at most (#hot keys + #partitions) of them; both are capped.
-    prev = F.broadcast(prev)
-    joined = local.join(prev, _null_safe_on(local, prev, list(keys) + ["_pid"]), "left")
+    edges = F.broadcast(summary.select(*keys, "_pid", F.lag("_last").over(over_pieces).alias("_prev"),
+                                       F.lead("_first").over(over_pieces).alias("_next")))
+    joined = local.join(edges, _null_safe_on(local, edges, list(keys) + ["_pid"]), "left")
     out = [local[c] for c in df.columns]
-    for c in cols:
-        out.append(F.when(local["_rn"] == 1, prev["_prev"][c]).otherwise(local[prefix + c]).alias(prefix + c))
+    out += [F.when(local["_first_in_piece"], edges["_prev"][c]).otherwise(local[prefix + c]).alias(prefix + c)
+            for c in lag_cols]
+    out += [F.when(local["_last_in_piece"], edges["_next"][c]).otherwise(local[next_prefix + c])
+            .alias(next_prefix + c) for c in lead_cols]
     return joined.select(*out, F.lit(True).alias(HOT_FLAG))
 
 
 def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
-                prefix: str = "prev_", descending: bool = False,
+                prefix: str = "prev_", lead_cols: list[str] = (), next_prefix: str = "next_",
                 hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` on the previous row of the same key.
+    """Add ``prefix + c`` = ``c`` on the previous row of the same key (and, for
+    ``lead_cols``, ``next_prefix + c`` = ``c`` on the next row), in one ordered pass.
 
     Rows of hot keys carry ``_hot_key = true`` (they went through the range path).
     ``hot`` may pass a ``hot_keys`` result computed once for a parent of ``df``
     (a subset of rows has no hotter keys), saving a sampling pass.
     """
-    keys, order, cols = list(keys), list(order), list(cols)
+    keys, order, cols, lead_cols = list(keys), list(order), list(cols), list(lead_cols)
     if HOT_FLAG in df.columns:  # chained lags: the flag is recomputed for this split
         df = df.drop(HOT_FLAG)
     hot, overflow = hot if hot is not None else hot_keys(df, keys)
+    args = (keys, order, cols, lead_cols, prefix, next_prefix)
     if overflow:
-        return _range_lag(df, keys, order, cols, prefix, descending)
+        return _ranged(df, *args)
     if hot is None:
-        return _plain_lag(df, keys, order, cols, prefix, descending)
+        return _plain(df, *args)
     hot_b = F.broadcast(hot)
     cold_rows = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_anti")
     hot_rows = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_semi")
-    return (_plain_lag(cold_rows, keys, order, cols, prefix, descending)
-            .unionByName(_range_lag(hot_rows, keys, order, cols, prefix, descending)))
+    return _plain(cold_rows, *args).unionByName(_ranged(hot_rows, *args))
 
 
 def ordered_lead(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                  prefix: str = "next_", hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
-    """``lead`` is the lag of the reversed order."""
-    return ordered_lag(df, keys, order, cols, prefix=prefix, descending=True, hot=hot)
+    """``lead`` in the same ascending order (shares the sort with lags on the same key)."""
+    return ordered_lag(df, keys, order, [], lead_cols=cols, next_prefix=prefix, hot=hot)
