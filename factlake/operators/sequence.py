@@ -19,6 +19,7 @@ The result equals ``lag(col) over (partition by keys order by order)``.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +44,13 @@ def _order_cols(order: list[str]) -> list[Column]:
     return [F.col(c).asc() for c in order]
 
 
+# Detected hot keys per (input plan, keys, settings).  Routing never changes a
+# result (both paths are exact), so a stale entry can only cost speed; the memo
+# saves re-sampling when several marts read the same facts in one session.
+_MEMO: OrderedDict = OrderedDict()
+_MEMO_SIZE = 64
+
+
 def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
     """Keys estimated (by sampling) to hold more than ``hotKeyRows`` rows.
 
@@ -54,10 +62,19 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
     max_hot = int(_conf(df, MAX_HOT_CONF, "10000"))
     if hot_rows <= 0:
         return None, False
-    sampled = df.select(*keys) if fraction >= 1.0 else df.select(*keys).sample(fraction=fraction, seed=17)
-    found = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") >= F.lit(max(1.0, hot_rows * fraction)))
-             .select(*keys).limit(max_hot + 1).collect())
+    projected = df.select(*keys)
+    memo_key = (projected._jdf.queryExecution().analyzed().semanticHash(), tuple(keys), hot_rows, fraction, max_hot)
+    if memo_key in _MEMO:
+        _MEMO.move_to_end(memo_key)
+        found = _MEMO[memo_key]
+    else:
+        sampled = projected if fraction >= 1.0 else projected.sample(fraction=fraction, seed=17)
+        found = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") >= F.lit(max(1.0, hot_rows * fraction)))
+                 .select(*keys).limit(max_hot + 1).collect())
+        _MEMO[memo_key] = found
+        while len(_MEMO) > _MEMO_SIZE:
+            _MEMO.popitem(last=False)
     if not found:
         return None, False
     if len(found) > max_hot:
