@@ -8,18 +8,23 @@ from pyspark.sql import types as T
 
 
 def replay_diff(a: DataFrame, b: DataFrame, by: str, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """Per ``by`` value: rows in each capture and rows only in one of them (multiset
-    difference both ways, ignoring metadata columns such as ``fetched_at``)."""
+    """Per ``by`` value: rows in each capture and rows only in one of them.
+
+    Multiset difference both ways (as EXCEPT ALL), ignoring metadata columns
+    such as ``fetched_at``, in two aggregations: each distinct row is counted
+    in both captures (partial aggregation collapses groups of copies), then
+    the surpluses are summed per ``by`` value.
+    """
     cols = [c for c in a.columns if c not in ignore]
-    a2, b2 = a.select(*cols), b.select(*cols)
-    only_a = a2.exceptAll(b2).groupBy(by).agg(F.count(F.lit(1)).alias("only_a"))
-    only_b = b2.exceptAll(a2).groupBy(by).agg(F.count(F.lit(1)).alias("only_b"))
-    na = a2.groupBy(by).agg(F.count(F.lit(1)).alias("rows_a"))
-    nb = b2.groupBy(by).agg(F.count(F.lit(1)).alias("rows_b"))
-    j = na.join(nb, by, "full_outer").join(only_a, by, "left").join(only_b, by, "left")
-    return j.select(by, F.coalesce("rows_a", F.lit(0)).alias("rows_a"), F.coalesce("rows_b", F.lit(0)).alias("rows_b"),
-                    F.coalesce("only_a", F.lit(0)).alias("only_a"), F.coalesce("only_b", F.lit(0)).alias("only_b"),
-                    (F.coalesce("only_a", F.lit(0)) + F.coalesce("only_b", F.lit(0)) == 0).alias("equivalent"))
+    u = (a.select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
+         .unionByName(b.select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
+    g = u.groupBy(*cols).agg(F.sum("_in_a").alias("_na"), F.sum("_in_b").alias("_nb"))
+    per = g.groupBy(by).agg(
+        F.sum("_na").alias("rows_a"), F.sum("_nb").alias("rows_b"),
+        F.sum(F.greatest(F.col("_na") - F.col("_nb"), F.lit(0))).alias("only_a"),
+        F.sum(F.greatest(F.col("_nb") - F.col("_na"), F.lit(0))).alias("only_b"))
+    return per.select(by, *[F.col(c).cast("bigint").alias(c) for c in ("rows_a", "rows_b", "only_a", "only_b")],
+                      ((F.col("only_a") + F.col("only_b")) == 0).alias("equivalent"))
 
 
 def key_diff(lines: DataFrame, declared: tuple[str, ...], text_col: str = "value") -> DataFrame:

@@ -11,6 +11,7 @@ from factlake.operators.merge import merge_upsert, scd2_history
 from factlake.plans import bindings as B
 from factlake.plans import oracle as O
 from factlake.plans.registry import register
+from factlake.session import scratch_dir
 
 TRACKED = ["company_name", "sic", "state_of_incorporation"]
 
@@ -106,7 +107,12 @@ def asof_dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", K.pad_cik("o_custkey").alias("cik"),
         F.to_date("l_shipdate").alias("d"))
-    v = versions(spark, sf_dir).select("cik", "valid_from", "valid_to", "sic", "state_of_incorporation")
+    # The dimension is a table in its own right: written once (shared folder), then read by
+    # both the horizon subquery and the join instead of being recomputed for each.
+    path = scratch_dir(spark, "company-versions")
+    versions(spark, sf_dir).select("cik", "valid_from", "valid_to", "sic", "state_of_incorporation") \
+        .write.mode("overwrite").parquet(path)
+    v = spark.read.parquet(path)
     j = asof_join(rows, v, "cik", "d", how="inner", version_cols=["sic", "state_of_incorporation"])
     return j.drop("valid_to")
 

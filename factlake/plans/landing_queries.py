@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from factlake import contracts as C
 from factlake.functions import keys as K
-from factlake.operators import bronze, silver
+from factlake.operators import bronze, setops, silver
 from factlake.plans import landed_inputs as L
 from factlake.plans import oracle as O
 from factlake.plans.registry import register
@@ -84,15 +84,13 @@ def landing_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("_metadata.file_path").alias("file"))
 
     a, b = lines(once), lines(twice)
-    diff = (a.select("logical_date", "line").exceptAll(b.select("logical_date", "line"))
-            .unionByName(b.select("logical_date", "line").exceptAll(a.select("logical_date", "line")))
-            .groupBy("logical_date").agg(F.count(F.lit(1)).alias("_diff")))
+    diff = setops.replay_diff(a.select("logical_date", "line"), b.select("logical_date", "line"), "logical_date")
     per = b.groupBy("logical_date").agg(F.count(F.lit(1)).alias("records"),
                                         F.sum(F.length("line")).alias("bytes"),
                                         F.countDistinct("file").alias("files"))
-    return per.join(diff, "logical_date", "left").select(
+    return per.join(diff.select("logical_date", "equivalent"), "logical_date", "left").select(
         F.to_date("logical_date").alias("logical_date"), "records", "bytes", "files",
-        F.col("_diff").isNull().alias("identical_rerun"))
+        F.coalesce(F.col("equivalent"), F.lit(False)).alias("identical_rerun"))
 
 
 @register("fanout_summary", O.with_ctes(

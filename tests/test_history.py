@@ -110,3 +110,17 @@ def test_company_typing_and_recent_filings(spark):
     f = sorted(silver.submission_filings(docs).collect(), key=lambda r: r.accession_number)
     assert [(r.accession_number, r.filing_date, r.form_type, r.primary_document) for r in f] == [
         ("0000320193-26-000001", "2026-07-29", "10-Q", "a.htm"), ("0000320193-26-000002", "2026-07-28", "4", "b.xml")]
+
+
+def test_replay_diff_is_multiset_difference(spark):
+    from factlake.operators.setops import replay_diff
+    a = spark.createDataFrame([("d1", "x", "t1"), ("d1", "x", "t1"), ("d1", "y", "t1"), ("d2", "z", "t1")],
+                              "d string, v string, fetched_at string")
+    b = spark.createDataFrame([("d1", "x", "t9"), ("d1", "y", "t9"), ("d1", "w", "t9"), ("d2", "z", "t9")],
+                              "d string, v string, fetched_at string")
+    got = {r.d: (r.rows_a, r.rows_b, r.only_a, r.only_b, r.equivalent)
+           for r in replay_diff(a, b, "d", ignore=("fetched_at",)).collect()}
+    ea = a.drop("fetched_at").exceptAll(b.drop("fetched_at")).count()
+    eb = b.drop("fetched_at").exceptAll(a.drop("fetched_at")).count()
+    assert got == {"d1": (3, 3, 1, 1, False), "d2": (1, 1, 0, 0, True)}
+    assert (ea, eb) == (1, 1)
