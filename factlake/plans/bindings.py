@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from factlake import contracts as C
 from factlake.functions import keys as K
+from factlake.session import spread
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -22,14 +23,6 @@ GENERATED_AT = "2026-01-01 00:00:00"
 AS_OF_DATE = "2026-07-30"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the cluster when an input has fewer splits than cores
-    (a single large row group, a gzip file); a no-op for inputs that split well,
-    which at scale is every table."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 

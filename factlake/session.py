@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on; applied only where the caller has not set them.
 ENGINE_DEFAULTS = {
@@ -73,3 +73,11 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def exists(path: str) -> bool:
     return os.path.exists(to_local_path(path))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster when an input has fewer splits than cores
+    (a single large row group, gzip files); a no-op for inputs that split well,
+    which at scale is every table."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from factlake import contracts as C
 from factlake.functions import keys as K
 from factlake.plans import bindings as B
+from factlake.session import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -77,7 +78,8 @@ def read_landing(spark: SparkSession, root: str, stream: str | None = None) -> D
     path = f"{root.rstrip('/')}/edgar/{stream}" if stream else root
     df = (spark.read.schema(envelope_read_schema()).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    # gzip files do not split: one task per file; spread before payload parsing.
+    return spread(df.withColumn("_source_file", F.col("_metadata.file_path")))
 
 
 def validate_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
