@@ -5,16 +5,18 @@ keys that is normally tens of rows, but one key may hold a large share of a
 table.  ``ordered_lag`` therefore:
 
 1. samples the key columns to find hot keys (bounded list, size-checked);
-2. runs ordinary keys through a plain ``lag`` window (one shuffle on the key);
-3. runs hot keys through a range-partitioned two-level lag: rows are range
-   partitioned on (key, order) and checkpointed with their partition id, lagged
-   inside each (key, partition) piece, and the first row of each piece takes
-   the last row of the previous piece from a per-piece summary.  Pieces are
-   contiguous ranges, so the summary holds at most (#hot keys + #partitions)
-   rows (broadcast, bounded by two caps).
-
-The result equals ``lag(col) over (partition by keys order by order)``.
-``order`` must be a total order inside each key for a deterministic answer.
+2. runs ordinary keys through plain ``lag``/``lead`` windows (one shuffle on
+   the key, one sort shared by every lag and lead on the same order);
+3. runs hot keys through a range-partitioned two-level pass: rows are range
+   partitioned on (key, order) and checkpointed with their partition id,
+   lagged/led inside each (key, partition) piece, and the first (last) row of
+   each piece takes the last (first) row of the previous (next) piece from a
+   per-piece summary.  Pieces are contiguous ranges, so the summary holds at
+   most (#hot keys + #partitions) rows (broadcast, bounded by two caps).
+
+The result equals ``lag(col)`` / ``lead(col) over (partition by keys order by
+order)``.  ``order`` must be a total order inside each key for a deterministic
+answer.
 """
 
 from __future__ import annotations
