@@ -91,3 +91,27 @@ def test_fanout_copy_failure_is_recorded_primary_failure_is_fatal(spark):
 def test_dry_run_writes_nothing(spark):
     totals = sink.dry_run(envelopes(spark))
     assert totals == {"records": 20, "bytes": sum(len(f'{{"i":{i}}}') for i in range(20))}
+
+
+def test_resumed_run_lands_the_same_bytes_as_a_straight_run(spark):
+    env = envelopes(spark, n=30, dates=("2026-07-28", "2026-07-29", "2026-07-30"))
+    straight, resumed = scratch_dir(spark, "s"), scratch_dir(spark, "r")
+    sink.write_stream(env, straight, "filing_index")
+    sink.write_stream(env.where(F.col("logical_date") < "2026-07-29"), resumed, "filing_index")
+    sink.write_stream(env.where(F.col("logical_date") >= "2026-07-29"), resumed, "filing_index")
+    assert part_bytes(straight) == part_bytes(resumed)
+
+
+def test_export_overwrites_never_appends(spark):
+    from factlake.plans import export as X
+    root = scratch_dir(spark, "serving")
+    t = spark.createDataFrame([(1,), (2,)], "a int")
+    X.export_tables({"t": t}, root)
+    X.export_tables({"t": t}, root)
+    assert spark.read.parquet(f"{root}/v1/t").count() == 2
+
+
+def test_dry_run_creates_nothing(spark):
+    root = scratch_dir(spark, "dry")
+    sink.dry_run(envelopes(spark))
+    assert not os.path.exists(to_local_path(root))
