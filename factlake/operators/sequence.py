@@ -65,8 +65,12 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
     if hot_rows <= 0:
         return None, False
     projected = df.select(*keys)
-    memo_key = (projected._jdf.queryExecution().analyzed().semanticHash(), tuple(keys), hot_rows, fraction, max_hot)
-    if memo_key in _MEMO:
+    try:
+        memo_key = (projected._jdf.queryExecution().analyzed().semanticHash(), tuple(keys), hot_rows, fraction,
+                    max_hot)
+    except Exception:  # noqa: BLE001 - no plan access: sample every time
+        memo_key = None
+    if memo_key is not None and memo_key in _MEMO:
         _MEMO.move_to_end(memo_key)
         found = _MEMO[memo_key]
     else:
@@ -74,9 +78,10 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
         found = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                  .where(F.col("_n") >= F.lit(max(1.0, hot_rows * fraction)))
                  .select(*keys).limit(max_hot + 1).collect())
-        _MEMO[memo_key] = found
-        while len(_MEMO) > _MEMO_SIZE:
-            _MEMO.popitem(last=False)
+        if memo_key is not None:
+            _MEMO[memo_key] = found
+            while len(_MEMO) > _MEMO_SIZE:
+                _MEMO.popitem(last=False)
     if not found:
         return None, False
     if len(found) > max_hot:

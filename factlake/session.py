@@ -79,5 +79,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin rows over the cluster when an input has fewer splits than cores
     (a single large row group, gzip files); a no-op for inputs that split well,
     which at scale is every table."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the input as it is
+        return df
+    return df.repartition(want) if have < want else df
