@@ -97,3 +97,16 @@ def file_report(validated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return validated.select(
         "file", *keep, "is_valid", "reason", "separator_line", "first_bad_line",
         F.when(F.col("is_valid"), body_rows).otherwise(F.lit(0)).cast("bigint").alias("row_count"))
+
+
+class IndexFormatError(ValueError):
+    """A daily index file whose layout changed; no row of it may be used."""
+
+
+def require_valid(validated: DataFrame) -> None:
+    """Strict mode: fail the run when any file is invalid, naming file, reason and line."""
+    bad = validated.where(~F.col("is_valid")).select("file", "reason", "first_bad_line").limit(1).collect()
+    if bad:
+        b = bad[0]
+        where = f" at line {b.first_bad_line}" if b.first_bad_line is not None else ""
+        raise IndexFormatError(f"{b.file}: {b.reason}{where}")

@@ -32,10 +32,26 @@ def landing_stream(spark: SparkSession, root: str, stream: str, max_files: int |
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def dedupe_relanded(envelopes: DataFrame, within: str) -> DataFrame:
+    """Drop envelopes whose (resource_id, content hash) was already seen within ``within``
+    of fetch time: a re-landed file adds nothing, changed content still does.  State is
+    bounded by the event-time watermark."""
+    return (envelopes.withColumn("_fetched_ts", F.to_timestamp("fetched_at"))
+            .withWatermark("_fetched_ts", within)
+            .dropDuplicatesWithinWatermark(["resource_id", "content_sha256"])
+            .drop("_fetched_ts"))
+
+
 def bronze_stream(spark: SparkSession, landing_root: str, table_path: str, checkpoint: str,
-                  max_files: int | None = None) -> int:
-    """Run once (availableNow) from the landing root into the bronze parquet table; returns rows added."""
-    src = bronze.filing_index_raw(landing_stream(spark, landing_root, "filing_index", max_files))
+                  max_files: int | None = None, dedupe_within: str | None = None) -> int:
+    """Run once (availableNow) from the landing root into the bronze parquet table; returns rows added.
+
+    With ``dedupe_within`` (e.g. "2 days"), re-landed copies of an envelope are dropped too.
+    """
+    env = landing_stream(spark, landing_root, "filing_index", max_files)
+    if dedupe_within:
+        env = dedupe_relanded(env, dedupe_within)
+    src = bronze.filing_index_raw(env)
     q = (src.writeStream.format("parquet").option("path", table_path)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

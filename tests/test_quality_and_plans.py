@@ -107,3 +107,23 @@ def test_streaming_rate_audit_with_watermark(spark):
     assert got.count() >= closed.count() > 0
     assert closed.exceptAll(got.select(*closed.columns)).count() == 0
     assert got.groupBy("second").count().where("count > 1").count() == 0
+
+
+def test_stream_dedupes_relanded_envelopes_within_watermark(spark):
+    from factlake.sinks import landing as sink
+    env = L.index_envelopes_with_extras(spark, SF_SMALL).where(F.col("logical_date") == "2024-01-02")
+    n = env.count()
+    root = scratch_dir(spark, "land")
+    sink.write_stream(env, root, "filing_index")
+    table, ckpt = scratch_dir(spark, "t"), scratch_dir(spark, "c")
+    assert ingest.bronze_stream(spark, root, table, ckpt, dedupe_within="2 days") == n
+    sink.write_stream(env, root, "filing_index")  # the same batch landed again: a new file, same content
+    ingest.bronze_stream(spark, root, table, ckpt, dedupe_within="2 days")
+    assert spark.read.parquet(table).count() == n
+    # without de-duplication the same sequence appends the re-landed copy
+    root2, plain_t, plain_c = scratch_dir(spark, "land"), scratch_dir(spark, "t"), scratch_dir(spark, "c")
+    sink.write_stream(env, root2, "filing_index")
+    ingest.bronze_stream(spark, root2, plain_t, plain_c)
+    sink.write_stream(env, root2, "filing_index")
+    ingest.bronze_stream(spark, root2, plain_t, plain_c)
+    assert spark.read.parquet(plain_t).count() == 2 * n

@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from factlake.session import to_local_path
 from factlake.sources import fixed_width as FW
@@ -126,3 +127,12 @@ def test_envelope_line_validation(spark):
     got = [r.invalid_reason for r in src.validate_lines(df).collect()]
     assert got == [None, "http_status_not_int", "missing:payload_json", "private_key:_ingest_ts",
                    "null:resource_id", "unparseable"]
+
+
+def test_strict_mode_raises_on_a_bad_file(spark, tmp_root):
+    write_files(tmp_root, {"good.idx": "\n".join(HEADER + ROWS),
+                           "shifted.idx": "\n".join(HEADER + [" " * 12 + r for r in ROWS])})
+    v = FW.validate_files(FW.read_index_files(spark, tmp_root))
+    with pytest.raises(FW.IndexFormatError, match="shifted.idx: cik_not_numeric at line 11"):
+        FW.require_valid(v)
+    FW.require_valid(v.where(F.col("file").endswith("good.idx")))
