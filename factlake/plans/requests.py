@@ -110,3 +110,11 @@ def missing_resources(universe_df: DataFrame, log: DataFrame) -> DataFrame:
                     F.coalesce("landed", F.lit(0)).alias("landed"),
                     F.when(F.col("requests").isNull(), F.lit("not_requested"))
                     .when(F.col("landed") > 0, F.lit("landed")).otherwise(F.lit("missing")).alias("status"))
+
+
+def fetch_accounting(fetched: DataFrame) -> DataFrame:
+    """Run counters over the pairs fetched in this run: requests made, records landed,
+    and concepts not reported (404: a null envelope, done but landing nothing)."""
+    return fetched.agg(F.count(F.lit(1)).alias("requests"),
+                       F.count_if(F.col("envelope").isNotNull()).alias("records"),
+                       F.count_if(F.col("envelope").isNull()).alias("not_reported"))

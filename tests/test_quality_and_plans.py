@@ -127,3 +127,10 @@ def test_stream_dedupes_relanded_envelopes_within_watermark(spark):
     sink.write_stream(env, root2, "filing_index")
     ingest.bronze_stream(spark, root2, plain_t, plain_c)
     assert spark.read.parquet(plain_t).count() == 2 * n
+
+
+def test_fetch_accounting(spark):
+    fetched = spark.createDataFrame([("1", "Assets", "e1"), ("1", "Revenues", None), ("2", "Assets", "e2")],
+                                    "cik string, concept string, envelope string")
+    r = R.fetch_accounting(fetched).first()
+    assert (r.requests, r.records, r.not_reported) == (3, 2, 1)
