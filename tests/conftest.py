@@ -18,9 +18,7 @@ def spark():
     s = local_session(cpus="*", shuffle_partitions=8, app="factlake-tests", memory="6g")
     # Tests set their own shared folder only because none is configured here.
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="factlake-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="factlake-test-ckpt-"))
     yield s
     s.stop()
 

@@ -4,12 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from factlake.plans import registry
 from factlake.plans.bindings import TABLE_NAMES
 from tests.conftest import SF_SMALL
 from tools.oracle_compare import compare, register_views, type_mismatches
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
+ORACLE = dict(registry.ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,11 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, f"{name}: {msg}"
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
