@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factlake.llm.common import let
+from factlake.llm.common import written
 
 LEAD = 3
 MIN_TOKENS = 4
@@ -36,46 +36,44 @@ SPACES = " \t\x0b\x0c\r"
 
 
 def masked_tokens(line: Column) -> Column:
-    """Tokens of a line, variable fields masked."""
+    """Tokens of a line, variable fields masked (the slow replacement only where there is one)."""
     trimmed = F.btrim(line, F.lit(SPACES))
-    masked = F.regexp_replace(trimmed, r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*", "<*>")
+    masked = F.when(trimmed.rlike("[0-9@]"), F.regexp_replace(trimmed, r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*", "<*>")).otherwise(trimmed)
     return F.split(masked, r"[\x20\x09-\x0D]+")
 
 
 def template_keys(tokens: Column) -> Column:
-    """Hashes of the three candidate templates, null where a form does not apply."""
+    """(form, hash) of the candidate templates that apply, most specific first."""
     n = F.size(tokens)
     half = F.floor((n - LEAD) / 2).cast("int")
-    text = lambda kind, *parts: F.xxhash64(F.lit(kind), n, *[F.array_join(p, " ") for p in parts])
+    key = lambda form, *parts: F.struct(F.lit(form).alias("form"), F.xxhash64(F.lit(form), n, *[F.array_join(p, " ") for p in parts]).alias("key"))
     lead = F.slice(tokens, 1, LEAD)
     long_enough = half >= MIN_HALF
-    return F.when(n >= MIN_TOKENS, F.array(
-        text("full", tokens),
-        F.when(long_enough, text("first", lead, F.slice(tokens, LEAD + 1, half))),
-        F.when(long_enough, text("second", lead, F.slice(tokens, F.lit(LEAD + 1) + half, n - LEAD - half))))).otherwise(
-        F.array().cast("array<long>"))
+    return F.array_compact(F.array(
+        F.when(n >= MIN_TOKENS, key(0, tokens)),
+        F.when(long_enough, key(1, lead, F.slice(tokens, LEAD + 1, half))),
+        F.when(long_enough, key(2, lead, F.slice(tokens, F.lit(LEAD + 1) + half, n - LEAD - half)))))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """k_id, k_text (a document's identity), pos, keys per line that can have a template."""
+    """k_id, k_text (a document's identity), pos, form, key: the candidate templates of every line, written once."""
     parsed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("k_id"), F.xxhash64("text").alias("k_text"),
                          F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    keyed = parsed.select("k_id", "k_text", "pos", let(masked_tokens(F.col("line")), template_keys).alias("keys"))
-    return keyed.filter(F.size("keys") > 0)
+    keyed = parsed.select("k_id", "k_text", "pos", masked_tokens(F.col("line")).alias("tokens"))
+    keyed = keyed.select("k_id", "k_text", "pos", F.explode(template_keys(F.col("tokens"))).alias("t"))
+    return written(keyed.select("k_id", "k_text", "pos", "t.form", "t.key"), "line-templates")
 
 
 def recurring(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Template keys held by at least ``min_docs`` distinct documents."""
-    each = lines.select("k_text", F.explode("keys").alias("key")).filter("key is not null")
-    return each.groupBy("key", "k_text").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs).select("key")
+    return lines.groupBy("key", "k_text").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs).select("key")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(k_id, k_text, gone): positions of the lines to drop, per document."""
     lines = _lines(docs)
     keys = recurring(lines, min_docs)
-    each = lines.select("k_id", "k_text", "pos", F.posexplode("keys").alias("form", "key")).filter("key is not null")
-    best = each.join(keys, "key").groupBy("k_id", "k_text", "pos").agg(F.min(F.struct("form", "key")).alias("t"))
+    best = lines.join(keys, "key").groupBy("k_id", "k_text", "pos").agg(F.min(F.struct("form", "key")).alias("t"))
     best = best.select("k_id", "k_text", "pos", F.col("t.key").alias("key"))
     first = best.groupBy("key").agg(F.min(F.struct("k_id", "k_text", "pos")).alias("keep"))
     rest = best.join(first, "key").filter(~((F.col("k_id") == F.col("keep.k_id")) & (F.col("k_text") == F.col("keep.k_text")) & (F.col("pos") == F.col("keep.pos"))))
