@@ -16,7 +16,6 @@ Extra columns pass through ``scan`` untouched.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -297,5 +296,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     return hit.mapInArrow(run, schema)
 
 
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+_WORDS = """list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[0-9a-z\\x{80}-\\x{10FFFF}]+'), lambda x: x <> '')"""
+ORACLE = f"""
+WITH item AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least({WINDOW}, len(w)) AS m, array_to_string(w[i:i + least({WINDOW}, len(w)) - 1], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+size AS (SELECT DISTINCT m FROM win),
+hit AS (SELECT rid, i, m, item FROM (
+    SELECT rid, i, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+      SELECT rid, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM doc, size WHERE len(w) >= m)) JOIN win USING (m, g)),
+cover AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT rid, i, m FROM hit)) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(cover.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(found.s, '')) AS items_sha256, coalesce(cover.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN cover USING (rid) LEFT JOIN found USING (rid)
+"""

@@ -298,16 +298,14 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     columns = docs.columns
 
     keyed = docs.withColumn("__id", id_)
-    chosen = keyed.join(keep, "__id", "inner").mapInArrow(_only_member(columns, len(columns)), docs.select(*columns, id_.alias("__id")).schema)
+    chosen = keyed.join(keep, "__id", "inner").mapInArrow(_only_member(columns), docs.select(*columns, id_.alias("__id")).schema)
     chosen = chosen.dropDuplicates(["__id"]).select(*columns)
     wordless = docs.filter(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"))
     return chosen.unionByName(wordless)
 
 
-def _only_member(columns: list[str], n: int):
+def _only_member(columns: list[str]):
     """Rows whose text has the class's shingle set (doc_ids can repeat with other texts)."""
-    at = columns.index("text")
-
     def run(batches):
         for b in batches:
             names = b.schema.names
@@ -315,5 +313,20 @@ def _only_member(columns: list[str], n: int):
             keep = pa.array([set_key(shingle_set(t)) == r for t, r in zip(text, rid)], pa.bool_())
             cols = [b.column(names.index(c)).filter(keep) for c in [*columns, "__id"]]
             yield pa.RecordBatch.from_arrays(cols, names=[*columns, "__id"])
-    del at
     return run
+
+
+_WORDS = """list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[0-9a-z\\x{80}-\\x{10FFFF}]+'), lambda x: x <> '')"""
+ORACLE = f"""
+WITH RECURSIVE doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+sh AS (SELECT DISTINCT rid, array_to_string(w[i:i + least({SHINGLE}, len(w)) - 1], ' ') AS s FROM (
+  SELECT rid, w, unnest(range(1, greatest(1, len(w) - {SHINGLE - 1}) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+link AS (SELECT a, b, c = x.n AND c = y.n AS same FROM (SELECT p.rid AS a, q.rid AS b, count(*) AS c FROM sh p JOIN sh q USING (s) WHERE p.rid <> q.rid GROUP BY 1, 2)
+  JOIN size x ON x.rid = a JOIN size y ON y.rid = b WHERE {DEN} * c >= {NUM} * (x.n + y.n - c)),
+reach AS (SELECT rid AS a, rid AS b FROM doc UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+class AS (SELECT a AS rid, min(doc_id) AS class_id FROM reach JOIN doc ON doc.rid = b GROUP BY a),
+degree AS (SELECT a AS rid, count(*) AS n, count(*) FILTER (WHERE same) AS k FROM link GROUP BY a)
+SELECT doc_id, class_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(k, 0)::BIGINT AS n_copies FROM doc JOIN class USING (rid) LEFT JOIN degree USING (rid)
+"""

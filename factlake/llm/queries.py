@@ -83,13 +83,13 @@ def op5(spark, sf_dir):
     return line_templates.line_dedup(table(spark, sf_dir, "documents"))
 
 
-@register("op6_chat_format")
+@register("op6_chat_format", chat_format.ORACLE)
 def op6(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat_format.format_conversations(conversations.unionByName(chat_format.conflict_case(spark)))
 
 
-@register("op7_decontamination")
+@register("op7_decontamination", decontaminate.ORACLE)
 def op7(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -99,7 +99,7 @@ def op8(spark, sf_dir):
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
-@register("op9_jaccard_forest")
+@register("op9_jaccard_forest", jaccard_forest.ORACLE)
 def op9(spark, sf_dir):
     return jaccard_forest.links(table(spark, sf_dir, "documents"))
 
