@@ -119,11 +119,11 @@ ld_key AS (
   UNION ALL SELECT rid, doc_id, text, pos, 2, 'second ' || n || ' ' || array_to_string(tk[1:{LEAD}], ' ') || chr(10) || array_to_string(tk[{LEAD}+half+1:n], ' ') FROM ld_n WHERE half >= {MIN_HALF}),
 ld_rec AS (SELECT k FROM ld_key GROUP BY k HAVING count(DISTINCT text) >= {min_docs}),
 ld_best AS (SELECT rid, doc_id, text, pos, k, row_number() OVER (PARTITION BY rid, pos ORDER BY form) AS r FROM ld_key JOIN ld_rec USING (k)),
-ld_rank AS (SELECT rid, pos, rank() OVER (PARTITION BY k ORDER BY doc_id, pos) AS seen FROM ld_best WHERE r = 1),
+ld_rank AS (SELECT rid, pos, rank() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, pos) AS seen FROM ld_best WHERE r = 1),
 ld_gone AS (SELECT rid, list(pos) AS gone FROM ld_rank WHERE seen > 1 GROUP BY rid),
 ld_text AS (SELECT rid, doc_id, string_split(text, chr(10)) AS ls, coalesce(gone, []) AS gone,
     coalesce(array_to_string(list_transform(list_filter(list_zip(string_split(text, chr(10)), range(len(string_split(text, chr(10))))), lambda x: NOT list_contains(coalesce(gone, []), x[2])), lambda x: x[1]), chr(10)), '') AS kept_text
   FROM ld_base LEFT JOIN ld_gone USING (rid))"""
 
 
-ORACLE = f"WITH {oracle_ctes('documents')} SELECT doc_id, len(ls)::BIGINT AS n_lines, len(gone)::BIGINT AS n_dropped, sha256(kept_text) AS kept_sha256 FROM ld_text"
+ORACLE = f"WITH {oracle_ctes('documents')} SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, len(gone)::BIGINT AS n_dropped, sha256(kept_text) AS kept_sha256 FROM ld_text"
