@@ -81,7 +81,7 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def _marked(docs: DataFrame, min_docs: int) -> DataFrame:
-    keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("k_id"), F.xxhash64("text").alias("k_text"))
+    keyed = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("__row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("k_id"), F.xxhash64("text").alias("k_text"))
     return keyed.join(dropped_lines(docs.select("doc_id", "text"), min_docs), ["k_id", "k_text"], "left")
 
 
@@ -93,7 +93,7 @@ def _kept_text(text: Column, gone: Column) -> Column:
 def deduplicated(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with recurring lines cut from ``text``; every row stays."""
     marked = _marked(docs, min_docs)
-    return marked.select(*[_kept_text(F.col("text"), F.col("gone")).alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return marked.select(*[_kept_text(F.col("text"), F.col("gone")).alias("text") if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])
 
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
