@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from factlake.plans import registry
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
 
 
 def plan(spark, name):
