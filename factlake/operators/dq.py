@@ -133,8 +133,9 @@ def gate(violations: DataFrame, check_name: str) -> None:
 
 
 def freshness(filings: DataFrame, now_ts: str, limit_hours: int = C.FRESHNESS_LIMIT_HOURS) -> DataFrame:
-    """Serving health: stale when now - max(filed_date) exceeds the limit."""
+    """Serving health: stale when now - max(filed_date) exceeds the limit, to the second, or when nothing was filed."""
     mx = filings.agg(F.max("filed_date").alias("gold_max_filed_date"))
     age = F.expr(f"timestampdiff(HOUR, CAST(gold_max_filed_date AS TIMESTAMP), TIMESTAMP'{now_ts}')")
     return mx.select("gold_max_filed_date", age.cast("bigint").alias("age_hours"),
-                     (age > F.lit(limit_hours)).alias("is_stale"))
+                     F.coalesce(F.expr(f"CAST(gold_max_filed_date AS TIMESTAMP) < TIMESTAMP'{now_ts}' - INTERVAL '{limit_hours}' HOUR"),
+                                F.lit(True)).alias("is_stale"))

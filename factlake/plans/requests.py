@@ -59,23 +59,28 @@ def coverage(reported: DataFrame, concepts: tuple[str, ...] = C.CONCEPT_SET) ->
 
 
 def classify_outcome(stream: Column, status: Column) -> Column:
-    """HTTP status -> fetch outcome, per stream (404 means different things per stream)."""
-    retryable = status.isin(*C.RETRYABLE_STATUSES)
+    """HTTP status -> fetch outcome, per stream (404 means different things per stream).
+
+    No status is a transport error, which is retried like a busy server."""
+    retryable = is_retryable(status)
     return (F.when(status == 200, F.lit("ok"))
             .when((status == 404) & (stream == "filing_index"), F.lit("no_filings"))
             .when((status == 404) & (stream == "company_concept"), F.lit("not_reported"))
             .when(status == 404, F.lit("failed"))
             .when(status == 403, F.lit("forbidden_or_missing"))
             .when(retryable, F.lit("retryable"))
-            .when(status >= 400, F.lit("unexpected"))
             .otherwise(F.lit("unexpected")))
 
 
+def is_retryable(status: Column) -> Column:
+    return status.isNull() | status.isin(*C.RETRYABLE_STATUSES)
+
+
 def fetch_outcomes(log: DataFrame) -> DataFrame:
     return log.select(
         "request_id", "stream", "http_status",
         classify_outcome(F.col("stream"), F.col("http_status")).alias("outcome"),
-        F.col("http_status").isin(*C.RETRYABLE_STATUSES).alias("retryable"))
+        is_retryable(F.col("http_status")).alias("retryable"))
 
 
 def rate_audit(log: DataFrame, cap_rps: int = C.RATE_LIMIT_DEFAULT_RPS, bucket: str = "1 hour") -> DataFrame:
