@@ -34,9 +34,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_VALUE = 6
 KINDS = ("assign", "access", "hex", "literal")
 
-NAME = r"[A-Za-z_][A-Za-z0-9_.-]{0,127}"
+# Possessive runs, each entered only at its start: lexing is linear, whatever the length of a name.
+NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
 PAIR = re.compile(
-    rf"""(?P<q>["']?)(?P<name>{NAME})(?P=q)[ \t]*(?::=|[:=](?!=))[ \t]*"""
+    rf"""(?P<q>["']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>{NAME})(?P=q)[ \t]*+(?::=|[:=](?!=))[ \t]*+"""
     rf"""(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9_./+=@%$!#~^&*-]+)"""
     rf"""(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|{NAME}))*)""")
 PART = re.compile(r"""(?P<s>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<w>[^\s"']+)""")
@@ -81,30 +82,36 @@ def lex(text: str):
 
 
 def literal_spans(text: str) -> list[tuple[int, int]]:
-    """Spans of literals that reach a sensitive name, directly or through constants."""
-    holds: dict[str, frozenset[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], int] = {}
+    """Spans of literals that reach a sensitive name, directly or through constants.
+
+    Every assignment is a node that points to its own literals and to the assignments its names held
+    at that point.  Weights flow back from the last assignment to the first, so each literal
+    gets the greatest weight it reaches in one pass over the parts."""
+    nodes: list[tuple[list[tuple[int, int]], list[int]]] = []
+    weight: list[int] = []
+    holds: dict[str, int] = {}
     for name, parts in lex(text):
-        got: set[tuple[int, int]] = set()
+        literals, refs = [], []
         for p in parts:
             if p[0] == "lit":
-                got.add((p[1], p[2]))
+                literals.append((p[1], p[2]))
             elif p[1] in holds:
-                got |= holds[p[1]]
+                refs.append(holds[p[1]])
             else:
-                got.add((p[2], p[3]))  # a bare word that names no constant is a literal itself
-        if len(got) <= 64:  # a constant built of more literals is no single secret
-            holds[name] = frozenset(got)
-        else:
-            holds.pop(name, None)
-        if w := name_weight(name):
-            for s in got:
-                best[s] = max(best.get(s, 0), w)
+                literals.append((p[2], p[3]))  # a bare word that names no constant is a literal itself
+        holds[name] = len(nodes)
+        nodes.append((literals, refs))
+        weight.append(name_weight(name))
     out = []
-    for (a, b), w in best.items():
-        v = literal_weight(text[a:b])
-        if v and w + v >= THRESHOLD:
-            out.append((a, b))
+    for k in range(len(nodes) - 1, -1, -1):
+        if not weight[k]:
+            continue
+        for r in nodes[k][1]:
+            weight[r] = max(weight[r], weight[k])
+        for a, b in nodes[k][0]:
+            v = literal_weight(text[a:b])
+            if v and weight[k] + v >= THRESHOLD:
+                out.append((a, b))
     return sorted(out)
 
 

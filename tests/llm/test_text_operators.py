@@ -176,6 +176,9 @@ def test_constants_propagate():
     assert found("export API_KEY=f0o8ar77Qz") == ["f0o8ar77Qz"]
     assert found('colour = "Zx9$kq02Lm4v"\npassword = "changeme"\nname: value') == []
     assert secret_scan.literal_spans("") == []
+    many = [f"Zx9kq{i:03d}Lm" for i in range(200)]  # a long chain of constants loses none of its literals
+    assert found("v = " + " + ".join(f'"{m}"' for m in many) + "\nw = v\nsecret_token = w\n") == many
+    assert found("n" * 300 + '_password = "Zx9$kq02Lm4v"') == ["Zx9$kq02Lm4v"]
 
 
 def test_redact(llm):
