@@ -335,9 +335,10 @@ def covered(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFr
     """(tkey, spans): covered intervals (begin, end, begin, end, ..., not merged) of each text that has any."""
     long_ = _keyed(docs).filter(F.octet_length("body") >= length)
     texts = long_.groupBy("tkey").agg(F.count("*").alias("rows"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("one"))
-    found = written(long_.select("tkey", "body").mapInArrow(_anchor_rows(length), "tkey binary, first long, fp long"), "suffix-anchors").distinct()
-    twice = found.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    repeated = found.join(twice, "fp", "left_semi").groupBy("tkey").agg(F.collect_list("first").alias("starts"))
+    found = written(long_.select("tkey", "body").mapInArrow(_anchor_rows(length), "tkey binary, first long, fp long"), "suffix-anchors")
+    place = F.xxhash64("tkey", "first")  # copies of a text share their places
+    twice = found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("fp")
+    repeated = found.join(twice, "fp", "left_semi").groupBy("tkey").agg(F.collect_set("first").alias("starts"))
     holder = long_.withColumn("one", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(texts.select("tkey", "one"), ["tkey", "one"], "left_semi")
     contexts = holder.join(repeated, "tkey").select("tkey", "body", "starts").mapInArrow(_contexts(length), CONTEXT)
     ordered = contexts.repartition("fp").sortWithinPartitions("fp", "content", "left", "tkey", "first")
