@@ -26,7 +26,7 @@ BRONZE_TABLES = {
     "company_concept": ("company_concept_raw", bronze.company_concept_raw),
 }
 COMPANY_TRACKED = ["company_name", "sic", "sic_description", "entity_type", "state_of_incorporation",
-                   "fiscal_year_end", "tickers", "exchanges"]
+                   "fiscal_year_end", "tickers", "exchanges"]  # gold's profile needs entity_type
 COMPANY_ARRAYS = ("tickers", "exchanges")
 
 
@@ -38,7 +38,7 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 def bronze_job(spark: SparkSession, landing_root: str, bronze_root: str,
                streams: tuple[str, ...] = C.STREAMS) -> dict[str, int]:
-    """Append each stream's not-yet-ingested landing files to its bronze table."""
+    """Bring each stream's bronze table up to the landed files; returns the rows each gained."""
     added = {}
     for stream in streams:
         if not _path_exists(spark, f"{landing_root.rstrip('/')}/edgar/{stream}"):
@@ -46,13 +46,10 @@ def bronze_job(spark: SparkSession, landing_root: str, bronze_root: str,
             continue
         table, unwrap = BRONZE_TABLES[stream]
         path = f"{bronze_root.rstrip('/')}/{table}"
-        existing = spark.read.parquet(path) if _path_exists(spark, path) else None
-        new = bronze.append_new_files(existing, unwrap(read_landing(spark, landing_root, stream)))
+        new = unwrap(read_landing(spark, landing_root, stream))
         new = new.withColumn("content_sha256", F.sha2(F.coalesce("payload_json", F.lit("")), 256)) \
             if "payload_json" in new.columns else new
-        before = existing.count() if existing is not None else 0
-        new.write.mode("append").parquet(path)
-        added[stream] = spark.read.parquet(path).count() - before
+        added[stream] = bronze.refresh_dates(new, path)
     return added
 
 
@@ -75,9 +72,9 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, run_id:
     typed = silver.type_filings(idx).withColumn("_ingest_batch_id", F.lit(run_id))
     ev = dq.evaluate(typed, "filing", as_of_date)
     good, _ = dq.split(ev)
-    dq.quarantine(ev, "filing", run_id=run_id).write.mode("append").parquet(f"{s}/filing_quarantine")
+    dq.quarantine(ev, "filing", run_id=run_id).write.mode("overwrite").parquet(f"{s}/filing_quarantine/v={run_id}")
     metrics.append(dq.metrics(typed, "filing", as_of_date, run_id))
-    target = latest_snapshot(spark, f"{s}/filing")
+    target = latest_snapshot(spark, f"{s}/filing", exclude=run_id)
     merged = merge_upsert(target, silver.dedupe_filings(good.drop("dq_failed", "dq_status", "_ingest_batch_id")),
                           ["accession_number"], ["cik", "company_name", "form_type", "base_form_type", "is_amendment",
                                                  "filed_date", "primary_doc_url"], run_ts)
@@ -89,31 +86,35 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, run_id:
     comp = silver.company_from_submissions(subs)
     cev = dq.evaluate(comp, "company", as_of_date)
     cgood, _ = dq.split(cev)
-    dq.quarantine(cev, "company", run_id=run_id).write.mode("append").parquet(f"{s}/company_quarantine")
+    dq.quarantine(cev, "company", run_id=run_id).write.mode("overwrite").parquet(f"{s}/company_quarantine/v={run_id}")
     metrics.append(dq.metrics(comp, "company", as_of_date, run_id))
     versions = scd2_history(cgood.drop("dq_failed", "dq_status"), "cik", COMPANY_TRACKED, arrays=COMPANY_ARRAYS)
     dq.gate(dq.current_version_violations(versions), "company_one_current_per_cik")
     versions.write.mode("overwrite").parquet(f"{s}/company/v={run_id}")
     res.tables["company"] = f"{s}/company/v={run_id}"
 
-    # financial_fact: concept documents exploded, checked, grain-gated
+    # financial_fact: concept documents exploded, checked, grain-gated per capture (each daily document
+    # repeats earlier assertions), then merged on the grain
     concepts = spark.read.parquet(f"{b}/company_concept_raw")
     facts = silver.facts_from_concepts(concepts)
     fev = dq.evaluate(facts, "financial_fact", as_of_date)
     fgood, _ = dq.split(fev)
-    dq.quarantine(fev, "financial_fact", run_id=run_id).write.mode("append") \
-        .parquet(f"{s}/financial_fact_quarantine")
+    dq.quarantine(fev, "financial_fact", run_id=run_id).write.mode("overwrite") \
+        .parquet(f"{s}/financial_fact_quarantine/v={run_id}")
     metrics.append(dq.metrics(facts, "financial_fact", as_of_date, run_id))
     fgood = fgood.drop("dq_failed", "dq_status")
-    dq.gate(dq.grain_violations(fgood, list(C.FACT_GRAIN)), "fact_grain_unique")
-    fgood.write.mode("overwrite").parquet(f"{s}/financial_fact/v={run_id}")
+    dq.gate(dq.grain_violations(fgood, [*C.FACT_GRAIN, "logical_date"]), "fact_grain_unique")
+    attrs = [c for c in fgood.columns if c not in (*C.FACT_GRAIN, "logical_date")]
+    known = latest_snapshot(spark, f"{s}/financial_fact", exclude=run_id)
+    merged = merge_upsert(known, fgood, list(C.FACT_GRAIN), attrs, run_ts, nullable_keys=("period_start",))
+    merged.write.mode("overwrite").parquet(f"{s}/financial_fact/v={run_id}")
     res.tables["financial_fact"] = f"{s}/financial_fact/v={run_id}"
 
     m = metrics[0]
     for x in metrics[1:]:
         m = m.unionByName(x)
-    m.write.mode("append").parquet(f"{s}/_dq_metrics")
-    res.metrics = spark.read.parquet(f"{s}/_dq_metrics").where(F.col("run_id") == run_id)
+    m.write.mode("overwrite").parquet(f"{s}/_dq_metrics/v={run_id}")
+    res.metrics = spark.read.parquet(f"{s}/_dq_metrics/v={run_id}")
     return res
 
 
@@ -146,6 +147,6 @@ def export_job(spark: SparkSession, gold_tables: dict[str, str], silver_filing:
     """Serving copy ``v1/{table}/`` plus ``v1/_manifest``; the manifest invariant is checked."""
     X.export_tables({n: spark.read.parquet(p) for n, p in gold_tables.items()}, serving_root)
     filings = spark.read.parquet(silver_filing)
-    m = X.manifest(spark, serving_root, sorted(gold_tables), filings, generated_at)
+    m = X.manifest(spark, serving_root, sorted(gold_tables), generated_at)
     X.write_manifest(m, serving_root, filings.agg(F.max("filed_date")).first()[0])
     return m

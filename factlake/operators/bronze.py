@@ -35,13 +35,13 @@ def _head() -> list[Column]:
             F.to_timestamp("fetched_at").alias("fetched_at")]
 
 
-def filing_index_raw(envelopes: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
+def filing_index_raw(envelopes: DataFrame, ingest_ts: Column | None = None, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
     known = tuple(f.name for f in C.INDEX_PAYLOAD.fields)
     p = F.from_json("payload_json", C.INDEX_PAYLOAD)
     e = envelopes.withColumn("_p", p)
     return e.select(*_head(), *[F.col(f"_p.{c}").alias(c) for c in
                                 ("form_type", "company_name", "cik", "date_filed", "accession_number", "file_name")],
-                    *_meta(ingest_ts), rescued(F.col("payload_json"), known).alias("_rescued_data"))
+                    *_meta(ingest_ts), rescued(F.col("payload_json"), known).alias("_rescued_data"), *keep)
 
 
 def company_submissions_raw(envelopes: DataFrame, ingest_ts: Column | None = None) -> DataFrame:
@@ -56,18 +56,44 @@ def company_concept_raw(envelopes: DataFrame, ingest_ts: Column | None = None) -
                             F.lit(None).cast("string").alias("_rescued_data"))
 
 
-def append_new_files(existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """Bronze is append-only and idempotent per landing file: rows of files already
-    ingested are not appended again (anti join on ``_source_file``)."""
-    if existing is None:
-        return incoming
-    seen = existing.select("_source_file").distinct()
-    return incoming.join(seen, "_source_file", "left_anti")
+def _file_key(path: str) -> str:
+    """``logical_date=<date>/<file>`` of a landed file, however its root is spelled."""
+    return "/".join(path.replace("%3D", "=").split("/")[-2:])
+
+
+def refresh_dates(incoming: DataFrame, table_path: str) -> int:
+    """Bring the bronze table (partitioned by ``logical_date``) up to the landed files; returns rows added.
+
+    A landing date is replaced as a whole, so bronze replaces it too: files are listed first (names
+    only), the dates that hold a file bronze has not seen are read, and just their partitions are
+    overwritten.  Landing the same batch again therefore adds nothing, changed content replaces the
+    old, and an emptied date empties its partition.  Other dates are neither read nor written.
+    """
+    spark = incoming.sparkSession
+    landed = {_file_key(f) for f in incoming.inputFiles()}
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(table_path)
+    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    schema = incoming.schema
+    table = lambda: spark.read.schema(schema).parquet(table_path)
+    if there:  # one name per landed file
+        landed -= {_file_key(r[0]) for r in table().select("_source_file").distinct().toLocalIterator()}
+    dates = sorted({k.split("/")[0].removeprefix("logical_date=") for k in landed})
+    if not dates:
+        return 0
+    of_dates = F.col("logical_date").isin(*[F.lit(d).cast("date") for d in dates])
+    before = {r[0]: r[1] for r in table().where(of_dates).groupBy("logical_date").count().collect()} if there else {}
+    (incoming.where(of_dates).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("logical_date").parquet(table_path))
+    after = {r[0]: r[1] for r in incoming.where(of_dates).groupBy("logical_date").count().collect()}
+    for d in set(before) - set(after):
+        incoming.drop("logical_date").limit(0).write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/logical_date={d}")
+    return sum(after.values()) - sum(n for d, n in before.items())
 
 
 def dedupe_captures(bronze: DataFrame) -> DataFrame:
     """One row per (resource_id, content_sha256): identical re-landings collapse to the
-    first capture, while different contents of one resource (co-registrants,
+    first capture (the count tells how many there were), while different contents of one resource (co-registrants,
     revisions) are all kept.  Aggregation with partial combine, so skew-safe."""
     rest = [c for c in bronze.columns if c not in ("resource_id", "content_sha256")]
     return (bronze.groupBy("resource_id", "content_sha256")

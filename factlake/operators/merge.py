@@ -17,10 +17,10 @@ from factlake.operators.sequence import hot_keys, ordered_lag, ordered_lead
 
 
 def latest_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the greatest ``order`` (aggregate with partial combine)."""
-    rest = [c for c in df.columns if c not in key]
-    return (df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
-            .select(*key, "_r.*"))
+    """One row per key: the greatest ``order``, ties by the other columns, so the winner never
+    depends on the order of the input (aggregate with partial combine)."""
+    rest = [*order, *[c for c in df.columns if c not in key and c not in order]]
+    return df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_r")).select(*key, "_r.*")
 
 
 def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], attrs: list[str],
@@ -58,15 +58,18 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], att
 
 
 def scd2_history(snapshots: DataFrame, key: str, tracked: list[str], arrays: tuple[str, ...] = (),
-                 date_col: str = "logical_date") -> DataFrame:
+                 date_col: str = "logical_date", within_day: tuple[str, ...] = ()) -> DataFrame:
     """Versions from dated captures: a new version whenever ``_hash_diff`` changes.
 
     Gaps-and-islands on one partitioning: lag/lead of the hash marks version
     starts and ends, a lead over those rows gives each version's last sighting,
     and a lead over starts gives ``valid_to`` (half-open, = next ``valid_from``).
     Captures whose hash equals the previous one never create a version, so
-    re-ordered arrays or a repeated day change nothing.
+    re-ordered arrays or a repeated day change nothing.  With ``within_day`` (columns that order
+    several captures of one day) only the last capture of a day counts, so no version is empty.
     """
+    if within_day:
+        snapshots = latest_per_key(snapshots.select(key, date_col, *within_day, *tracked), [key, date_col], list(within_day))
     s = snapshots.select(key, date_col, *tracked).withColumn(
         "_hash_diff", K.hash_diff(*tracked, arrays=arrays))
     hot = hot_keys(s, [key])

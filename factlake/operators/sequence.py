@@ -4,7 +4,8 @@ A hash-partitioned window puts every row of one key into one task.  For fact
 keys that is normally tens of rows, but one key may hold a large share of a
 table.  ``ordered_lag`` therefore:
 
-1. samples the key columns to find hot keys (bounded list, size-checked);
+1. samples the key columns to find hot keys, written as a small table (at most rows /
+   ``hotKeyRows`` keys, however many that is: nothing is collected or capped);
 2. runs ordinary keys through plain ``lag``/``lead`` windows (one shuffle on
    the key, one sort shared by every lag and lead on the same order);
 3. runs hot keys through a range-partitioned two-level pass: rows are range
@@ -12,7 +13,10 @@ table.  ``ordered_lag`` therefore:
    lagged/led inside each (key, partition) piece, and the first (last) row of
    each piece takes the last (first) row of the previous (next) piece from a
    per-piece summary.  Pieces are contiguous ranges, so the summary holds at
-   most (#hot keys + #partitions) rows (broadcast, bounded by two caps).
+   most (#hot keys + #partitions) rows.
+
+How the key table and the summary are joined is left to Spark, which broadcasts
+them only if their measured size allows.
 
 The result equals ``lag(col)`` / ``lead(col) over (partition by keys order by
 order)``.  ``order`` must be a total order inside each key for a deterministic
@@ -21,17 +25,16 @@ answer.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factlake.session import checkpoint_root, shuffle_width
+from factlake.session import checkpoint_root, scratch_dir, shuffle_width
 
 HOT_ROWS_CONF = "factlake.skew.hotKeyRows"
 SAMPLE_CONF = "factlake.skew.sampleFraction"
-MAX_HOT_CONF = "factlake.skew.maxHotKeys"
 
 
 def _conf(df: DataFrame, key: str, default: str) -> str:
@@ -46,48 +49,27 @@ def _order_cols(order: list[str]) -> list[Column]:
     return [F.col(c).asc() for c in order]
 
 
-# Detected hot keys per (input plan, keys, settings).  Routing never changes a
-# result (both paths are exact), so a stale entry can only cost speed; the memo
-# saves re-sampling when several marts read the same facts in one session.
-_MEMO: OrderedDict = OrderedDict()
-_MEMO_SIZE = 64
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys to split (None: there are none)."""
 
+    keys: DataFrame | None
 
-def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, bool]:
-    """Keys estimated (by sampling) to hold more than ``hotKeyRows`` rows.
 
-    Returns (small DataFrame of hot keys or None, overflow flag).  The list is
-    collected with a hard row cap, so what is broadcast later has a proven bound.
-    """
+def hot_keys(df: DataFrame, keys: list[str]) -> HotKeys:
+    """Keys estimated (by sampling) to hold more than ``hotKeyRows`` rows, as a written table."""
     hot_rows = int(_conf(df, HOT_ROWS_CONF, "2000000"))
     fraction = float(_conf(df, SAMPLE_CONF, "0.01"))
-    max_hot = int(_conf(df, MAX_HOT_CONF, "10000"))
     if hot_rows <= 0:
-        return None, False
+        return HotKeys(None)
     projected = df.select(*keys)
-    try:
-        memo_key = (projected._jdf.queryExecution().analyzed().semanticHash(), tuple(keys), hot_rows, fraction,
-                    max_hot)
-    except Exception:  # noqa: BLE001 - no plan access: sample every time
-        memo_key = None
-    if memo_key is not None and memo_key in _MEMO:
-        _MEMO.move_to_end(memo_key)
-        found = _MEMO[memo_key]
-    else:
-        sampled = projected if fraction >= 1.0 else projected.sample(fraction=fraction, seed=17)
-        found = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") >= F.lit(max(1.0, hot_rows * fraction)))
-                 .select(*keys).limit(max_hot + 1).collect())
-        if memo_key is not None:
-            _MEMO[memo_key] = found
-            while len(_MEMO) > _MEMO_SIZE:
-                _MEMO.popitem(last=False)
-    if not found:
-        return None, False
-    if len(found) > max_hot:
-        return None, True
-    schema = df.select(*keys).schema
-    return df.sparkSession.createDataFrame(found, schema), False
+    sampled = projected if fraction >= 1.0 else projected.sample(fraction=fraction, seed=17)
+    found = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") >= F.lit(max(1.0, hot_rows * fraction))).select(*keys))
+    path = scratch_dir(df.sparkSession, "hot-keys")
+    found.write.parquet(path)
+    found = df.sparkSession.read.schema(found.schema).parquet(path)
+    return HotKeys(None if found.isEmpty() else found)
 
 
 HOT_FLAG = "_hot_key"
@@ -120,10 +102,9 @@ def _ranged(df: DataFrame, keys, order, lag_cols, lead_cols, prefix, next_prefix
     summary = r.groupBy(*keys, "_pid").agg(F.max_by(_struct(lag_cols), ords).alias("_last"),
                                            F.min_by(_struct(lead_cols), ords).alias("_first"))
     over_pieces = Window.partitionBy(*keys).orderBy("_pid")
-    # Bounded: range pieces are contiguous intervals of (key, order), so there are
-    # at most (#hot keys + #partitions) of them; both are capped.
-    edges = F.broadcast(summary.select(*keys, "_pid", F.lag("_last").over(over_pieces).alias("_prev"),
-                                       F.lead("_first").over(over_pieces).alias("_next")))
+    # Range pieces are contiguous intervals of (key, order): at most #hot keys + #partitions of them.
+    edges = summary.select(*keys, "_pid", F.lag("_last").over(over_pieces).alias("_prev"),
+                           F.lead("_first").over(over_pieces).alias("_next"))
     joined = local.join(edges, _null_safe_on(local, edges, list(keys) + ["_pid"]), "left")
     out = [local[c] for c in df.columns]
     out += [F.when(local["_first_in_piece"], edges["_prev"][c]).otherwise(local[prefix + c]).alias(prefix + c)
@@ -135,7 +116,7 @@ def _ranged(df: DataFrame, keys, order, lag_cols, lead_cols, prefix, next_prefix
 
 def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                 prefix: str = "prev_", lead_cols: list[str] = (), next_prefix: str = "next_",
-                hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
+                hot: HotKeys | None = None) -> DataFrame:
     """Add ``prefix + c`` = ``c`` on the previous row of the same key (and, for
     ``lead_cols``, ``next_prefix + c`` = ``c`` on the next row), in one ordered pass.
 
@@ -146,19 +127,16 @@ def ordered_lag(df: DataFrame, keys: list[str], order: list[str], cols: list[str
     keys, order, cols, lead_cols = list(keys), list(order), list(cols), list(lead_cols)
     if HOT_FLAG in df.columns:  # chained lags: the flag is recomputed for this split
         df = df.drop(HOT_FLAG)
-    hot, overflow = hot if hot is not None else hot_keys(df, keys)
+    hot = (hot if hot is not None else hot_keys(df, keys)).keys
     args = (keys, order, cols, lead_cols, prefix, next_prefix)
-    if overflow:
-        return _ranged(df, *args)
     if hot is None:
         return _plain(df, *args)
-    hot_b = F.broadcast(hot)
-    cold_rows = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_anti")
-    hot_rows = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_semi")
+    cold_rows = df.join(hot, _null_safe_on(df, hot, keys), "left_anti")
+    hot_rows = df.join(hot, _null_safe_on(df, hot, keys), "left_semi")
     return _plain(cold_rows, *args).unionByName(_ranged(hot_rows, *args))
 
 
 def ordered_lead(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
-                 prefix: str = "next_", hot: tuple[DataFrame | None, bool] | None = None) -> DataFrame:
+                 prefix: str = "next_", hot: HotKeys | None = None) -> DataFrame:
     """``lead`` in the same ascending order (shares the sort with lags on the same key)."""
     return ordered_lag(df, keys, order, [], lead_cols=cols, next_prefix=prefix, hot=hot)

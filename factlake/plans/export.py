@@ -21,14 +21,13 @@ def export_tables(tables: dict[str, DataFrame], serving_root: str) -> None:
         df.write.mode("overwrite").parquet(f"{serving_root.rstrip('/')}/v1/{name}")
 
 
-def manifest(spark: SparkSession, serving_root: str, names: list[str], silver_filings: DataFrame,
-             generated_at: str) -> DataFrame:
+def manifest(spark: SparkSession, serving_root: str, names: list[str], generated_at: str,
+             dated: str = "filing_activity_daily") -> DataFrame:
+    """Row counts of the exported tables, and the latest filed date that the exported ``dated`` holds."""
     parts = [spark.read.parquet(f"{serving_root.rstrip('/')}/v1/{n}")
-             .agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n",
-                                                       F.lit(None).cast("date").alias("d"))
+             .agg(F.count(F.lit(1)).alias("n"), (F.max("filed_date") if n == dated else F.lit(None).cast("date")).alias("d"))
+             .select(F.lit(n).alias("name"), "n", "d")
              for n in names]
-    parts.append(silver_filings.agg(F.max("filed_date").alias("d"))
-                 .select(F.lit(None).cast("string").alias("name"), F.lit(None).cast("bigint").alias("n"), "d"))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -40,9 +39,9 @@ def manifest(spark: SparkSession, serving_root: str, names: list[str], silver_fi
                                             "row_counts")).alias("manifest_json"))
 
 
-def write_manifest(m: DataFrame, serving_root: str, gold_filed_max) -> None:
-    """Check the invariant, then write ``v1/_manifest`` (one tiny JSON file)."""
+def write_manifest(m: DataFrame, serving_root: str, silver_filed_max) -> None:
+    """Check that what was exported is as fresh as silver, then write ``v1/_manifest`` (one tiny JSON file)."""
     row = m.select("gold_max_filed_date").first()
-    if gold_filed_max is not None and row["gold_max_filed_date"] != str(gold_filed_max):
-        raise ManifestInvariantError(f"{row['gold_max_filed_date']} != {gold_filed_max}")
+    if silver_filed_max is not None and row["gold_max_filed_date"] != str(silver_filed_max):
+        raise ManifestInvariantError(f"{row['gold_max_filed_date']} != {silver_filed_max}")
     m.select("manifest_json").coalesce(1).write.mode("overwrite").text(f"{serving_root.rstrip('/')}/v1/_manifest")

@@ -63,7 +63,7 @@ def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.export_tables({"filing_activity_daily": gold.filing_activity_daily(filings),
                      "company_profile": gold.company_profile(dim, filings, events)}, root)
     tables = ["company_profile", "filing_activity_daily", "financials_current", "restatement_event"]
-    m = X.manifest(spark, root, tables, filings, GEN)
+    m = X.manifest(spark, root, tables, GEN)
     X.write_manifest(m, root, filings.agg(F.max("filed_date")).first()[0])
     rc = F.col("row_counts")
     return m.select("generated_at", "contracts_version", "gold_max_filed_date",

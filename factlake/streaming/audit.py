@@ -1,9 +1,9 @@
 """Streaming rate audit: seconds in which the request rate exceeded the cap.
 
-The request log arrives as files; an event-time watermark bounds the state of
-the 1-second tumbling windows, and each window is emitted once (append mode)
-when the watermark passes its end.  Late requests older than the watermark
-are dropped by Spark rather than reopening closed windows.
+The request log arrives as files.  Every micro-batch is aggregated to one partial count a
+second and written under its own epoch; a replayed epoch overwrites itself.  Partial
+counts add up, so late requests, however late, are counted, and the last seconds need no
+later event to appear: no watermark, nothing is dropped.
 """
 
 from __future__ import annotations
@@ -21,23 +21,36 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
-def rate_windows(log: DataFrame, cap_rps: int = C.RATE_LIMIT_DEFAULT_RPS, lateness: str = "10 seconds") -> DataFrame:
-    """Per second: request count and whether it exceeded the cap (works on batch and streaming)."""
-    # Watermarks need TIMESTAMP; the wall-clock log time goes through the session
-    # zone and back unchanged, and 1-second windows align the same in any zone.
-    et = log.withColumn("_event_time", F.col("requested_at").cast("timestamp"))
-    return (et.withWatermark("_event_time", lateness)
-            .groupBy(F.window("_event_time", "1 second").alias("w"))
-            .agg(F.count(F.lit(1)).alias("requests"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("second"), "requests",
-                    (F.col("requests") > cap_rps).alias("over_cap")))
+def rate_windows(log: DataFrame, cap_rps: int = C.RATE_LIMIT_DEFAULT_RPS) -> DataFrame:
+    """Per second: request count and whether it exceeded the cap."""
+    return _judged(_counted(log), cap_rps)
 
 
-def rate_audit_stream(spark: SparkSession, log_path: str, out_path: str, checkpoint: str,
-                      cap_rps: int = C.RATE_LIMIT_DEFAULT_RPS, lateness: str = "10 seconds") -> None:
-    """Drain the log directory (availableNow) into per-second audit rows (parquet, append)."""
+# In wall-clock time throughout: no session zone, no gap or overlap of clock changes.
+SECOND = ("requested_at - make_dt_interval(0, 0, 0, cast(extract(SECOND FROM requested_at) % 1 AS decimal(18, 6)))")
+
+
+def _counted(log: DataFrame) -> DataFrame:
+    return log.groupBy(F.expr(SECOND).alias("second")).agg(
+        F.count(F.lit(1)).alias("requests"))
+
+
+def _judged(counts: DataFrame, cap_rps: int) -> DataFrame:
+    total = counts.groupBy("second").agg(F.sum("requests").alias("requests"))
+    return total.select("second", "requests", (F.col("requests") > cap_rps).alias("over_cap"))
+
+
+def rate_audit_stream(spark: SparkSession, log_path: str, out_path: str, checkpoint: str) -> None:
+    """Drain the log directory (availableNow) into partial counts ``out_path/epoch=<id>``."""
+    def count_batch(batch: DataFrame, epoch: int) -> None:
+        _counted(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
+
     log = spark.readStream.schema(LOG_SCHEMA).parquet(log_path)
-    q = (rate_windows(log, cap_rps, lateness).writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
+    q = (log.writeStream.foreachBatch(count_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def rate_audit_table(spark: SparkSession, out_path: str, cap_rps: int = C.RATE_LIMIT_DEFAULT_RPS) -> DataFrame:
+    """Per second what ``rate_audit_stream`` has counted so far."""
+    return _judged(spark.read.parquet(out_path), cap_rps)

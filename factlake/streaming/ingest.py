@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factlake.operators import bronze, silver
@@ -32,38 +32,64 @@ def landing_stream(spark: SparkSession, root: str, stream: str, max_files: int |
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def dedupe_relanded(envelopes: DataFrame, within: str) -> DataFrame:
-    """Drop envelopes whose (resource_id, content hash) was already seen within ``within``
-    of fetch time: a re-landed file adds nothing, changed content still does.  State is
-    bounded by the event-time watermark."""
-    return (envelopes.withColumn("_fetched_ts", F.to_timestamp("fetched_at"))
-            .withWatermark("_fetched_ts", within)
-            .dropDuplicatesWithinWatermark(["resource_id", "content_sha256"])
-            .drop("_fetched_ts"))
+LANDED = ["resource_id", "content_sha256"]
+
+
+def unseen(batch: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """One envelope per (resource_id, content hash) of ``batch`` that ``seen`` does not hold.
+
+    However old an envelope is, it is dropped only if the same content is there already.  Of copies
+    in one batch the earliest fetch stays (ties by file).  An unreadable line counts by its raw text."""
+    batch = batch.withColumn("content_sha256", F.coalesce("content_sha256", F.sha2(CORRUPT, 256)))
+    w = Window.partitionBy(*LANDED).orderBy("logical_date", "fetched_at", "_source_file")
+    one = batch.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    if seen is None:
+        return one
+    same = [one[c].eqNullSafe(seen[c]) for c in LANDED]
+    return one.join(seen, same[0] & same[1], "left_anti")
 
 
 def bronze_stream(spark: SparkSession, landing_root: str, table_path: str, checkpoint: str,
-                  max_files: int | None = None, dedupe_within: str | None = None) -> int:
-    """Run once (availableNow) from the landing root into the bronze parquet table; returns rows added.
+                  max_files: int | None = None, dedupe: bool = False) -> int:
+    """Run once (availableNow) from the landing root into the bronze parquet table; returns rows read.
 
-    With ``dedupe_within`` (e.g. "2 days"), re-landed copies of an envelope are dropped too.
+    With ``dedupe``, re-landed copies of an envelope add nothing: each micro-batch is anti-joined with the
+    keys of all earlier ones (kept in ``<table>_landed/epoch=<id>``) and written to
+    ``<table>/epoch=<id>``; a replayed epoch overwrites itself and ignores its own keys.
     """
     env = landing_stream(spark, landing_root, "filing_index", max_files)
-    if dedupe_within:
-        env = dedupe_relanded(env, dedupe_within)
-    src = bronze.filing_index_raw(env)
-    q = (src.writeStream.format("parquet").option("path", table_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if dedupe:
+        keys = f"{table_path.rstrip('/')}_landed"
+
+        def append_new(batch: DataFrame, epoch: int) -> None:
+            seen = _earlier(spark, keys, epoch)
+            new = unseen(batch, seen)
+            path = f"{table_path.rstrip('/')}/epoch={epoch}"
+            bronze.filing_index_raw(new, keep=LANDED[1:]).write.mode("overwrite").parquet(path)
+            spark.read.parquet(path).select(*LANDED).write.mode("overwrite").parquet(f"{keys}/epoch={epoch}")
+        writer = env.writeStream.foreachBatch(append_new)
+    else:
+        writer = bronze.filing_index_raw(env).writeStream.format("parquet").option("path", table_path)
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
+def _earlier(spark: SparkSession, keys: str, epoch: int) -> DataFrame | None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(keys)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    schema = "resource_id string, content_sha256 string, epoch long"
+    return spark.read.schema(schema).parquet(keys).where(F.col("epoch") < epoch).select(*LANDED)
+
+
 KEY = ["accession_number"]
 ATTRS = ["cik", "company_name", "form_type", "base_form_type", "is_amendment", "filed_date", "primary_doc_url"]
 
 
-def latest_snapshot(spark: SparkSession, table_root: str) -> DataFrame | None:
-    """The most recently committed ``v=<id>`` snapshot under ``table_root`` (None when empty).
+def latest_snapshot(spark: SparkSession, table_root: str, exclude: str | None = None) -> DataFrame | None:
+    """The most recently committed ``v=<id>`` snapshot under ``table_root`` (None when empty),
+    without ``exclude``: a run that is repeated must not read what it is about to replace.
 
     Only snapshots with a ``_SUCCESS`` marker count, so a half-written one is never read.
     """
@@ -76,7 +102,7 @@ def latest_snapshot(spark: SparkSession, table_root: str) -> DataFrame | None:
     for st in fs.listStatus(path):
         name = st.getPath().getName()
         marker = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-        if re.fullmatch(r"v=[^/]+", name) and fs.exists(marker):
+        if re.fullmatch(r"v=[^/]+", name) and name != f"v={exclude}" and fs.exists(marker):
             vid = name[2:]
             done.append((fs.getFileStatus(marker).getModificationTime(),
                           int(vid) if vid.isdigit() else -1, name))
@@ -98,7 +124,7 @@ def silver_merge_stream(spark: SparkSession, landing_root: str, table_root: str,
             ts = batch.agg(F.max("logical_date")).first()[0]
             if ts is None:
                 return
-            target = latest_snapshot(spark, table_root)
+            target = latest_snapshot(spark, table_root, exclude=str(epoch))
             merged = merge_upsert(target, batch, KEY, ATTRS, f"{ts} 00:00:00")
             merged.write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/v={epoch}")
         finally:

@@ -48,6 +48,7 @@ def test_landing_to_export(spark):
 
     added = jobs.bronze_job(spark, landing, bronze_root)
     assert added == {"filing_index": 5, "company_submissions": 4, "company_concept": 1}
+    land(spark, landing, "company_concept", [("0000320193/Assets", "2026-07-29", ASSETS_DOC)])  # landed once more
     assert jobs.bronze_job(spark, landing, bronze_root) == {"filing_index": 0, "company_submissions": 0,
                                                             "company_concept": 0}
 
@@ -78,6 +79,16 @@ def test_landing_to_export(spark):
     assert manifest.row_counts == {"company_profile": 2, "filing_activity_daily": 3, "financials_current": 2,
                                    "restatement_event": 1}
 
+    # the next day's document repeats every assertion; the same run twice leaves one set of metrics
+    land(spark, landing, "company_concept", [("0000320193/Assets", "2026-07-30", ASSETS_DOC)])
+    assert jobs.bronze_job(spark, landing, bronze_root)["company_concept"] == 1
+    for _ in range(2):
+        d2 = jobs.silver_job(spark, bronze_root, silver_root, "d2", "2026-07-30 09:00:00", "2026-07-30")
+    f1, f2 = (spark.read.parquet(r.tables["financial_fact"]) for r in (sres, d2))
+    assert f1.count() == f2.count() and {str(r[0]) for r in f2.select("logical_date").distinct().collect()} == {"2026-07-30"}
+    assert f1.select("_first_seen_ts").distinct().collect() == f2.select("_first_seen_ts").distinct().collect()
+    assert d2.metrics.count() == len(m)
+
     # a second run over the same landing files: same silver rows, first-seen times kept
     s2 = jobs.silver_job(spark, bronze_root, silver_root, "r2", "2026-07-31 07:00:00", "2026-07-31")
     a = spark.read.parquet(sres.tables["filing"]).select("accession_number", "_first_seen_ts")
