@@ -65,7 +65,7 @@ def envelope_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("landing_write_roundtrip", O.with_ctes(
     f"""SELECT CAST(logical_date AS DATE) AS logical_date, count(*) AS records, CAST(sum(strlen(line)) AS BIGINT) AS bytes,
-              count(DISTINCT resource_id) > 1 AS many_files,
+              count(DISTINCT line) > 1 AS many_files,
               true AS identical_rerun
        FROM (SELECT logical_date, CAST(to_json({{'envelope_version': envelope_version, 'source_system': source_system,
                  'stream': stream, 'resource_id': resource_id, 'batch_id': batch_id, 'fetched_at': fetched_at,

@@ -23,22 +23,22 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     then an unchanged root (adds nothing); every file exactly once."""
     root = L.land_index(spark, sf_dir, dates=(None, SPLIT))
     table, ckpt = scratch_dir(spark, "bronze-stream"), scratch_dir(spark, "ckpt")
-    ingest.bronze_stream(spark, root, table, ckpt, max_files=10)
+    ingest.bronze_stream(spark, root, table, ckpt, max_files=100)
     L.land_index(spark, sf_dir, root=root, dates=(SPLIT, None))
-    ingest.bronze_stream(spark, root, table, ckpt, max_files=10)
-    ingest.bronze_stream(spark, root, table, ckpt, max_files=10)
+    ingest.bronze_stream(spark, root, table, ckpt, max_files=100)
+    ingest.bronze_stream(spark, root, table, ckpt, max_files=100)
     b = spark.read.parquet(table)
     return b.withColumn("_source_partition", _partition_of("_source_file")).drop("_source_file")
 
 
 @register("stream_merge", SILVER_FILING_SQL)
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batches (10 files each, two landing waves) merged by accession into silver snapshots."""
+    """Micro-batches (100 files each, two landing waves) merged by accession into silver snapshots."""
     root = L.land_index(spark, sf_dir, dates=(None, SPLIT))
     table, ckpt = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
-    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=10)
+    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=100)
     L.land_index(spark, sf_dir, root=root, dates=(SPLIT, None))
-    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=10)
+    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=100)
     s = ingest.latest_snapshot(spark, table)
     return s.select("accession_number", "cik", "company_name", "form_type", "base_form_type", "is_amendment",
                     "filed_date", "primary_doc_url", F.col("logical_date"))
