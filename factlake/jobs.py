@@ -17,7 +17,8 @@ from factlake import contracts as C
 from factlake.operators import bronze, dq, gold, silver
 from factlake.operators.merge import merge_upsert, scd2_history
 from factlake.plans import export as X
-from factlake.sources.landing import read_landing
+from factlake.session import scratch_dir
+from factlake.sources.landing import read_checked
 from factlake.streaming.ingest import latest_snapshot
 
 BRONZE_TABLES = {
@@ -25,31 +26,36 @@ BRONZE_TABLES = {
     "company_submissions": ("company_submissions_raw", bronze.company_submissions_raw),
     "company_concept": ("company_concept_raw", bronze.company_concept_raw),
 }
-COMPANY_TRACKED = ["company_name", "sic", "sic_description", "entity_type", "state_of_incorporation",
-                   "fiscal_year_end", "tickers", "exchanges"]  # gold's profile needs entity_type
+COMPANY_TRACKED = ["company_name", "sic", "sic_description", "state_of_incorporation", "fiscal_year_end",
+                   "tickers", "exchanges"]
 COMPANY_ARRAYS = ("tickers", "exchanges")
+COMPANY_CARRIED = ("ein", "entity_type", "former_names", *silver.PROVENANCE)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _attributes(table: str, key: tuple[str, ...]) -> list[str]:
+    """The contract's columns that a merge takes from the batch."""
+    own = (*key, "logical_date", "_first_seen_ts", "_last_seen_ts")
+    return [f.name for f in C.TABLES[table].fields if f.name not in own]
 
 
 def bronze_job(spark: SparkSession, landing_root: str, bronze_root: str,
                streams: tuple[str, ...] = C.STREAMS) -> dict[str, int]:
-    """Bring each stream's bronze table up to the landed files; returns the rows each gained."""
+    """Bring each stream's bronze table up to the landed files; returns the rows each gained.
+
+    Lines that break the envelope contract go to ``_bad_lines/{stream}`` with text, file and reason."""
     added = {}
     for stream in streams:
-        if not _path_exists(spark, f"{landing_root.rstrip('/')}/edgar/{stream}"):
+        if not bronze.path_exists(spark, f"{landing_root.rstrip('/')}/edgar/{stream}"):
             added[stream] = 0
             continue
         table, unwrap = BRONZE_TABLES[stream]
         path = f"{bronze_root.rstrip('/')}/{table}"
-        new = unwrap(read_landing(spark, landing_root, stream))
+        good, bad = read_checked(spark, landing_root, stream)
+        new = unwrap(good)
         new = new.withColumn("content_sha256", F.sha2(F.coalesce("payload_json", F.lit("")), 256)) \
             if "payload_json" in new.columns else new
-        added[stream] = bronze.refresh_dates(new, path)
+        added[stream] = bronze.refresh_dates(
+            new, path, beside={f"{bronze_root.rstrip('/')}/_bad_lines/{stream}": bad})
     return added
 
 
@@ -67,48 +73,39 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_root: str, run_id:
     res = SilverResult()
     metrics = []
 
+    def checked(rows: DataFrame, table: str) -> DataFrame:
+        """Typed rows with their check results, written once; quarantine and metrics follow from them."""
+        path = scratch_dir(spark, f"checked-{table}")
+        dq.evaluate(rows, table, as_of_date).write.parquet(path)
+        ev = spark.read.parquet(path)
+        dq.quarantine(ev, table, run_id=run_id).write.mode("overwrite").parquet(f"{s}/{table}_quarantine/v={run_id}")
+        metrics.append(dq.metrics(ev, table, as_of_date, run_id, extra={
+            f"{table}_rescued_data": ("warn", F.col("_rescued_data").isNotNull())}))
+        return dq.split(ev)[0]
+
+    def save(df: DataFrame, table: str) -> None:
+        res.tables[table] = f"{s}/{table}/v={run_id}"
+        silver.conform(df, f"silver.{table}").write.mode("overwrite").parquet(res.tables[table])
+
     # filing: typed, checked, merged on accession into a new snapshot
-    idx = spark.read.parquet(f"{b}/filing_index_raw")
-    typed = silver.type_filings(idx).withColumn("_ingest_batch_id", F.lit(run_id))
-    ev = dq.evaluate(typed, "filing", as_of_date)
-    good, _ = dq.split(ev)
-    dq.quarantine(ev, "filing", run_id=run_id).write.mode("overwrite").parquet(f"{s}/filing_quarantine/v={run_id}")
-    metrics.append(dq.metrics(typed, "filing", as_of_date, run_id))
+    good = checked(silver.type_filings(spark.read.parquet(f"{b}/filing_index_raw")), "filing")
     target = latest_snapshot(spark, f"{s}/filing", exclude=run_id)
-    merged = merge_upsert(target, silver.dedupe_filings(good.drop("dq_failed", "dq_status", "_ingest_batch_id")),
-                          ["accession_number"], ["cik", "company_name", "form_type", "base_form_type", "is_amendment",
-                                                 "filed_date", "primary_doc_url"], run_ts)
-    merged.write.mode("overwrite").parquet(f"{s}/filing/v={run_id}")
-    res.tables["filing"] = f"{s}/filing/v={run_id}"
+    save(merge_upsert(target, silver.dedupe_filings(good.drop("dq_failed", "dq_status", "_rescued_data")), ["accession_number"],
+                      _attributes("silver.filing", ("accession_number",)), run_ts), "filing")
 
     # company: SCD-2 versions from every captured submissions document
-    subs = spark.read.parquet(f"{b}/company_submissions_raw")
-    comp = silver.company_from_submissions(subs)
-    cev = dq.evaluate(comp, "company", as_of_date)
-    cgood, _ = dq.split(cev)
-    dq.quarantine(cev, "company", run_id=run_id).write.mode("overwrite").parquet(f"{s}/company_quarantine/v={run_id}")
-    metrics.append(dq.metrics(comp, "company", as_of_date, run_id))
-    versions = scd2_history(cgood.drop("dq_failed", "dq_status"), "cik", COMPANY_TRACKED, arrays=COMPANY_ARRAYS)
+    good = checked(silver.company_from_submissions(spark.read.parquet(f"{b}/company_submissions_raw")), "company")
+    versions = scd2_history(good, "cik", COMPANY_TRACKED, arrays=COMPANY_ARRAYS, within_day=("fetched_at",), carry=COMPANY_CARRIED)
     dq.gate(dq.current_version_violations(versions), "company_one_current_per_cik")
-    versions.write.mode("overwrite").parquet(f"{s}/company/v={run_id}")
-    res.tables["company"] = f"{s}/company/v={run_id}"
+    save(versions, "company")
 
     # financial_fact: concept documents exploded, checked, grain-gated per capture (each daily document
     # repeats earlier assertions), then merged on the grain
-    concepts = spark.read.parquet(f"{b}/company_concept_raw")
-    facts = silver.facts_from_concepts(concepts)
-    fev = dq.evaluate(facts, "financial_fact", as_of_date)
-    fgood, _ = dq.split(fev)
-    dq.quarantine(fev, "financial_fact", run_id=run_id).write.mode("overwrite") \
-        .parquet(f"{s}/financial_fact_quarantine/v={run_id}")
-    metrics.append(dq.metrics(facts, "financial_fact", as_of_date, run_id))
-    fgood = fgood.drop("dq_failed", "dq_status")
-    dq.gate(dq.grain_violations(fgood, [*C.FACT_GRAIN, "logical_date"]), "fact_grain_unique")
-    attrs = [c for c in fgood.columns if c not in (*C.FACT_GRAIN, "logical_date")]
+    good = checked(silver.facts_from_concepts(spark.read.parquet(f"{b}/company_concept_raw")), "financial_fact")
+    dq.gate(dq.grain_violations(good, [*C.FACT_GRAIN, "logical_date"]), "fact_grain_unique")
     known = latest_snapshot(spark, f"{s}/financial_fact", exclude=run_id)
-    merged = merge_upsert(known, fgood, list(C.FACT_GRAIN), attrs, run_ts, nullable_keys=("period_start",))
-    merged.write.mode("overwrite").parquet(f"{s}/financial_fact/v={run_id}")
-    res.tables["financial_fact"] = f"{s}/financial_fact/v={run_id}"
+    save(merge_upsert(known, good, list(C.FACT_GRAIN), _attributes("silver.financial_fact", C.FACT_GRAIN), run_ts,
+                      nullable_keys=("period_start",)), "financial_fact")
 
     m = metrics[0]
     for x in metrics[1:]:

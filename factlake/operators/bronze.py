@@ -7,7 +7,7 @@ the declared schema does not know are rescued into ``_rescued_data`` as JSON
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factlake import contracts as C
@@ -61,34 +61,45 @@ def _file_key(path: str) -> str:
     return "/".join(path.replace("%3D", "=").split("/")[-2:])
 
 
-def refresh_dates(incoming: DataFrame, table_path: str) -> int:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def refresh_dates(incoming: DataFrame, table_path: str, beside: dict[str, DataFrame] | None = None) -> int:
     """Bring the bronze table (partitioned by ``logical_date``) up to the landed files; returns rows added.
 
     A landing date is replaced as a whole, so bronze replaces it too: files are listed first (names
     only), the dates that hold a file bronze has not seen are read, and just their partitions are
     overwritten.  Landing the same batch again therefore adds nothing, changed content replaces the
     old, and an emptied date empties its partition.  Other dates are neither read nor written.
+    ``beside`` maps paths to companion tables (bad lines) that are replaced for the same dates.
     """
     spark = incoming.sparkSession
     landed = {_file_key(f) for f in incoming.inputFiles()}
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(table_path)
-    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    schema = incoming.schema
-    table = lambda: spark.read.schema(schema).parquet(table_path)
-    if there:  # one name per landed file
-        landed -= {_file_key(r[0]) for r in table().select("_source_file").distinct().toLocalIterator()}
+    if path_exists(spark, table_path):  # one name per landed file
+        seen = spark.read.schema(incoming.schema).parquet(table_path).select("_source_file").distinct()
+        landed -= {_file_key(r[0]) for r in seen.toLocalIterator()}
     dates = sorted({k.split("/")[0].removeprefix("logical_date=") for k in landed})
     if not dates:
         return 0
+    for path, rows in (beside or {}).items():
+        _replace_dates(rows, path, dates)
+    return _replace_dates(incoming, table_path, dates)
+
+
+def _replace_dates(rows: DataFrame, path: str, dates: list[str]) -> int:
+    """Overwrite the partitions of ``dates`` with the rows of these dates; returns the rows gained."""
+    spark = rows.sparkSession
     of_dates = F.col("logical_date").isin(*[F.lit(d).cast("date") for d in dates])
-    before = {r[0]: r[1] for r in table().where(of_dates).groupBy("logical_date").count().collect()} if there else {}
-    (incoming.where(of_dates).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("logical_date").parquet(table_path))
-    after = {r[0]: r[1] for r in incoming.where(of_dates).groupBy("logical_date").count().collect()}
+    count = lambda df: {r[0]: r[1] for r in df.where(of_dates).groupBy("logical_date").count().collect()}
+    before = count(spark.read.schema(rows.schema).parquet(path)) if path_exists(spark, path) else {}
+    (rows.where(of_dates).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("logical_date").parquet(path))
+    after = count(rows)
     for d in set(before) - set(after):
-        incoming.drop("logical_date").limit(0).write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/logical_date={d}")
-    return sum(after.values()) - sum(n for d, n in before.items())
+        rows.drop("logical_date").limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/logical_date={d}")
+    return sum(after.values()) - sum(before.values())
 
 
 def dedupe_captures(bronze: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, key: list[str], att
 
 
 def scd2_history(snapshots: DataFrame, key: str, tracked: list[str], arrays: tuple[str, ...] = (),
-                 date_col: str = "logical_date", within_day: tuple[str, ...] = ()) -> DataFrame:
+                 date_col: str = "logical_date", within_day: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
     """Versions from dated captures: a new version whenever ``_hash_diff`` changes.
 
     Gaps-and-islands on one partitioning: lag/lead of the hash marks version
@@ -67,10 +67,11 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: list[str], arrays: tup
     Captures whose hash equals the previous one never create a version, so
     re-ordered arrays or a repeated day change nothing.  With ``within_day`` (columns that order
     several captures of one day) only the last capture of a day counts, so no version is empty.
+    ``carry`` names untracked attributes; a version has them as of its first capture.
     """
     if within_day:
-        snapshots = latest_per_key(snapshots.select(key, date_col, *within_day, *tracked), [key, date_col], list(within_day))
-    s = snapshots.select(key, date_col, *tracked).withColumn(
+        snapshots = latest_per_key(snapshots.select(key, date_col, *within_day, *tracked, *carry), [key, date_col], list(within_day))
+    s = snapshots.select(key, date_col, *tracked, *carry).withColumn(
         "_hash_diff", K.hash_diff(*tracked, arrays=arrays))
     hot = hot_keys(s, [key])
     s = ordered_lag(s, [key], [date_col], ["_hash_diff"], prefix="prev_", lead_cols=["_hash_diff"], hot=hot)
@@ -82,7 +83,7 @@ def scd2_history(snapshots: DataFrame, key: str, tracked: list[str], arrays: tup
         "_last_seen", F.when(F.col("_end"), F.col(date_col)).otherwise(F.col(f"next_{date_col}")))
     v = ordered_lead(starts.drop(f"next_{date_col}"), [key], [date_col], [date_col], prefix="next_", hot=hot)
     return v.select(
-        key, *tracked,
+        key, *tracked, *carry,
         F.col("_hash_diff"),
         F.col(date_col).alias("valid_from"),
         F.col(f"next_{date_col}").alias("valid_to"),

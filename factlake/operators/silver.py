@@ -13,6 +13,24 @@ from factlake.functions import keys as K
 from factlake.plans.bindings import concept_canonical
 
 
+PROVENANCE = ("_ingest_batch_id", "_source_file")
+
+
+def _carried(df: DataFrame, *more: str) -> list[Column]:
+    """Provenance and rescued payload keys of the bronze row, where it has them."""
+    return [F.col(c) for c in (*more, *PROVENANCE, "_rescued_data") if c in df.columns]
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with exactly the contract's columns, in its order; a missing column or another type is an error."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in C.TABLES[table].fields}
+    wrong = [f"{n} is {have.get(n, 'missing')}, not {t}" for n, t in want.items() if have.get(n) != t]
+    if wrong:
+        raise ValueError(f"{table} breaks its contract: {'; '.join(wrong)}")
+    return df.select(*want)
+
+
 def base_form_type(form_type: Column) -> Column:
     return F.regexp_replace(F.upper(form_type), "/A$", "")
 
@@ -30,6 +48,7 @@ def type_filings(index_rows: DataFrame) -> DataFrame:
         F.try_to_date(F.col("date_filed"), "yyyyMMdd").alias("filed_date"),
         K.primary_doc_url("file_name").alias("primary_doc_url"),
         F.col("logical_date"),
+        *_carried(index_rows),
     )
 
 
@@ -60,6 +79,7 @@ def company_from_submissions(docs: DataFrame, payload_col: str = "payload_json")
         F.sort_array(F.col("_p.exchanges")).alias("exchanges"),
         F.transform(F.col("_p.formerNames"), lambda x: x["name"]).alias("former_names"),
         F.col("logical_date"),
+        *_carried(docs, "fetched_at"),
     )
 
 
@@ -83,7 +103,7 @@ def facts_from_concepts(docs: DataFrame, payload_col: str = "payload_json") -> D
     base = docs
     if "http_status" in docs.columns:
         base = base.where(F.col("http_status") == 200)
-    d = base.select(p.alias("_p"), *[c for c in ("logical_date",) if c in docs.columns])
+    d = base.select(p.alias("_p"), *_carried(docs, "logical_date"))
     # One generator over (unit, assertion) pairs: units map entries, each an array.
     pairs = F.flatten(F.transform(
         F.map_entries(F.col("_p.units")),
@@ -109,7 +129,7 @@ def facts_from_concepts(docs: DataFrame, payload_col: str = "payload_json") -> D
         F.col("_f.form").alias("form_type"),
         F.to_date(F.col("_f.filed")).alias("filed_date"),
         F.col("_f.frame").alias("frame"),
-        *[F.col(c) for c in ("logical_date",) if c in docs.columns],
+        *_carried(docs, "logical_date"),
     )
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from factlake import contracts as C
 from factlake.functions import keys as K
-from factlake.session import spread
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -24,7 +23,7 @@ AS_OF_DATE = "2026-07-30"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def generated_at() -> Column:
@@ -93,6 +92,34 @@ def facts_with_defects(lineitem: DataFrame) -> DataFrame:
     return g.select(*[e.alias(n) for n, e in cols.items()])
 
 
+def index_rows_with_defects(events: DataFrame) -> DataFrame:
+    """Index rows whose defects follow from the events: malformed accession on errors, too wide cik above 300,
+    no form on small views, no date on small signups, a date before the floor on larger clicks; purchases
+    carry undeclared keys."""
+    r = index_rows_from_events(events, extra=("event_type", "value", "props"))
+    et, v = F.col("event_type"), F.col("value")
+    return r.select(
+        "company_name", "file_name", "logical_date",
+        F.when(et == "error", F.regexp_replace("accession_number", "-", "")).otherwise(F.col("accession_number")).alias("accession_number"),
+        F.when(v > 300, F.concat("cik", F.lit("00000000000"))).otherwise(F.col("cik")).alias("cik"),
+        F.when((et == "view") & (v < 5), F.lit("")).otherwise(F.col("form_type")).alias("form_type"),
+        F.when((et == "signup") & (v < 5), F.lit("n/a")).when((et == "click") & (v > 100), F.lit("19921231"))
+        .otherwise(F.col("date_filed")).alias("date_filed"),
+        F.when(et == "purchase", F.col("props")).alias("_rescued_data"))
+
+
+def submissions_from_customer(customer: DataFrame) -> DataFrame:
+    """One submissions document per customer; too wide cik on a negative balance, no name in one market segment."""
+    key, wide = F.col("c_custkey").cast("string"), F.col("c_acctbal") < 0
+    doc = F.to_json(F.struct(
+        F.when(wide, F.concat(key, F.lit("00000000000"))).otherwise(key).alias("cik"), F.lit("operating").alias("entityType"),
+        F.col("c_nationkey").cast("string").alias("sic"), F.col("c_mktsegment").alias("sicDescription"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name")).alias("name"), F.lpad(key, 9, "0").alias("ein"),
+        F.array(F.concat(F.lit("T"), key), F.lit("A")).alias("tickers"), F.array(F.lit("NYSE"), F.lit("NASDAQ")).alias("exchanges"),
+        F.array(F.struct(F.concat(F.lit("Old "), key).alias("name"))).alias("formerNames")))
+    return customer.select(doc.alias("payload_json"), F.lit("2024-01-01").cast("date").alias("logical_date"))
+
+
 def company_dimension_from_customer(customer: DataFrame) -> DataFrame:
     """Current company attributes: nation key as SIC code, market segment as its description."""
     return customer.select(

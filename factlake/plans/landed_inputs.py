@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factlake import contracts as C
 from factlake.plans import bindings as B
 from factlake.session import scratch_dir
 
@@ -29,8 +30,8 @@ def index_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = nation.select(
         F.col("n_nationkey").alias("nation"), "n_regionkey",
         F.posexplode(F.array(
-            F.lit("Description:           Daily Index of EDGAR Dissemination Feed by Form Type"),
-            F.lit("Last Data Received:    July 29, 2026"),
+            F.lit("Description:           Filings of one day by form type (made from the customer table)"),
+            F.lit("Last Data Received:    see the rows"),
             F.lit(""),
             F.when(F.col("n_regionkey") == 0, F.lit(HEADER_BAD)).otherwise(F.lit(HEADER_OK)),
             F.lit(HEADER_WRAP),
@@ -96,46 +97,53 @@ def land_documents(spark: SparkSession, sf_dir: str, root: str | None = None, ca
     return root
 
 
-def index_envelopes_with_extras(spark: SparkSession, sf_dir: str) -> DataFrame:
+def index_envelopes_with_extras(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """filing_index envelopes; payloads of 'error' events carry two undeclared keys."""
-    from factlake import contracts as C
     from factlake.functions import keys as K
     from factlake.sources.landing import build_envelope, rfc3339
 
-    rows = B.index_rows_from_events(B.table(spark, sf_dir, "events"), extra=("ts", "event_type", "props"))
+    rows = B.index_rows_from_events(B.table(spark, sf_dir, "events"), extra=("ts", "event_type", "props", "value"))
     fields = {f.name: F.col(f.name) for f in C.INDEX_PAYLOAD.fields}
     plain = K.canonical_json(K.sorted_struct(**fields))
     extra = K.canonical_json(K.sorted_struct(**fields, props=F.parse_json("props"), severity=F.lit("high")))
     payload = F.when(F.col("event_type") == "error", extra).otherwise(plain)
     return build_envelope(rows, "filing_index", F.col("logical_date"), F.col("accession_number"),
-                          K.daily_index_url(F.col("logical_date")), payload, rfc3339(F.col("ts")))
+                          K.daily_index_url(F.col("logical_date")), payload, rfc3339(F.col("ts")), keep=keep)
 
 
-def write_envelope_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Raw envelope lines with contract faults that follow the events: 'error' lines
-    lack payload_json, 'signup' lines carry a private key, large purchases are
-    truncated, large clicks carry http_status as a string."""
-    from factlake import contracts as C
-    from factlake.functions import keys as K
-
-    fields = list(C.ENVELOPE_FIELDS)
-    ev = B.table(spark, sf_dir, "events").select(
-        K.accession_from_parts(F.col("event_id"), F.year("ts") % 100, F.col("user_id") % 1000000)
-        .alias("resource_id"), "event_type", "value")
-    env = index_envelopes_with_extras(spark, sf_dir).join(ev, "resource_id")
+def faulty_lines(spark: SparkSession, sf_dir: str, fields: list[str], cut_above: float = 400, text_above: float = 450) -> DataFrame:
+    """logical_date and raw envelope lines with contract faults that follow the events: 'error' lines
+    lack payload_json, 'signup' lines carry a private key, purchases above ``cut_above`` are
+    truncated, clicks above ``text_above`` carry http_status as a string."""
+    env = index_envelopes_with_extras(spark, sf_dir, keep=("event_type", "value"))
     full = F.to_json(F.struct(*fields))
     no_payload = F.to_json(F.struct(*[f for f in fields if f != "payload_json"]))
     et, v = F.col("event_type"), F.col("value")
     line = (F.when(et == "error", no_payload)
             .when(et == "signup", F.regexp_replace(full, "^\\{", '{"_ingest_ts":"2024-01-01T00:00:00Z",'))
-            .when((et == "purchase") & (v > 400), F.substring(full, 1, 40))
-            .when((et == "click") & (v > 450), F.regexp_replace(full, '"http_status":200', '"http_status":"200"'))
+            .when((et == "purchase") & (v > cut_above), F.substring(full, 1, 40))
+            .when((et == "click") & (v > text_above), F.regexp_replace(full, '"http_status":200', '"http_status":"200"'))
             .otherwise(full))
+    return env.select("logical_date", line.alias("value"))
+
+
+def write_envelope_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Envelope lines with faults as plain text files."""
     path = scratch_dir(spark, "lines")
-    env.select(line.alias("value")).write.mode("overwrite").text(path)
+    faulty_lines(spark, sf_dir, list(C.ENVELOPE_FIELDS)).select("value").write.mode("overwrite").text(path)
     return path
 
 
+def land_faulty_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A landing root whose filing_index lines carry the same faults."""
+    from factlake.sinks.landing import stream_root
+
+    root = scratch_dir(spark, "landing")
+    faulty_lines(spark, sf_dir, [f for f in C.ENVELOPE_FIELDS if f != "logical_date"], 100, 100) \
+        .write.mode("overwrite").partitionBy("logical_date").text(stream_root(root, "filing_index"))
+    return root
+
+
 def land_index(spark: SparkSession, sf_dir: str, root: str | None = None,
                dates: tuple[str | None, str | None] = (None, None)) -> str:
     """Land the filing_index envelopes, optionally only logical dates in [from, to)."""
@@ -155,14 +163,14 @@ def land_index(spark: SparkSession, sf_dir: str, root: str | None = None,
 # Concept and submissions documents: one per order (bounded size, no grouping).
 # ---------------------------------------------------------------------------
 def concept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """company_concept payloads, one per order not pending ('P' = not reported, never landed).
+    """company_concept payloads, one per order; pending orders ('P') were not reported: HTTP 404, no payload.
 
     Units: USD (duration for fulfilled orders, else instant; frame on fulfilled)
     and shares (instant, no frame).  The cik travels as a JSON number.
     """
-    from factlake import contracts as C
 
-    o = B.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
+    o = B.table(spark, sf_dir, "orders")
+    absent = F.col("o_orderstatus") == "P"
     tags = F.array(*[F.lit(c) for c in C.CONCEPT_SET])
     tag = F.element_at(tags, (F.col("o_orderkey") % 15 + 1).cast("int"))
     d = F.to_date("o_orderdate")
@@ -184,8 +192,24 @@ def concept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                              tag.alias("tag"), tag.alias("label"), F.lit("").alias("description"),
                              F.format_string("Company %d", F.col("o_custkey")).alias("entityName"),
                              units.alias("units")))
-    return o.select(F.col("o_orderkey"), doc.alias("payload_json"), F.lit(200).alias("http_status"),
-                    d.alias("logical_date"))
+    return o.select(F.col("o_orderkey"), F.col("o_custkey"), tag.alias("tag"), F.when(~absent, doc).alias("payload_json"),
+                    F.when(absent, 404).otherwise(200).alias("http_status"), d.alias("logical_date"))
+
+
+def land_concepts(spark: SparkSession, sf_dir: str) -> str:
+    """Land the concept documents that were reported (a 404 has no payload and no envelope), one capture a year."""
+    from factlake.functions import keys as K
+    from factlake.sinks.landing import write_stream
+    from factlake.sources.landing import build_envelope
+
+    docs = concept_documents(spark, sf_dir).where("http_status = 200")
+    cik, day = K.pad_cik("o_custkey"), F.to_date(F.trunc("logical_date", "year"))
+    env = build_envelope(docs, "company_concept", day, F.concat(cik, F.lit("/"), "tag"),
+                         K.concept_url("o_custkey", F.col("tag")), F.col("payload_json"),
+                         F.concat(day.cast("string"), F.lit("T06:00:00.000000Z")))
+    root = scratch_dir(spark, "landing")
+    write_stream(env, root, "company_concept")
+    return root
 
 
 def submissions_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

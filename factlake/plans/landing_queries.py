@@ -63,6 +63,41 @@ def envelope_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "invalid_reason")
 
 
+def _line(*left_out: str, first: str = "") -> str:
+    """A landed line of the envelope (logical_date is in its path), as DuckDB SQL."""
+    keys = [f for f in ENV_FIELDS if f not in ("logical_date", *left_out)]
+    return "CAST(to_json({" + first + ", ".join(f"'{k}': {k}" for k in keys) + "}) AS VARCHAR)"
+
+
+@register("landing_bad_lines", O.with_ctes(
+    f"""SELECT CAST(logical_date AS DATE) AS logical_date,
+              CASE WHEN event_type = 'purchase' THEN 'unparseable' WHEN event_type = 'error' THEN 'missing:payload_json'
+                   WHEN event_type = 'signup' THEN 'private_key:_ingest_ts' ELSE 'http_status_not_int' END AS invalid_reason,
+              CASE WHEN event_type = 'purchase' THEN substr({_line()}, 1, 40) WHEN event_type = 'error' THEN {_line("payload_json")}
+                   WHEN event_type = 'signup' THEN {_line(first="'_ingest_ts': '2024-01-01T00:00:00Z', ")}
+                   ELSE replace({_line()}, '"http_status":200', '"http_status":"200"') END AS line
+       FROM env WHERE event_type IN ('error', 'signup') OR event_type IN ('purchase', 'click') AND value > 100""", **INDEX_ENV))
+def landing_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines that break the envelope contract, with their text and the reason."""
+    _, bad = src.read_checked(spark, L.land_faulty_lines(spark, sf_dir), "filing_index")
+    return bad.drop("_source_file")
+
+
+@register("bronze_concept", f"""
+  SELECT d AS logical_date, {O.pad('o_custkey')} || '/' || tag AS resource_id, {O.pad('o_custkey')} AS cik, 'us-gaap' AS taxonomy, tag,
+         'sec_edgar' AS _source_system, tag AS payload_tag,
+         'company_concept-' || strftime(d, '%Y%m%d') || '-'
+           || substr(sha256('company_concept|' || CAST(d AS VARCHAR)), 1, 12) AS _ingest_batch_id
+  FROM (SELECT *, CAST(date_trunc('year', o_orderdate) AS DATE) AS d, {O.CONCEPT_LIST}[o_orderkey % 15 + 1] AS tag
+        FROM orders WHERE o_orderstatus <> 'P')""")
+def bronze_concept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed concept documents as bronze rows, key parts from the resource id."""
+    good, _ = src.read_checked(spark, L.land_concepts(spark, sf_dir), "company_concept")
+    b = bronze.company_concept_raw(good)
+    return b.select("logical_date", "resource_id", "cik", "taxonomy", "tag", "_source_system",
+                    F.get_json_object("payload_json", "$.tag").alias("payload_tag"), "_ingest_batch_id")
+
+
 @register("landing_write_roundtrip", O.with_ctes(
     f"""SELECT CAST(logical_date AS DATE) AS logical_date, count(*) AS records, CAST(sum(strlen(line)) AS BIGINT) AS bytes,
               count(DISTINCT line) > 1 AS many_files,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factlake import contracts as C
-from factlake.operators import dq
+from factlake.operators import dq, silver
 from factlake.operators.merge import scd2_history
 from factlake.plans import bindings as B
 from factlake.plans import oracle as O
@@ -84,6 +84,74 @@ def dq_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.metrics(defect_facts(spark, sf_dir), "financial_fact")
 
 
+FILING_CHECKS = (
+    ("filing_accession_format", "regexp_matches(accession_number, '^[0-9]{10}-[0-9]{2}-[0-9]{6}$')", "reject"),
+    ("filing_cik_padded", "regexp_matches(cik, '^[0-9]{10}$')", "reject"),
+    ("filing_form_type_present", "length(form_type) > 0", "reject"),
+    ("filing_filed_date_present", "filed_date IS NOT NULL", "reject"),
+    ("filing_filed_date_sane", "filed_date BETWEEN DATE '1993-01-01' AND DATE '2026-07-30'", "warn"),
+)
+COMPANY_CHECKS = (
+    ("company_cik_padded", "regexp_matches(cik, '^[0-9]{10}$')", "reject"),
+    ("company_name_present", "length(company_name) > 0", "reject"),
+)
+
+
+def _verdict(checks) -> str:
+    """dq_failed and dq_status of ``checks`` in SQL."""
+    of = lambda s: " OR ".join([_bad(c) for _, c, sev in checks if sev == s] or ["false"])
+    return ("concat_ws(',', " + ", ".join(f"CASE WHEN {_bad(c)} THEN '{n}' END" for n, c, _ in checks) + ") AS dq_failed, "
+            f"CASE WHEN {of('reject')} THEN 'reject' WHEN {of('warn')} THEN 'warn' ELSE 'pass' END AS dq_status")
+
+
+DEFECT_FILINGS = dict(
+    index_rows=O.INDEX_ROWS.replace("\n  FROM events", ", event_type, value, props\n  FROM events"),
+    raw="""SELECT CASE WHEN event_type = 'error' THEN replace(accession_number, '-', '') ELSE accession_number END AS accession_number,
+              CASE WHEN value > 300 THEN cik || '00000000000' ELSE cik END AS cik,
+              CASE WHEN event_type = 'view' AND value < 5 THEN '' ELSE form_type END AS form_type,
+              CASE WHEN event_type = 'signup' AND value < 5 THEN NULL WHEN event_type = 'click' AND value > 100 THEN DATE '1992-12-31'
+                   ELSE CAST(strptime(date_filed, '%Y%m%d') AS DATE) END AS filed_date,
+              event_type FROM index_rows""",
+    filings=f"SELECT accession_number, {O.pad('cik')} AS cik, form_type, filed_date, event_type FROM raw")
+
+
+def _typed_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.type_filings(B.index_rows_with_defects(B.table(spark, sf_dir, "events")))
+
+
+@register("dq_filing_checks", O.with_ctes(
+    f"SELECT accession_number, cik, form_type, filed_date, {_verdict(FILING_CHECKS)} FROM filings", **DEFECT_FILINGS))
+def dq_filing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All filing row checks: failed names and worst severity per row."""
+    ev = dq.evaluate(_typed_filings(spark, sf_dir), "filing")
+    return ev.select("accession_number", "cik", "form_type", "filed_date", "dq_failed", "dq_status")
+
+
+@register("dq_filing_metrics", O.with_ctes(
+    "\nUNION ALL\n".join(
+        f"""SELECT 'silver.filing' AS table_name, '{n}' AS check_name, '{s}' AS severity, count(*) AS evaluated_count,
+                  count(*) FILTER (WHERE {_bad(c)}) AS failed_count, {O.RUN_ID} AS run_id FROM filings"""
+        for n, c, s in (*FILING_CHECKS, ("filing_rescued_data", "event_type <> 'purchase'", "warn"))), **DEFECT_FILINGS))
+def dq_filing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluated and failed counts of the filing checks and of rows with undeclared payload keys."""
+    return dq.metrics(_typed_filings(spark, sf_dir), "filing",
+                      extra={"filing_rescued_data": ("warn", F.col("_rescued_data").isNotNull())})
+
+
+@register("company_typing", O.with_ctes(
+    f"SELECT *, {_verdict(COMPANY_CHECKS)} FROM companies",
+    companies=f"""SELECT CASE WHEN c_acctbal < 0 THEN CAST(c_custkey AS VARCHAR) || '00000000000' ELSE {O.pad('c_custkey')} END AS cik,
+          CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name END AS company_name, CAST(c_nationkey AS VARCHAR) AS sic,
+          c_mktsegment AS sic_description, lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS ein, 'operating' AS entity_type,
+          'A,T' || CAST(c_custkey AS VARCHAR) AS tickers, 'NASDAQ,NYSE' AS exchanges,
+          'Old ' || CAST(c_custkey AS VARCHAR) AS former_names
+       FROM customer"""))
+def company_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions documents typed to company rows (arrays sorted), with both company row checks."""
+    c = silver.company_from_submissions(B.submissions_from_customer(B.table(spark, sf_dir, "customer")))
+    return dq.evaluate(c, "company").drop("logical_date", "state_of_incorporation", "fiscal_year_end")
+
+
 GRAIN = list(C.FACT_GRAIN)
 GRAIN_SQL = O.with_ctes(
     """SELECT count(*) AS grain_groups, CAST(sum(n) AS BIGINT) AS row_count,

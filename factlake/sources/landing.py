@@ -3,7 +3,7 @@
 Layout: ``{root}/edgar/{stream}/logical_date={d}/`` holding one envelope per
 line.  Readers always pass the declared ENVELOPE schema (never inference) and
 carry the file path from ``_metadata``.  gzip is not splittable, so scans are
-one task per file; downstream operators repartition by their own keys.
+one task per file; writes therefore give a date many files.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from factlake import contracts as C
 from factlake.functions import keys as K
 from factlake.plans import bindings as B
-from factlake.session import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -26,8 +25,9 @@ def rfc3339(ts: Column) -> Column:
 
 def build_envelope(df: DataFrame, stream: str | Column, logical_date: Column, resource_id: Column,
                    request_url: Column, payload_json: Column, fetched_at: Column,
-                   http_status: Column | int = 200) -> DataFrame:
-    """Wrap each row's payload (already canonical JSON text) in the flat 11-field envelope."""
+                   http_status: Column | int = 200, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Wrap each row's payload (already canonical JSON text) in the flat 11-field envelope;
+    ``keep`` names input columns to carry along."""
     st = F.lit(stream) if isinstance(stream, str) else stream
     status = F.lit(http_status) if isinstance(http_status, int) else http_status
     d = F.to_date(logical_date)
@@ -43,6 +43,7 @@ def build_envelope(df: DataFrame, stream: str | Column, logical_date: Column, re
         status.cast("int").alias("http_status"),
         K.content_hash(payload_json).alias("content_sha256"),
         payload_json.alias("payload_json"),
+        *keep,
     )
 
 
@@ -78,17 +79,31 @@ def read_landing(spark: SparkSession, root: str, stream: str | None = None) -> D
     path = f"{root.rstrip('/')}/edgar/{stream}" if stream else root
     df = (spark.read.schema(envelope_read_schema()).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    # gzip files do not split: one task per file; spread before payload parsing.
-    return spread(df.withColumn("_source_file", F.col("_metadata.file_path")))
+    return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def validate_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """Envelope contract check on raw JSON lines: parseable, every field present and
+def read_checked(spark: SparkSession, root: str, stream: str) -> tuple[DataFrame, DataFrame]:
+    """(envelopes of the sound lines of a stream, bad lines with their text, file and reason).
+
+    A line that is no JSON object or breaks the envelope contract never becomes a row of NULLs.
+    """
+    fields = [f for f in C.ENVELOPE_FIELDS if f != "logical_date"]  # restored from the path
+    lines = spark.read.text(f"{root.rstrip('/')}/edgar/{stream}").select(
+        "value", F.col("logical_date").cast("date").alias("logical_date"), F.col("_metadata.file_path").alias("_source_file"))
+    checked = validate_lines(lines, fields=fields)
+    good = checked.where("is_valid").select(F.from_json("value", C.ENVELOPE).alias("_e"), "logical_date", "_source_file") \
+        .select(*[F.col(f"_e.{f}") if f in fields else F.col(f).cast("string").alias(f) for f in C.ENVELOPE_FIELDS], "_source_file")
+    bad = checked.where("NOT is_valid").select("logical_date", F.col("value").alias("line"), "invalid_reason", "_source_file")
+    return good, bad
+
+
+def validate_lines(lines: DataFrame, text_col: str = "value", fields=C.ENVELOPE_FIELDS) -> DataFrame:
+    """Envelope contract check on raw JSON lines: parseable, every field of ``fields`` present and
     non-null, ``http_status`` an integer, no ``_``-prefixed key."""
     keys = F.json_object_keys(F.col(text_col))
     parsed = F.from_json(F.col(text_col), C.ENVELOPE)
-    missing = F.array_except(F.array(*[F.lit(f) for f in C.ENVELOPE_FIELDS]), F.coalesce(keys, F.array()))
-    nulls = F.filter(F.array(*[F.when(parsed[f].isNull(), F.lit(f)) for f in C.ENVELOPE_FIELDS]),
+    missing = F.array_except(F.array(*[F.lit(f) for f in fields]), F.coalesce(keys, F.array()))
+    nulls = F.filter(F.array(*[F.when(parsed[f].isNull(), F.lit(f)) for f in fields]),
                      lambda x: x.isNotNull())
     underscore = F.filter(F.coalesce(keys, F.array()), lambda k: k.startswith("_"))
     status_bad = (F.get_json_object(F.col(text_col), "$.http_status").isNotNull()
