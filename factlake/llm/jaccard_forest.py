@@ -94,8 +94,8 @@ def _signatures(depth: int):
                 prefixes.append(tree.view(np.int64))
                 sketches.append((m[:SKETCH] & np.uint32(0xFF)).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "rid", "size", "prefixes", "sketch"])
+                [b.column(0), b.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                names=["doc_id", "content", "rid", "size", "prefixes", "sketch"])
     return run
 
 
@@ -237,18 +237,21 @@ def _member_sets(batches):
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, rid (None without words), size, prefixes, sketch of every document, written once."""
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return written(narrow.mapInArrow(_signatures(match_depth()), "doc_id long, rid binary, size int, prefixes array<long>, sketch binary"), "forest-sets")
+    """doc_id, content (hash of the text), rid (None without words), size, prefixes, sketch of every document, written once."""
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("content"))
+    return written(narrow.mapInArrow(_signatures(match_depth()), "doc_id long, content long, rid binary, size int, prefixes array<long>, sketch binary"), "forest-sets")
 
 
 def classes(docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-    """(rid, copies, least_id, degree, label) of every distinct shingle set."""
+    """(rid, copies, least_id, least_text, degree, label) of every distinct shingle set.
+
+    least_id and least_text (hash) name the document that stands for the set: ids alone can repeat or be null."""
     sets = sets_of(docs) if sets is None else sets
     id_ = F.coalesce("doc_id", F.lit(NO_ID))
     distinct = written(sets.filter("rid is not null").groupBy("rid").agg(
-        F.count("*").alias("copies"), F.min(id_).alias("least_id"), F.first("size").alias("size"),
-        F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch")), "forest-distinct")
+        F.count("*").alias("copies"), F.min(F.struct(id_.alias("id"), F.col("content"))).alias("least"), F.first("size").alias("size"),
+        F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch")).select(
+        "rid", "copies", F.col("least.id").alias("least_id"), F.col("least.content").alias("least_text"), "size", "prefixes", "sketch"), "forest-distinct")
     forest = distinct.select(F.posexplode("prefixes").alias("tree", "prefix"), "size", "rid")
     ordered = forest.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix", "size", "rid")
     edges = ordered.mapInArrow(_prefix_edges, "a binary, b binary").distinct()
@@ -257,10 +260,10 @@ def classes(docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
     near = written(pairs.mapInArrow(_near_edges, "a binary, b binary"), "forest-edges")
     clusters = components(near).toDF("rid", "cluster")
     parts = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    members = clusters.join(parts, "cluster").join(distinct.select("rid", "copies", "least_id"), "rid").withColumn(
+    members = clusters.join(parts, "cluster").join(distinct.select("rid", "copies", "least_id", "least_text"), "rid").withColumn(
         "block", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least_id"), "text")
-    shingled = texts.join(members, "least_id").select("cluster", "rid", "copies", "parts", "block", "text").mapInArrow(
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least_id"), F.xxhash64("text").alias("least_text"), "text")
+    shingled = texts.join(members, ["least_id", "least_text"]).select("cluster", "rid", "copies", "parts", "block", "text").mapInArrow(
         _member_sets, "cluster binary, rid binary, copies long, parts int, block int, shingles binary")
     spread = shingled.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     spread = spread.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other")).drop("other")
@@ -271,8 +274,8 @@ def classes(docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
         whole = components(split.select(F.col("rid").alias("a"), F.col("label").alias("b"))).toDF("rid", "joined")
         degree = degree.join(whole, "rid", "left").withColumn("label", F.coalesce("joined", "label"))
     linked = degree.select("rid", "degree", "label")
-    return distinct.select("rid", "copies", "least_id").join(linked, "rid", "left").select(
-        "rid", "copies", "least_id", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("label", "rid").alias("label"))
+    return distinct.select("rid", "copies", "least_id", "least_text").join(linked, "rid", "left").select(
+        "rid", "copies", "least_id", "least_text", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("label", "rid").alias("label"))
 
 
 def links(docs: DataFrame) -> DataFrame:
@@ -292,14 +295,15 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     that hold the class's text one row); documents without words all stay."""
     sets = sets_of(docs)
     found = written(classes(docs, sets), "forest-classes")
-    least = found.groupBy("label").agg(F.min(F.struct("least_id", "rid")).alias("best")).select("best.least_id", "best.rid")
+    least = found.groupBy("label").agg(F.min(F.struct("least_id", "rid", "least_text")).alias("best")).select("best.*")
     id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    keep = least.select(F.col("least_id").alias("__id"), F.col("rid").alias("__rid"))
+    keep = least.select(F.col("least_id").alias("__id"), F.col("least_text").alias("__content"), F.col("rid").alias("__rid"))
     columns = docs.columns
 
-    keyed = docs.withColumn("__id", id_)
-    chosen = keyed.join(keep, "__id", "inner").mapInArrow(_only_member(columns), docs.select(*columns, id_.alias("__id")).schema)
-    chosen = chosen.dropDuplicates(["__id"]).select(*columns)
+    keyed = docs.withColumn("__id", id_).withColumn("__content", F.xxhash64("text"))
+    member = docs.select(*columns, id_.alias("__id"), F.lit(None).cast("binary").alias("__rid")).schema
+    chosen = keyed.join(keep, ["__id", "__content"], "inner").mapInArrow(_only_member(columns), member)
+    chosen = chosen.dropDuplicates(["__id", "__rid"]).select(*columns)
     wordless = docs.filter(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"))
     return chosen.unionByName(wordless)
 
@@ -311,8 +315,8 @@ def _only_member(columns: list[str]):
             names = b.schema.names
             text, rid = b.column(names.index("text")).to_pylist(), b.column(names.index("__rid")).to_pylist()
             keep = pa.array([set_key(shingle_set(t)) == r for t, r in zip(text, rid)], pa.bool_())
-            cols = [b.column(names.index(c)).filter(keep) for c in [*columns, "__id"]]
-            yield pa.RecordBatch.from_arrays(cols, names=[*columns, "__id"])
+            cols = [b.column(names.index(c)).filter(keep) for c in [*columns, "__id", "__rid"]]
+            yield pa.RecordBatch.from_arrays(cols, names=[*columns, "__id", "__rid"])
     return run
 
 

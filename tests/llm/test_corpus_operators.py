@@ -149,6 +149,19 @@ def test_jaccard_odd_rows(llm):
     assert jaccard_forest.links(df.limit(0)).count() == 0 and jaccard_forest.one_per_class(df.limit(0)).count() == 0
 
 
+def test_jaccard_keeps_each_class_of_shared_ids(llm):
+    random.seed(9)
+    text = lambda: " ".join(rnd(4, "abcdefghij") for _ in range(30))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(None, a), (None, b), (None, c), (None, c), (None, c + " tail"), (7, d), (7, e), (8, e + " tail"), (None, f), (3, f + " tail"), (None, None), (None, "")]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in jaccard_forest.one_per_class(df).collect()), key=str)
+    of_c = [r for r in got if r in ((None, c), (None, c + " tail"))]
+    assert len(of_c) == 1 and sorted(got, key=str) == sorted([(None, a), (None, b), *of_c, (7, d), (7, e), (None, f), (None, None), (None, "")], key=str)
+    linked = sorted((r.n_links, r.n_copies) for r in jaccard_forest.links(df).collect())
+    assert linked == sorted([(0, 0)] * 5 + [(2, 1)] * 2 + [(2, 0)] + [(1, 0)] * 4)
+
+
 def test_match_depth_reaches_target():
     d = jaccard_forest.match_depth()
     assert jaccard_forest.recall(d) >= jaccard_forest.TARGET > jaccard_forest.recall(d + 1)
