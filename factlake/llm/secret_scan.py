@@ -4,9 +4,11 @@ Three fixed patterns give the base spans: ``assign`` (a sensitive name, a separa
 value), ``access`` (key ids of one fixed prefix) and ``hex`` (long lower-case hex runs).
 On top, lines with ``=`` or ``:`` are lexed into name-literal pairs of source and
 configuration syntax (``name = "literal"``, ``"name": "literal"``, ``name: literal``,
-``export NAME=literal``, ``name := literal``).  Constants propagate: a name assigned from
-another name, or from a ``+`` chain of literals and names, takes the literals those names hold
-at that point of the text.  A literal is scored by the sensitive words of every name it
+``export NAME=literal``, ``name := literal``, ``"name" => literal``, ``name: type = literal``,
+``a["name"] = literal``, ``a.b = c = literal``).  The words of a subscript target's whole path count, and
+all targets of a chain take the value.  Constants propagate: a name assigned from
+another name, from a ``+`` chain of literals and names, or from ``$NAME`` and ``${NAME}`` (bare or in
+double quotes) takes the literals those names hold at that point of the text.  A literal is scored by the sensitive words of every name it
 reaches and by its own shape; literals at or above ``THRESHOLD`` add ``literal`` spans
 (their own place, quotes excluded).
 
@@ -36,10 +38,22 @@ KINDS = ("assign", "access", "hex", "literal")
 
 # Possessive runs, each entered only at its start: lexing is linear, whatever the length of a name.
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+INDEX = r"(?:\[[ \t]*+[0-9]*+[ \t]*+\])*+"
+QUOTED = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
+SHELL = r"\$\{[A-Za-z_][A-Za-z0-9_]*+\}"
+VALUE = (rf"""(?P<value>(?:{QUOTED}|(?:{SHELL}|[A-Za-z0-9_./+=@%$!#~^&*-])+)"""
+         rf"""(?:[ \t]*\+[ \t]*(?:{QUOTED}|{SHELL}|{NAME}))*)""")
 PAIR = re.compile(
-    rf"""(?P<q>["']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>{NAME})(?P=q)[ \t]*+(?::=|[:=](?!=))[ \t]*+"""
-    rf"""(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9_./+=@%$!#~^&*-]+)"""
-    rf"""(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|{NAME}))*)""")
+    rf"""(?P<q>["']?)(?<![A-Za-z0-9_.-])[0-9.-]*+(?P<name>{NAME})(?P=q)"""
+    rf"""(?:(?P<sub>[ \t]*+\]){INDEX}[ \t]*+(?::=|=>|=(?![=>~]))|{INDEX}[ \t]*+(?P<sep>:=|=>|[:=](?![=>])))[ \t]*+{VALUE}""")
+# What may stand between a target and its value, matched where the value seems to start: a further target, or a type.
+GENERIC = r"(?:[\[<][A-Za-z0-9_.,|&\[\]<>?* \t]*+)?+"
+THEN = rf"""(?:[ \t]++=(?![=>~])[ \t]*+|=(?=["'])){VALUE}"""
+CHAIN = re.compile(rf"""(?P<name>\$?{NAME})(?P<path>(?:\[[ \t]*+(?:"[^"\\\n]*+"|'[^'\\\n]*+'|[$A-Za-z0-9_.-]*+)[ \t]*+\])*+){THEN}""")
+TYPED_THEN = rf"""(?:(?:[ \t]++|(?<=[ \t]))=(?![=>~])[ \t]*+|=(?=["'])){VALUE}"""  # GENERIC takes the spaces after it
+TYPED = re.compile(rf"(?:&(?:'[a-z_]++[ \t]++)?+(?:mut[ \t]++)?+)?+[A-Za-z_][A-Za-z0-9_.]*+{GENERIC}[?!*]*+(?:[ \t]*+\|[ \t]*+[A-Za-z_][A-Za-z0-9_.]*+{GENERIC})*+{TYPED_THEN}")
+PATH = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.[]\"'>$-")
+SHELL_REF = re.compile(r"\$(?:\{([A-Za-z_][A-Za-z0-9_]*+)\}|([A-Za-z_][A-Za-z0-9_]*+))")
 PART = re.compile(r"""(?P<s>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<w>[^\s"']+)""")
 IDENT = re.compile(rf"{NAME}\Z")
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -65,20 +79,51 @@ def literal_weight(value: str) -> float:
     return 1.0 + min(1.0, entropy / 4) + (0.5 if classes >= 2 else 0) + (0.5 if n >= 16 else 0)
 
 
+def _targets(text: str):
+    """(names bound, names that weigh, match that has the value) of each assignment."""
+    at = 0
+    while m := PAIR.search(text, at):
+        begin = m.start("name")
+        if m["sub"] or text[begin - 1:begin] in (".", ">"):  # the path before it, back to the last assignment
+            begin = m.start()
+            while begin > at and text[begin - 1] in PATH:
+                begin -= 1
+        path = text[begin:m.end("name")]
+        bound, weighs = [path if m["sub"] else m["name"]], [path]
+        typed = TYPED.match(text, m.start("value")) if m["sep"] == ":" else None
+        m = typed or m
+        while more := CHAIN.match(text, m.start("value")):
+            m = more
+            bound.append(m["name"].removeprefix("$") + m["path"])
+            weighs.append(bound[-1])
+        at = m.end()
+        yield bound, weighs, m
+
+
 def lex(text: str):
-    """(name, parts) of each assignment; a part is ('lit', start, end) or ('ref', name)."""
-    for m in PAIR.finditer(text):
+    """(names bound, names that weigh, parts) of each assignment; a part is ('lit', start, end),
+    ('ref', name, start, end) or ('in', name), a reference inside a literal."""
+    for bound, weighs, m in _targets(text):
         at, parts = m.start("value"), []
         for p in PART.finditer(m["value"]):
             if p["s"] is not None:
-                parts.append(("lit", at + p.start() + 1, at + p.end() - 1))
+                a, b, inner = at + p.start() + 1, at + p.end() - 1, p["s"][1:-1]
+                shell = p["s"][0] == '"' and "$" in inner
             elif p["w"] != "+":
-                word = p["w"]
-                if IDENT.match(word):
-                    parts.append(("ref", word, at + p.start(), at + p.end()))
-                else:
-                    parts.append(("lit", at + p.start(), at + p.end()))
-        yield m["name"], parts
+                a, b, inner = at + p.start(), at + p.end(), p["w"]
+                shell = "$" in inner
+                if IDENT.match(inner):
+                    parts.append(("ref", inner, a, b))
+                    continue
+            else:
+                continue
+            whole = SHELL_REF.fullmatch(inner) if shell else None
+            if whole:
+                parts.append(("ref", whole[1] or whole[2], a, b))
+            else:
+                parts.append(("lit", a, b))
+                parts += [("in", r[1] or r[2]) for r in SHELL_REF.finditer(inner)] if shell else []
+        yield bound, weighs, parts
 
 
 def literal_spans(text: str) -> list[tuple[int, int]]:
@@ -90,18 +135,19 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     nodes: list[tuple[list[tuple[int, int]], list[int]]] = []
     weight: list[int] = []
     holds: dict[str, int] = {}
-    for name, parts in lex(text):
+    for bound, weighs, parts in lex(text):
         literals, refs = [], []
         for p in parts:
             if p[0] == "lit":
                 literals.append((p[1], p[2]))
             elif p[1] in holds:
                 refs.append(holds[p[1]])
-            else:
+            elif p[0] == "ref":
                 literals.append((p[2], p[3]))  # a bare word that names no constant is a literal itself
-        holds[name] = len(nodes)
+        for name in bound:
+            holds[name] = len(nodes)
         nodes.append((literals, refs))
-        weight.append(name_weight(name))
+        weight.append(max(name_weight(name) for name in weighs))
     out = []
     for k in range(len(nodes) - 1, -1, -1):
         if not weight[k]:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import duckdb
 import public_tokenizers
@@ -147,6 +148,28 @@ def test_decontaminated_text(llm):
     assert out == {1: "Keep this, ! And that.", 2: "clean é", 3: None}
 
 
+@pytest.mark.parametrize("text", [
+    'password: str = "S3cr3tValue99"', 'password: Optional[str] = "S3cr3tValue99"', 'password: str | None = "S3cr3tValue99"',
+    'const TOKEN: &\'static str = "S3cr3tValue99"', 'let token:string="S3cr3tValue99"',
+    'config["db_password"] = "S3cr3tValue99"', "config['secret']['value'] = 'S3cr3tValue99'", 'a["secret"][0] = "S3cr3tValue99"',
+    'cfg["secret"].value = "S3cr3tValue99"', '["password"] = "S3cr3tValue99"', '"password" => "S3cr3tValue99"', ":token=>'S3cr3tValue99'",
+    'token = x = "S3cr3tValue99"', 'x = token = "S3cr3tValue99"', 'a = b = "S3cr3tValue99"\nsecret = a', 'x = cfg["token"] = "S3cr3tValue99"',
+    "A=S3cr3tValue99; export TOKEN=$A", "A=S3cr3tValue99; export TOKEN=${A}", 'A=S3cr3tValue99\nTOKEN="$A"', 'A=S3cr3tValue99\nTOKEN="${A}"',
+    "$a = 'S3cr3tValue99';\n$token = $a;"])
+def test_secret_targets(text):
+    assert [text[a:b] for a, b in secret_scan.literal_spans(text)] == ["S3cr3tValue99"]
+
+
+def test_secret_targets_are_linear_and_bound():
+    found = lambda t: [t[a:b] for a, b in secret_scan.literal_spans(t)]
+    assert found('name: str = "abcdefgh12"\ntoken: str') == [] and found('config["a"] = "abcdefgh12"\ntoken = a') == []
+    assert found("A=abcdefgh12\nTOKEN='$A'") == [] and found("token = YWJjZGVmZw== other") == ["YWJjZGVmZw=="]
+    for part in ("a = ", "a=", 'a["b"]', "a[b]", "a->", "a[0].", "a: b", "a: b<", "$a", "${a}", "a: b | ", "x.a[1]"):
+        start = time.perf_counter()
+        secret_scan.literal_spans(part * 40_000 + "(")
+        assert time.perf_counter() - start < 5, part
+
+
 def plain_secrets(text):
     t = text or ""
     out = [(m.start(), m.end(), "assign") for m in re.finditer(r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[1]) >= 6]
