@@ -5,6 +5,11 @@ stream through it and the automaton tracks the longest match that ends at each w
 that match holds a window (``WINDOW`` consecutive words of one item, or a whole shorter
 item) its words are hit, and the state names the items that contain the window.
 
+``decontaminate`` also cuts by coverage (``COVER`` of an item, changed words included): of an item of n words,
+``WINDOW`` or more, a stretch of at most n / ``COVER`` words goes, from its first to its last run, if runs of
+``RUN`` or more words common to both hold at least ``COVER`` * n different words of the item and as many of the stretch.
+``contamination`` counts windows only.
+
 The benchmark is used in blocks of about ``BLOCK_BYTES`` (its size is measured first), each
 broadcast on its own; documents are scanned against every block without a shuffle.
 
@@ -28,6 +33,8 @@ from factlake.llm.bytewords import fold, word_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+RUN = 4
+COVER = (4, 5)  # a fraction: exact in integers
 
 SPANS, ITEMS, WORDS = "__hit_spans", "__hit_items", "__n_words"
 
@@ -57,6 +64,11 @@ class ItemAutomaton:
             last = 0
             for c in seq:
                 last = self._extend(last, c)
+        self.texts: dict[int, set[tuple[int, ...]]] = defaultdict(set)  # of items with a coverage limit
+        for item, seq in sequences:
+            if len(seq) >= window:
+                self.texts[item].add(tuple(seq))
+        self.grams: dict[tuple[int, ...], dict[tuple[int, ...], list[int]]] = {}  # places of runs, of texts looked at
         self.items: list[set[int]] = [set() for _ in self.len]
         self.whole: dict[int, list[tuple[int, int]]] = defaultdict(list)  # state -> (length, short item)
         for item, seq in sequences:
@@ -130,7 +142,7 @@ class ItemAutomaton:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, self.hash_ids[at], -1)
 
-    def runs(self, ids: np.ndarray) -> list[tuple[int, int]]:
+    def runs(self, ids: np.ndarray, least: int) -> list[tuple[int, int]]:
         """Runs of words in which a window can lie: known words, each pair of neighbours in some item."""
         if len(ids) == 0:
             return []
@@ -147,11 +159,13 @@ class ItemAutomaton:
             joined[:] = False
         cut = np.flatnonzero(~joined) + 1
         begin, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(ids)]))
-        ok = (end - begin >= self.shortest) & known[begin]
+        ok = (end - begin >= least) & known[begin]
         return list(zip(begin[ok].tolist(), end[ok].tolist()))
 
-    def match(self, ids: list[int], offset: int, spans: list[tuple[int, int]], found: set[int]) -> None:
-        """Stream one run; adds hit spans (word indexes, end exclusive) and items."""
+    def match(self, ids: list[int], offset: int, spans: list[tuple[int, int]], found: set[int],
+              places: dict[int, list[int]] | None = None) -> None:
+        """Stream one run; adds hit spans (word indexes, end exclusive) and items, and to ``places`` where
+        runs of ``RUN`` words of each item begin."""
         nxt, link, length, window = self.next, self.link, self.len, self.window
         state = matched = 0
         for i, c in enumerate(ids, offset + 1):
@@ -163,6 +177,12 @@ class ItemAutomaton:
                 matched += 1
             else:
                 matched = 0
+            if places is not None and matched >= RUN:
+                up = state
+                while length[link[up]] >= RUN:
+                    up = link[up]
+                for item in self.items[up]:
+                    places[item].append(i - RUN)
             if matched >= window:
                 up = state
                 while length[link[up]] >= window:
@@ -177,14 +197,50 @@ class ItemAutomaton:
                         found.add(item)
                 up = self.above[link[up]]
 
-    def scan(self, data: bytes) -> tuple[int, list[tuple[int, int]], set[int]]:
+    def covered(self, ids: list[int], places: dict[int, list[int]], spans: list[tuple[int, int]]) -> None:
+        """Adds the stretches that hold enough of an item."""
+        num, den = COVER
+        for item, begins in places.items():
+            for text in self.texts.get(item, ()):
+                n = len(text)
+                if len(begins) * RUN * den < num * n:
+                    continue
+                if text not in self.grams:
+                    grams = self.grams[text] = defaultdict(list)
+                    for k in range(n - RUN + 1):
+                        grams[text[k:k + RUN]].append(k)
+                grams, times = self.grams[text], [0] * n
+                hits = [(p, grams[g]) for p in begins if (g := tuple(ids[p:p + RUN])) in grams]
+                of_item = of_doc = left = 0
+                for right, (p, at) in enumerate(hits):
+                    of_doc += min(RUN, p - hits[right - 1][0]) if right > left else RUN
+                    for k in at:
+                        for j in range(k, k + RUN):
+                            of_item += not times[j]
+                            times[j] += 1
+                    while (p + RUN - hits[left][0]) * num > n * den:
+                        of_doc -= min(RUN, hits[left + 1][0] - hits[left][0])
+                        for k in hits[left][1]:
+                            for j in range(k, k + RUN):
+                                times[j] -= 1
+                                of_item -= not times[j]
+                        left += 1
+                    if min(of_item, of_doc) * den >= num * n:
+                        spans.append((hits[left][0], p + RUN))
+
+    def scan(self, data: bytes, cover: bool = False) -> tuple[int, list[tuple[int, int]], set[int]]:
         hashes, starts, ends = word_hashes(data)
         ids = self.ids_of(hashes)
         spans: list[tuple[int, int]] = []
         found: set[int] = set()
-        for a, b in self.runs(ids):
+        places: dict[int, list[int]] | None = defaultdict(list) if cover else None
+        known = np.full(len(ids), -1, dtype=np.int64)
+        for a, b in self.runs(ids, min(RUN, self.shortest) if cover else self.shortest):
             seq = [i if data[starts[k]:ends[k]] == self.words[i] else -1 for k, i in enumerate(ids[a:b].tolist(), a)]
-            self.match(seq, a, spans, found)
+            self.match(seq, a, spans, found, places)
+            known[a:b] = seq
+        if places:
+            self.covered(known.tolist(), places, spans)
         return len(starts), merged(spans), found
 
 
@@ -229,24 +285,24 @@ def blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) ->
     return out
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with n_words, merged hit spans (word indexes, flattened begin/end) and item ids."""
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, cover: bool = False) -> DataFrame:
+    """``docs`` with n_words, merged hit spans (word indexes, flattened begin/end; with ``cover`` those by coverage too) and item ids."""
     columns = docs.columns
     out = docs.select("*", F.lit(0).cast("long").alias(WORDS), F.array().cast("array<int>").alias(SPANS),
                       F.array().cast("array<string>").alias(ITEMS))
     for block in blocks(benchmark, window, block_bytes):
-        out = out.mapInArrow(_scanner(block, columns.index("text")), out.schema)
+        out = out.mapInArrow(_scanner(block, columns.index("text"), cover), out.schema)
     return out
 
 
-def _scanner(block: _Block, text_at: int):
+def _scanner(block: _Block, text_at: int, cover: bool):
     def run(batches):
         auto = _automaton(block)
         for b in batches:
             n_words, spans, items = [], [], []
             old_spans, old_items = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
             for text, s0, i0 in zip(b.column(text_at).to_pylist(), old_spans, old_items):
-                n, s, found = auto.scan(fold(text))
+                n, s, found = auto.scan(fold(text), cover)
                 n_words.append(n)
                 s = merged(s + list(zip(s0[::2], s0[1::2]))) if s0 else s
                 spans.append([x for p in s for x in p])
@@ -283,7 +339,7 @@ def clean_text(text: str | None, spans: list[int]) -> str | None:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with every hit span cut out of ``text``; clean documents are unchanged."""
-    hit = scan(docs, benchmark, window, block_bytes)
+    hit = scan(docs, benchmark, window, block_bytes, cover=True)
     at = docs.columns.index("text")
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
 

@@ -160,6 +160,41 @@ def test_secret_targets(text):
     assert [text[a:b] for a, b in secret_scan.literal_spans(text)] == ["S3cr3tValue99"]
 
 
+def plain_covered(text, item):
+    """Word positions of the stretches that hold 4/5 of the item in runs of four or more words."""
+    w, b, out = words(text), words(item), set()
+    size = len(b) * 5 // 4
+    for z in range(4, len(w) + 1):
+        a = max(0, z - size)
+        hits = [(p, k) for p in range(a, z - 3) for k in range(len(b) - 3) if w[p:p + 4] == b[k:k + 4]]
+        of_doc, of_item = ({h[i] + j for h in hits for j in range(4)} for i in (0, 1))
+        if min(len(of_doc), len(of_item)) * 5 >= len(b) * 4:
+            out |= set(range(min(of_doc), max(of_doc) + 1))
+    return out
+
+
+def test_decontamination_by_coverage(llm):
+    random.seed(12)
+    word = lambda n=5: "".join(random.choice("abcdefghij") for _ in range(n))
+    item = [word() for _ in range(40)] + ["again"] * 6
+    docs = [" ".join(word() for _ in range(20)) for _ in range(3)]
+    for step in (4, 5, 6, 9, 10):
+        for change in ([word(7)], [], None):
+            body = [x for k, v in enumerate(item) for x in ((change if change is not None else [v, word(7)]) if k % step == step - 1 else [v])]
+            docs.append(" ".join([word(), *item[:5], word(), word(), *body, word(), *item[3:8], word()]))
+    docs += ["again " * 9, " ".join(item[:20]), " ".join(item[:8] * 6), " ".join((item[:9] + [word()] + item[10:]) * 2)]
+    bench = llm.createDataFrame([("i", " ".join(item)), ("i", "short one"), (None, None)], "item_id string, text string")
+    df = llm.createDataFrame([(k, t) for k, t in enumerate(docs)], "doc_id long, text string")
+    got = {r.doc_id: words(r.text) for r in decontaminate.decontaminate(df, bench).collect()}
+    by_cover = 0
+    for k, t in enumerate(docs):
+        hit = contamination(t, [("i", " ".join(item))])[0]
+        covered = plain_covered(t, " ".join(item))
+        by_cover += bool(covered - hit)
+        assert got[k] == [v for j, v in enumerate(words(t)) if j not in hit | covered], k
+    assert by_cover >= 8 and got[0] == words(docs[0])
+
+
 def test_secret_targets_are_linear_and_bound():
     found = lambda t: [t[a:b] for a, b in secret_scan.literal_spans(t)]
     assert found('name: str = "abcdefgh12"\ntoken: str') == [] and found('config["a"] = "abcdefgh12"\ntoken = a') == []
