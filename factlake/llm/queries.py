@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 import factlake
-from factlake.llm import (bpe_codec, chat_format, decontaminate, jaccard_forest, language_id, line_templates,
+from factlake.llm import (bpe_codec, chat_format, decontaminate, fill_in_middle, jaccard_forest, language_id, line_templates,
                           quality_lines, secret_scan, suffix_dedup, token_counts)
 from factlake.llm.common import table
 
@@ -107,3 +107,8 @@ def op9(spark, sf_dir):
 @register("op10_token_counts")
 def op10(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@register("op11_fill_in_middle", fill_in_middle.ORACLE)
+def op11(spark, sf_dir):
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
