@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import factlake
 from factlake.llm import (bpe_codec, chat_format, decontaminate, fill_in_middle, jaccard_forest, language_id, line_templates,
-                          quality_lines, secret_scan, suffix_dedup, token_counts)
+                          piece_codec, quality_lines, secret_scan, suffix_dedup, token_counts)
 from factlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,8 @@ def op10(spark, sf_dir):
 @register("op11_fill_in_middle", fill_in_middle.ORACLE)
 def op11(spark, sf_dir):
     return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@register("op12_piece_codec")
+def op12(spark, sf_dir):
+    return piece_codec.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
