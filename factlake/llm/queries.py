@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import factlake
 from factlake.llm import (bpe_codec, chat_format, decontaminate, fill_in_middle, jaccard_forest, language_id, line_templates,
-                          piece_codec, quality_lines, secret_scan, suffix_dedup, token_counts)
+                          piece_codec, prefix_trie, quality_lines, secret_scan, suffix_dedup, token_counts)
 from factlake.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,8 @@ def op11(spark, sf_dir):
 @register("op12_piece_codec")
 def op12(spark, sf_dir):
     return piece_codec.digests(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@register("op13_prefix_trie", prefix_trie.ORACLE)
+def op13(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
