@@ -1,18 +1,21 @@
 """Quality rules with cross-document line frequency (DataFrame functions only).
 
-Base metrics are computed inside each row.  Then every line's normalised form (lower case,
-white space collapsed, digits as 0) is hashed and the distinct documents that hold it are counted
-per host (``source``); whole-document copies count once, so a copied document does not make
-its own lines look like boilerplate.  A line of at most ``MAX_LINE_WORDS`` words that more than
-``MIN_DOCS`` documents and more than ``MAX_SHARE`` of the host's documents hold is above the limits and
-is removed.  A document is depleted, and rejected, when less than ``MIN_LEFT`` of its words remain.
-
-Shuffles carry (host, line hash, document hash) only.  Counting is two aggregations, both
-pre-aggregated, so a line that a third of all rows share is no hot task.
+Base metrics and the hashes of the normalised lines (lower case, white space collapsed, digits as
+0) are computed once inside each row and written with a row number; everything after that
+reads narrow rows.  The distinct documents that hold a line are counted per host (``source``);
+whole-document copies count once, so a copied document does not make its own lines look like
+boilerplate.  A line of any length is above the limits, and is removed, when more than ``MIN_DOCS``
+documents hold it and these are more than ``MAX_SHARE`` of the host's documents or more than
+``ENOUGH_DOCS``: a large host does not raise the bar beyond that.  A document is depleted, and
+rejected, when less than ``MIN_LEFT`` of its words remain.
+
+Shuffles carry hashes and numbers only.  Counting is two aggregations, both pre-aggregated, so a
+line that a third of all rows share is no hot task; the lines that meet the limits again are
+salted.  ``filtered`` meets the texts once, by row number.
 
 Defined results: null and empty texts have no words, fail the base rules and are not kept.  A null
-host is a host of its own.  Results depend on (doc_id, text, source) only, so repeated rows
-repeat their result.  Empty tables give no rows.
+host is a host of its own.  Results depend on text and source only, so repeated rows repeat
+their result.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factlake.llm.common import let
+from factlake.llm.common import let, written
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -29,8 +32,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 MIN_DOCS = 10
 MAX_SHARE = 0.01
-MAX_LINE_WORDS = 30
+ENOUGH_DOCS = 100
 MIN_LEFT = 0.2
+SALTS = 16
 
 
 def _trim(c: Column) -> Column:
@@ -44,9 +48,7 @@ def words_of(text: Column) -> Column:
 
 def repeat_words(words: Column) -> Column:
     """Words covered by windows of five words that occur twice or more in the text."""
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    windows = lambda h: F.transform(
-        F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))
+    windows = F.transform(F.sequence(F.lit(0), F.size(words) - WINDOW), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))
 
     def covered(win: Column) -> Column:
         by_hash = F.array_sort(F.transform(win, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
@@ -59,76 +61,77 @@ def repeat_words(words: Column) -> Column:
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
         return F.aggregate(let(by_hash, places), start, lambda a, i: F.struct(
             (a["n"] + i + WINDOW - F.greatest(a["end"], i)).alias("n"), (i + WINDOW).alias("end")), lambda a: a["n"])
-    repeats = let(hashed, lambda h: let(windows(h), lambda win: F.when(
-        F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(covered(win))))
+    repeats = let(windows, lambda win: F.when(F.size(F.array_distinct(win)) == F.size(win), F.lit(0)).otherwise(covered(win)))
     return F.when(F.size(words) < WINDOW + 1, F.lit(0)).otherwise(repeats)
 
 
 def normal_line(line: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(_trim(line)), r"[\x20\x09-\x0D]+", " "), "[0-9]", "0")
+    collapsed = F.regexp_replace(F.lower(_trim(line)), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
+    return F.translate(collapsed, "123456789", "0" * 9)
 
 
 def metrics(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, source and any other columns) with base metrics and line hashes."""
+    """Text, source and any other columns of ``docs``, written once with a row number ``__rid``, ``__host``, a hash of the text,
+    the base metrics and ``__lines``: (place, raw hash, normalised hash, words) of every line with a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = lambda t: F.filter(F.split(t, "\n", -1), lambda x: _trim(x) != "")
-    narrow = docs.withColumn("__words", words_of(text))
-    return narrow.select(
-        *docs.columns,
-        F.size("__words").cast("long").alias("n_words"),
+
+    def line(x: Column, i: Column) -> Column:
+        return F.when(_trim(x) != "", F.struct(i.alias("i"), F.xxhash64(x).alias("raw"), F.xxhash64(normal_line(x)).alias("h"),
+                                               F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).alias("n")))
+    parsed = docs.withColumn("__words", words_of(text)).withColumn("__lines", F.array_compact(F.transform(F.split(text, "\n", -1), line)))
+    n_words = F.size("__words").cast("long")
+    n_repeat = repeat_words(F.col("__words")).cast("long")
+    measured = parsed.select(
+        *docs.columns, F.monotonically_increasing_id().alias("__rid"),
+        F.coalesce(F.concat(F.lit("h:"), F.col("source").cast("string")), F.lit("")).alias("__host"),
+        F.xxhash64(text).alias("__content"),
+        n_words.alias("n_words"),
         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        let(lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("__words")).cast("long").alias("n_repeat_words"),
-        F.transform(lines(text), lambda x: F.struct(F.xxhash64(normal_line(x)).alias("h"), F.size(words_of(x)).alias("n"))).alias("__lines"),
-        F.xxhash64(text).alias("__content"),
-    ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
+        (F.size("__lines") - F.size(F.array_distinct(F.col("__lines.raw")))).cast("long").alias("n_dup_lines"),
+        n_repeat.alias("n_repeat_words"), "__lines")
+    return written(measured, "quality-docs").withColumn(
+        "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
 
 
-def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, enough: int = ENOUGH_DOCS) -> DataFrame:
     """(host, h): normalised lines above the limits of their host."""
-    host = F.coalesce(F.concat(F.lit("h:"), F.col("source").cast("string")), F.lit("")).alias("host")
-    per_doc = measured.select(host, "__content", F.explode(F.array_distinct(F.transform(
-        F.filter("__lines", lambda x: x["n"] <= MAX_LINE_WORDS), lambda x: x["h"]))).alias("h"))
-    counts = per_doc.groupBy("host", "h", "__content").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count("*").alias("docs"))
-    hosts = measured.select(host, "__content").groupBy("host", "__content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("all"))
+    per_doc = measured.select("__host", "__content", F.explode(F.array_distinct(F.col("__lines.h"))).alias("h"))
+    counts = per_doc.groupBy("__host", "h", "__content").agg(F.lit(1).alias("one")).groupBy("__host", "h").agg(F.count("*").alias("docs"))
+    hosts = measured.select("__host", "__content").groupBy("__host", "__content").agg(F.lit(1).alias("one")).groupBy("__host").agg(F.count("*").alias("all"))
     common = counts.filter(F.col("docs") > min_docs)
-    return common.join(hosts, "host").filter(F.col("docs") > max_share * F.col("all")).select("host", "h")
-
-
-def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
-    """``measured`` with the hashes of the lines to remove, n_lines_removed, n_words_left and kept."""
-    host = F.coalesce(F.concat(F.lit("h:"), F.col("source").cast("string")), F.lit(""))
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("k_id"), F.col("__content").alias("k_text"), host.alias("host")]
-    lines = measured.select(*key, F.explode(F.array_distinct(F.transform(
-        F.filter("__lines", lambda x: x["n"] <= MAX_LINE_WORDS), lambda x: x["h"]))).alias("h"))
-    hit = lines.join(limits, ["host", "h"]).groupBy("k_id", "k_text", "host").agg(F.collect_set("h").alias("__gone"))
-    left = measured.select("*", *key).join(hit, ["k_id", "k_text", "host"], "left").drop("k_id", "k_text", "host")
-    gone = F.coalesce("__gone", F.array().cast("array<long>"))
-    is_gone = lambda x: (x["n"] <= MAX_LINE_WORDS) & F.array_contains(gone, x["h"])
-    zero = F.lit(0).cast("long")
-    left = left.select("*", F.aggregate(F.filter("__lines", lambda x: ~is_gone(x)), zero, lambda a, x: a + x["n"]).alias("n_words_left"),
-                       F.size(F.filter("__lines", is_gone)).cast("long").alias("n_lines_removed"))
-    depleted = F.col("n_words_left") < MIN_LEFT * F.col("n_words")
-    return left.withColumn("kept", ~F.col("base_failed") & ~depleted)
+    return common.join(hosts, "__host").filter((F.col("docs") > max_share * F.col("all")) | (F.col("docs") > enough)).select("__host", "h")
+
+
+def judged(measured: DataFrame) -> DataFrame:
+    """__rid, the metrics, n_lines_removed, n_words_left, kept and the places ``__gone`` of the lines to remove (null: none)."""
+    limits = written(frequent_lines(measured), "quality-limits").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    lines = measured.select("__rid", "__host", F.pmod("__rid", F.lit(SALTS)).cast("int").alias("salt"), F.explode("__lines").alias("x"))
+    gone = lines.select("__rid", "__host", "salt", "x.h", "x.i", "x.n").join(limits, ["__host", "h", "salt"])
+    gone = gone.groupBy("__rid").agg(F.sum("n").alias("lost"), F.collect_list("i").alias("__gone"))
+    out = measured.drop("__lines").join(gone, "__rid", "left")
+    out = out.withColumn("n_words_left", F.col("n_words") - F.coalesce("lost", F.lit(0)))
+    out = out.withColumn("n_lines_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
+    return out.withColumn("kept", ~F.col("base_failed") & ~(F.col("n_words_left") < MIN_LEFT * F.col("n_words")))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """Per document the metrics and the verdict."""
-    measured = metrics(docs.select("doc_id", "text", "source"))
-    out = judged(measured.drop("text"), frequent_lines(measured))
-    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      "base_failed", "kept", "n_lines_removed", "n_words_left")
+    measured = metrics(docs.select("doc_id", "text", "source")).drop("text")
+    return judged(measured).select(F.col("doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                   "base_failed", "kept", "n_lines_removed", "n_words_left")
 
 
 def filtered(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected documents; frequent lines are cut from the texts that stay."""
-    measured = metrics(docs.select("doc_id", "text", "source", F.struct(*[c for c in docs.columns if c != "text"]).alias("__row")))  # its names may clash
-    out = judged(measured, frequent_lines(measured)).filter("kept")
-    gone = F.col("__gone")
-    kept = F.filter(F.split(F.col("text"), "\n", -1), lambda x: (F.size(words_of(x)) == 0) | (F.size(words_of(x)) > MAX_LINE_WORDS)
-                    | ~F.array_contains(gone, F.xxhash64(normal_line(x))))
-    text = F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    carried = docs.select("text", "source", F.struct(*[c for c in docs.columns if c != "text"]).alias("__row"))  # its names may clash
+    measured = metrics(carried)
+    verdict = judged(measured.drop("text", "__row")).filter("kept").select("__rid", "__gone")
+    out = measured.select("__rid", "text", "__row").join(verdict, "__rid")
+    lines = F.split("text", "\n", -1)
+    kept = let(lines, lambda x: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("__gone")), lambda i: F.get(x, i)), "\n"))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)
     return out.select(*[text.alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])
 
 
@@ -149,10 +152,10 @@ WITH base AS (
   SELECT rid, host, t, n, regexp_replace(regexp_replace(lower(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]', '0', 'g') AS h
   FROM (SELECT rid, host, t, l, len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n FROM (SELECT rid, host, t, unnest(ls) AS l FROM w))
 ), freq AS (
-  SELECT host, h FROM (SELECT host, h, count(DISTINCT t) AS d FROM ln WHERE n <= 30 GROUP BY 1, 2)
-  JOIN (SELECT host, count(DISTINCT t) AS a FROM base GROUP BY 1) USING (host) WHERE d > 10 AND d > 0.01 * a
+  SELECT host, h FROM (SELECT host, h, count(DISTINCT t) AS d FROM ln GROUP BY 1, 2)
+  JOIN (SELECT host, count(DISTINCT t) AS a FROM base GROUP BY 1) USING (host) WHERE d > 10 AND (d > 0.01 * a OR d > 100)
 ), rest AS (
-  SELECT rid, sum(CASE WHEN f.h IS NULL OR n > 30 THEN n ELSE 0 END) AS lefts, count(CASE WHEN f.h IS NOT NULL AND n <= 30 THEN 1 END) AS gone
+  SELECT rid, sum(CASE WHEN f.h IS NULL THEN n ELSE 0 END) AS lefts, count(f.h) AS gone
   FROM ln LEFT JOIN freq f USING (host, h) GROUP BY rid
 ), m AS (
   SELECT doc_id, len(ws) AS n_words, coalesce(len(array_to_string(ws, '')), 0) AS word_chars,

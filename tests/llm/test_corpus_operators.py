@@ -117,6 +117,26 @@ def test_line_limits_take_effect(llm):
     assert len(left) == len(rows) and sum("Posted by" in (r.text or "") for r in left) <= 3
 
 
+def test_long_lines_and_hot_hosts(llm):
+    """A 60-word footer goes, a hot host does not raise the bar, and copies of one text do not count."""
+    random.seed(8)
+    body = lambda: " ".join(rnd(6, "abcdefghij") for _ in range(40))
+    footer = " ".join(f"word{k}" for k in range(60))
+    hot = "seen on one hundred and twenty documents of a large host"
+    rows = [(i, body() + "\n" + footer, "small") for i in range(30)]
+    rows += [(100 + i, body() + ("\n" + hot if i < 120 else ""), "hot") for i in range(13_000)]
+    copied = body() + "\nonly in copies of one text"
+    rows += [(20_000 + i, copied, "small") for i in range(40)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, source string")
+    left = {r.doc_id: r.text for r in quality_lines.filtered(df).collect()}
+    assert len(left) == len(rows)
+    assert not any(footer in left[i] for i in range(30)) and not any(hot in t for t in left.values())
+    assert all(left[20_000 + i] == copied for i in range(40))
+    con, sql = against_sql(df, quality_lines.ORACLE)
+    ok, why = compare(quality_lines.quality(df), con, sql)
+    assert ok, why
+
+
 def near_rows():
     random.seed(6)
     base = [" ".join(rnd(4, "abcdefghij") for _ in range(60)) for _ in range(12)]
