@@ -15,6 +15,10 @@ from factlake.llm.common import table, written
 from factlake.llm.queries import register, ship, tokenizer_file
 
 
+#: Characters numbered together in the last stage: what one task holds beside its words.
+BLOCK_CHARS = 16 << 20
+
+
 def _sized(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in df.columns else df
 
@@ -47,7 +51,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ship(spark)
     ranks = bpe_codec.load_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
-    out = bpe_codec.encode_decode(docs, ranks, public_tokenizers.PATTERN)
+    out = bpe_codec.encode_decode(docs, ranks, public_tokenizers.PATTERN, block_chars=BLOCK_CHARS)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
