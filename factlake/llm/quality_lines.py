@@ -11,7 +11,7 @@ rejected, when less than ``MIN_LEFT`` of its words remain.
 
 Shuffles carry hashes and numbers only.  Counting is two aggregations, both pre-aggregated, so a
 line that a third of all rows share is no hot task; the lines that meet the limits again are
-salted.  ``filtered`` meets the texts once, by row number.
+salted.  ``filtered`` meets the texts in one join, by (doc_id, text hash, host).
 
 Defined results: null and empty texts have no words, fail the base rules and are not kept.  A null
 host is a host of its own.  Results depend on text and source only, so repeated rows repeat
@@ -70,9 +70,15 @@ def normal_line(line: Column) -> Column:
     return F.translate(collapsed, "123456789", "0" * 9)
 
 
+def _keys() -> list[Column]:
+    """What a document's verdict depends on, and its doc_id: the key under which the texts meet it."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("__id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__content"),
+            F.coalesce(F.concat(F.lit("h:"), F.col("source").cast("string")), F.lit("")).alias("__host")]
+
+
 def metrics(docs: DataFrame) -> DataFrame:
-    """Text, source and any other columns of ``docs``, written once with a row number ``__rid``, ``__host``, a hash of the text,
-    the base metrics and ``__lines``: (place, raw hash, normalised hash, words) of every line with a word."""
+    """Narrow rows of ``docs``, written once: doc_id, a row number ``__rid``, the key, the base metrics and
+    ``__lines``: (place, raw hash, normalised hash, words) of every line with a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def line(x: Column, i: Column) -> Column:
@@ -82,9 +88,7 @@ def metrics(docs: DataFrame) -> DataFrame:
     n_words = F.size("__words").cast("long")
     n_repeat = repeat_words(F.col("__words")).cast("long")
     measured = parsed.select(
-        *docs.columns, F.monotonically_increasing_id().alias("__rid"),
-        F.coalesce(F.concat(F.lit("h:"), F.col("source").cast("string")), F.lit("")).alias("__host"),
-        F.xxhash64(text).alias("__content"),
+        "doc_id", F.monotonically_increasing_id().alias("__rid"), *_keys(),
         n_words.alias("n_words"),
         F.length(F.translate(text, SPACES, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -117,19 +121,19 @@ def judged(measured: DataFrame) -> DataFrame:
 
 def quality(docs: DataFrame) -> DataFrame:
     """Per document the metrics and the verdict."""
-    measured = metrics(docs.select("doc_id", "text", "source")).drop("text")
-    return judged(measured).select(F.col("doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                   "base_failed", "kept", "n_lines_removed", "n_words_left")
+    return judged(metrics(docs.select("doc_id", "text", "source"))).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_lines_removed", "n_words_left")
 
 
 def filtered(docs: DataFrame) -> DataFrame:
     """``docs`` without rejected documents; frequent lines are cut from the texts that stay."""
-    carried = docs.select("text", "source", F.struct(*[c for c in docs.columns if c != "text"]).alias("__row"))  # its names may clash
-    measured = metrics(carried)
-    verdict = judged(measured.drop("text", "__row")).filter("kept").select("__rid", "__gone")
-    out = measured.select("__rid", "text", "__row").join(verdict, "__rid")
-    lines = F.split("text", "\n", -1)
-    kept = let(lines, lambda x: F.array_join(F.transform(
+    keys = ["__id", "__content", "__host"]
+    # rows of one key have one verdict: any of them will do
+    verdict = judged(metrics(docs.select("doc_id", "text", "source"))).filter("kept").groupBy(*keys).agg(F.first("__gone").alias("__gone"))
+    rows = docs.select("text", F.struct(*[c for c in docs.columns if c != "text"]).alias("__row"), *_keys())  # its names may clash
+    out = rows.join(verdict, keys)
+    kept = let(F.split("text", "\n", -1), lambda x: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("__gone")), lambda i: F.get(x, i)), "\n"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)
     return out.select(*[text.alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])
