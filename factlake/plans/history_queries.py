@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factlake.functions import keys as K
+from factlake.operators import buckets, history
 from factlake.operators.asof import asof_join
 from factlake.operators.merge import merge_upsert, scd2_history
 from factlake.plans import bindings as B
@@ -89,6 +90,51 @@ def merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(t, b2, ["cik"], TRACKED, TS2)
 
 
+@register("scd2_apply", SCD2_SQL)
+def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same versions, built by four batches of captures in shuffled order: most captures are late, fall inside
+    versions and split or join them."""
+    s = snapshots(spark, sf_dir)
+    table = history.history_table(spark, scratch_dir(spark, "company-history"), s, "cik", TRACKED, n_buckets=16)
+    dealt = F.pmod(F.xxhash64("cik", "logical_date"), F.lit(4))
+    for n in range(4):
+        history.scd2_apply(table, s.where(dealt == n), TRACKED, version=n)
+        table.retire()
+    return history.history(table, TRACKED)
+
+
+BUCKET_KEY, BUCKET_ATTRS = ["cik", "state"], ["company_name", "sic"]
+BATCHES = [("1998-01-01 00:00:00", "logical_date >= DATE '1994-01-01' AND logical_date < DATE '1997-01-01'"),
+           ("2002-01-01 00:00:00", "logical_date < DATE '1995-06-01' OR logical_date >= DATE '1998-01-01'"),
+           ("2003-01-01 00:00:00", "sic = 'P'")]
+
+
+def _merge_step(n: int) -> str:
+    """SQL of merge ``n``: table m<n-1> and batch b<n>, null-safe on the state."""
+    ts, late = f"TIMESTAMP '{BATCHES[n - 1][0]}'", "t.cik IS NULL OR b.logical_date >= t.logical_date"
+    pick = lambda c: f"CASE WHEN b.cik IS NOT NULL AND ({late}) THEN b.{c} ELSE t.{c} END AS {c}"
+    return f"""SELECT coalesce(t.cik, b.cik) AS cik, coalesce(t.state, b.state) AS state, {pick('logical_date')}, {pick('company_name')}, {pick('sic')},
+        coalesce(t._first_seen_ts, {ts}) AS _first_seen_ts, CASE WHEN b.cik IS NOT NULL THEN {ts} ELSE t._last_seen_ts END AS _last_seen_ts
+      FROM m{n - 1} t FULL OUTER JOIN b{n} b ON t.cik = b.cik AND t.state IS NOT DISTINCT FROM b.state"""
+
+
+@register("merge_buckets", O.with_ctes(
+    "SELECT * FROM m3", snap=O.SNAPSHOTS, keyed="SELECT *, nullif(state_of_incorporation, '5-LOW') AS state FROM snap",
+    **{f"b{n}": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cik, state ORDER BY logical_date DESC) AS rn FROM keyed WHERE {where}) WHERE rn = 1"""
+       for n, (_, where) in enumerate(BATCHES, 1)},
+    m1=f"SELECT cik, state, logical_date, company_name, sic, TIMESTAMP '{BATCHES[0][0]}' AS _first_seen_ts, TIMESTAMP '{BATCHES[0][0]}' AS _last_seen_ts FROM b1",
+    m2=_merge_step(2), m3=_merge_step(3)))
+def merge_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches merged by (cik, state), a key whose second part may be null: the second is partly older than the table,
+    the third touches few keys; each rewrites only its buckets."""
+    s = snapshots(spark, sf_dir).withColumn("state", F.nullif(F.col("state_of_incorporation"), F.lit("5-LOW")))
+    table = buckets.keyed_table(spark, scratch_dir(spark, "company-buckets"), s, BUCKET_KEY, BUCKET_ATTRS, n_buckets=16)
+    for n, (ts, where) in enumerate(BATCHES, 1):
+        buckets.merge_buckets(table, s.where(where), BUCKET_ATTRS, ts, version=n, nullable_keys=("state",))
+        table.retire()
+    return table.read()
+
+
 ASOF_SQL = O.with_ctes(
     """SELECT r.l_orderkey, CAST(r.l_linenumber AS BIGINT) AS l_linenumber, r.l_partkey, r.l_suppkey, r.cik, r.d, v.valid_from,
               v.sic, v.state_of_incorporation

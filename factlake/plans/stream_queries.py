@@ -33,13 +33,12 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_merge", SILVER_FILING_SQL)
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batches (100 files each, two landing waves) merged by accession into silver snapshots."""
+    """Micro-batches (100 files each, two landing waves) merged by accession into the bucketed silver table."""
     root = L.land_index(spark, sf_dir, dates=(None, SPLIT))
     table, ckpt = scratch_dir(spark, "silver"), scratch_dir(spark, "ckpt")
-    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=100)
+    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=100, n_buckets=16)
     L.land_index(spark, sf_dir, root=root, dates=(SPLIT, None))
-    ingest.silver_merge_stream(spark, root, table, ckpt, max_files=100)
-    s = ingest.latest_snapshot(spark, table)
+    s = ingest.silver_merge_stream(spark, root, table, ckpt, max_files=100, n_buckets=16).read()
     return s.select("accession_number", "cik", "company_name", "form_type", "base_form_type", "is_amendment",
                     "filed_date", "primary_doc_url", F.col("logical_date"))
 

@@ -6,9 +6,9 @@ root adds nothing and new dates are picked up.  ``trigger(availableNow=True)``
 drains what is there in bounded micro-batches and stops (a scheduled job).
 
 ``silver_merge_stream``: each micro-batch is merged (SCD-1 upsert) into the
-silver table.  Parquet has no MERGE, so every batch writes a new snapshot
-``v=<epoch>`` next to the previous one and never overwrites a path being read;
-a replayed epoch rewrites the same snapshot (idempotent).
+bucketed silver table as version ``<epoch>``.  Only the buckets its keys fall into are
+read and rewritten; a replayed epoch replaces itself (idempotent), and buckets that
+the newest manifests no longer point at are retired.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factlake.operators import bronze, silver
-from factlake.operators.merge import merge_upsert
+from factlake.operators.buckets import BUCKETS, BucketTable, keyed_table, merge_buckets
 from factlake.sources.landing import envelope_read_schema, CORRUPT
 
 
@@ -112,25 +112,20 @@ def latest_snapshot(spark: SparkSession, table_root: str, exclude: str | None =
 
 
 def silver_merge_stream(spark: SparkSession, landing_root: str, table_root: str, checkpoint: str,
-                        max_files: int | None = None) -> None:
-    """Landing -> typed filings -> merged silver snapshots, one per micro-batch."""
+                        max_files: int | None = None, n_buckets: int = BUCKETS) -> BucketTable:
+    """Landing -> typed filings -> bucketed silver table, one version per micro-batch that has rows."""
     src = bronze.filing_index_raw(landing_stream(spark, landing_root, "filing_index", max_files))
     typed = silver.type_filings(src)
+    table = keyed_table(spark, table_root, typed, KEY, ATTRS, n_buckets=n_buckets)
 
     def merge_batch(batch: DataFrame, epoch: int) -> None:
-        # The batch is read twice (its max date, then the merge): keep it for this epoch only.
-        batch = batch.persist()
-        try:
-            ts = batch.agg(F.max("logical_date")).first()[0]
-            if ts is None:
-                return
-            target = latest_snapshot(spark, table_root, exclude=str(epoch))
-            merged = merge_upsert(target, batch, KEY, ATTRS, f"{ts} 00:00:00")
-            merged.write.mode("overwrite").parquet(f"{table_root.rstrip('/')}/v={epoch}")
-        finally:
-            batch.unpersist()
+        ts = batch.agg(F.max("logical_date")).first()[0]
+        if ts is None:
+            return
+        merge_buckets(table, batch, ATTRS, f"{ts} 00:00:00", epoch)
+        table.retire()
 
     q = (typed.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-
+    return table
