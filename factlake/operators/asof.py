@@ -1,39 +1,35 @@
-"""As-of (validity-interval) join of dated rows to an SCD-2 dimension.
+"""As-of (validity-interval) join of dated rows to an SCD-2 dimension, in one ordered pass.
 
-A plain equi-join on the entity key with a range residual compares every row
-with every version of its entity.  Here versions are replicated into the month
-buckets they cover and rows join on (key, month): each row meets only the few
-versions overlapping its month, and a hot entity is spread over its months.
-Facts after the last version start all fall into the open version, so the
-open tail is capped at that month (a scalar subquery over the dimension).
+Versions and rows are put into one stream, sorted by (key, date, versions before rows), and each row takes the last
+version before it.  A version is one row however long it is open, there is no range condition and no
+search, and a hot key is cut into pieces between which the last version is handed on
+(``sequence.carry_last``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def month_index(d: Column) -> Column:
-    return F.year(d) * 12 + F.month(d) - 1
+from factlake.operators.sequence import carry_last
 
 
 def asof_join(rows: DataFrame, versions: DataFrame, key: str, date_col: str,
               how: str = "inner", version_cols: list[str] | None = None) -> DataFrame:
-    """Attach the version with ``valid_from <= d < valid_to`` (open ``valid_to`` = current)."""
+    """Attach the version with ``valid_from <= d < valid_to`` (open ``valid_to`` = current).
+
+    Versions of one key do not overlap.  Rows without key or date meet no version; an
+    inner join drops rows that meet none, a left join keeps them with nulls."""
     vcols = version_cols or [c for c in versions.columns if c not in (key, "valid_from", "valid_to")]
-    # Scalar subquery: evaluated once inside the same plan (exchanges are reused).
-    h = versions.agg(month_index(F.max("valid_from"))).scalar()
-    last = F.when(F.col("valid_to").isNull(), h).otherwise(month_index(F.date_sub(F.col("valid_to"), 1)))
-    v = versions.select(
-        F.col(key).alias("_vkey"), F.col("valid_from").alias("_vfrom"), F.col("valid_to").alias("_vto"),
-        *[F.col(c).alias(f"_v_{c}") for c in vcols],
-        F.explode(F.sequence(month_index(F.col("valid_from")),
-                             F.greatest(last, month_index(F.col("valid_from"))))).alias("_vbucket"))
-    r = rows.withColumn("_bucket", F.least(month_index(F.col(date_col)), h))
-    cond = ((F.col(key) == F.col("_vkey")) & (F.col("_bucket") == F.col("_vbucket"))
-            & (F.col(date_col) >= F.col("_vfrom"))
-            & (F.col("_vto").isNull() | (F.col(date_col) < F.col("_vto"))))
-    j = r.join(v, cond, how)
-    return j.select(*rows.columns, F.col("_vfrom").alias("valid_from"), F.col("_vto").alias("valid_to"),
-                    *[F.col(f"_v_{c}").alias(c) for c in vcols])
+    kept = ["valid_from", "valid_to", *vcols]
+    row, version = F.struct(*[F.col(c) for c in rows.columns]), F.struct(*[F.col(c) for c in kept])
+    v = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
+        F.col(key).alias("_k"), F.col("valid_from").alias("_d"), F.lit(0).alias("_kind"), version.alias("_version"))
+    r = rows.select(F.col(key).alias("_k"), F.col(date_col).alias("_d"), F.lit(1).alias("_kind"), row.alias("_row"))
+    both = v.unionByName(r, allowMissingColumns=True)
+    met = carry_last(both, ["_k"], ["_d", "_kind"], "_version").where("_kind = 1")
+    valid = F.col("_version").isNotNull() & (F.col("_version.valid_to").isNull() | (F.col("_d") < F.col("_version.valid_to")))
+    met = met.withColumn("_version", F.when(valid, F.col("_version")))
+    if how == "inner":
+        met = met.where("_version IS NOT NULL")
+    return met.select(*[F.col("_row")[c].alias(c) for c in rows.columns], *[F.col("_version")[c].alias(c) for c in kept])

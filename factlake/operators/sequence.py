@@ -140,3 +140,31 @@ def ordered_lead(df: DataFrame, keys: list[str], order: list[str], cols: list[st
                  prefix: str = "next_", hot: HotKeys | None = None) -> DataFrame:
     """``lead`` in the same ascending order (shares the sort with lags on the same key)."""
     return ordered_lag(df, keys, order, [], lead_cols=cols, next_prefix=prefix, hot=hot)
+
+
+def _carry_ranged(df: DataFrame, keys: list[str], order: list[str], col: str) -> DataFrame:
+    n = shuffle_width(df.sparkSession)
+    ordering = [F.col(k).asc() for k in keys] + _order_cols(order)
+    checkpoint_root(df.sparkSession)
+    r = df.repartitionByRange(n, *ordering).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    upto = Window.partitionBy(*keys, "_pid").orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = r.withColumn("_inside", F.last(col, ignorenulls=True).over(upto))
+    ords = F.when(F.col(col).isNotNull(), F.struct(*[F.col(c) for c in order]))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    summary = r.groupBy(*keys, "_pid").agg(F.max_by(F.col(col), ords).alias("_last"))
+    edges = summary.select(*keys, "_pid", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    joined = local.join(edges, _null_safe_on(local, edges, [*keys, "_pid"]), "left")
+    return joined.select(*[F.coalesce(local["_inside"], edges["_before"]).alias(c) if c == col else local[c] for c in df.columns])
+
+
+def carry_last(df: DataFrame, keys: list[str], order: list[str], col: str, hot: HotKeys | None = None) -> DataFrame:
+    """``df`` with nulls of ``col`` replaced by its last value before them in the same key.
+
+    Ordinary keys take one window; hot keys go through range pieces, between which each piece's last value is handed on."""
+    hot = (hot if hot is not None else hot_keys(df, keys)).keys
+    upto = Window.partitionBy(*keys).orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    plain = lambda d: d.withColumn(col, F.last(col, ignorenulls=True).over(upto)).select(*df.columns)
+    if hot is None:
+        return plain(df)
+    on = _null_safe_on(df, hot, keys)
+    return plain(df.join(hot, on, "left_anti")).unionByName(_carry_ranged(df.join(hot, on, "left_semi"), keys, order, col))

@@ -121,7 +121,8 @@ def concept_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG = f"""SELECT event_id AS request_id, ts AS requested_at, {O.pad('user_id')} AS resource_cik,
             printf('https://data.sec.gov/submissions/CIK%s.json', {O.pad('user_id')}) AS url,
             ['filing_index', 'company_submissions', 'company_concept'][user_id % 3 + 1] AS stream,
-            CASE event_type WHEN 'signup' THEN 404 WHEN 'error' THEN 503 WHEN 'purchase' THEN 429 ELSE 200 END
+            CASE WHEN event_type = 'view' AND value > 400 THEN NULL WHEN event_type = 'signup' THEN 404 WHEN event_type = 'error' THEN 503
+                 WHEN event_type = 'purchase' THEN 429 ELSE 200 END
               AS http_status
           FROM events"""
 
@@ -137,9 +138,9 @@ def _log(spark, sf_dir):
               WHEN http_status = 404 AND stream = 'company_concept' THEN 'not_reported'
               WHEN http_status = 404 THEN 'failed'
               WHEN http_status = 403 THEN 'forbidden_or_missing'
-              WHEN http_status IN (429, 500, 502, 503, 504) THEN 'retryable'
+              WHEN http_status IS NULL OR http_status IN (429, 500, 502, 503, 504) THEN 'retryable'
               ELSE 'unexpected' END AS outcome,
-         http_status IN (429, 500, 502, 503, 504) AS retryable FROM log""", log=LOG))
+         http_status IS NULL OR http_status IN (429, 500, 502, 503, 504) AS retryable FROM log""", log=LOG))
 def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per request: outcome class by (stream, status) and whether it is retryable."""
     return R.fetch_outcomes(_log(spark, sf_dir))
@@ -156,12 +157,12 @@ def rate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("retry_accounting", O.with_ctes(
-    """SELECT url, count(*) AS attempts, min(requested_at) AS first_attempt_at, max(requested_at) AS last_attempt_at,
-              CAST(arg_max(http_status, (requested_at, request_id)) AS BIGINT) AS final_status,
-              arg_max(http_status, (requested_at, request_id)) = 200 AS succeeded,
-              count(*) >= 5 AND arg_max(http_status, (requested_at, request_id)) IN (429, 500, 502, 503, 504)
-                AS gave_up
-       FROM log GROUP BY url""", log=LOG))
+    """SELECT url, attempts, first_attempt_at, last_attempt_at, CAST(http_status AS BIGINT) AS final_status,
+              coalesce(http_status = 200, false) AS succeeded,
+              attempts >= 5 AND (http_status IS NULL OR http_status IN (429, 500, 502, 503, 504)) AS gave_up
+       FROM ranked WHERE newest = 1""", log=LOG,
+    ranked="""SELECT *, row_number() OVER (PARTITION BY url ORDER BY requested_at DESC, request_id DESC) AS newest, count(*) OVER (PARTITION BY url) AS attempts,
+                min(requested_at) OVER (PARTITION BY url) AS first_attempt_at, max(requested_at) OVER (PARTITION BY url) AS last_attempt_at FROM log"""))
 def retry_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per URL: attempts, final status, success and whether retries were exhausted."""
     return R.retry_accounting(_log(spark, sf_dir))

@@ -95,15 +95,16 @@ def rate_audit(log: DataFrame, cap_rps: int = C.RATE_LIMIT_DEFAULT_RPS, bucket:
 
 
 def retry_accounting(log: DataFrame, max_attempts: int = C.MAX_ATTEMPTS) -> DataFrame:
-    """Per URL: attempts, first/last attempt, final status, success, gave_up (limit hit while retryable)."""
+    """Per URL: attempts, first/last attempt, final status, success, gave_up (limit hit while retryable).
+
+    A final transport error (no status) is a failure that may be retried."""
     g = log.groupBy("url").agg(
         F.count(F.lit(1)).alias("attempts"),
         F.min("requested_at").alias("first_attempt_at"),
         F.max("requested_at").alias("last_attempt_at"),
         F.max_by("http_status", F.struct("requested_at", "request_id")).alias("final_status"))
-    return g.select("*", (F.col("final_status") == 200).alias("succeeded"),
-                    ((F.col("attempts") >= max_attempts) & F.col("final_status").isin(*C.RETRYABLE_STATUSES))
-                    .alias("gave_up"))
+    return g.select("*", F.col("final_status").eqNullSafe(F.lit(200)).alias("succeeded"),
+                    ((F.col("attempts") >= max_attempts) & is_retryable(F.col("final_status"))).alias("gave_up"))
 
 
 def missing_resources(universe_df: DataFrame, log: DataFrame) -> DataFrame:

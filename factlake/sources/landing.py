@@ -118,12 +118,15 @@ def validate_lines(lines: DataFrame, text_col: str = "value", fields=C.ENVELOPE_
 
 def read_completed_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Completed-work lines ``{cik, concept, envelope|null}``: blank and truncated lines
-    are skipped (the pair is simply pending again); a null envelope still means done."""
+    are skipped (the pair is simply pending again); a null envelope still means done.  Of a pair
+    named twice the last line counts (of the last file by name)."""
     schema = T.StructType([T.StructField("cik", T.StringType()), T.StructField("concept", T.StringType()),
                            T.StructField("envelope", T.StringType()),
                            T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return (raw.where(F.col(CORRUPT).isNull() & F.col("cik").isNotNull() & F.col("concept").isNotNull())
-            .select(K.pad_cik("cik").alias("cik"), "concept", "envelope")
-            .dropDuplicates(["cik", "concept"]))
+    # a line's place: its file, the block that holds it, its turn among the lines read from there
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = raw.select("*", place.alias("_place")).where(F.col(CORRUPT).isNull() & F.col("cik").isNotNull() & F.col("concept").isNotNull())
+    return (lines.groupBy(K.pad_cik("cik").alias("cik"), "concept")
+            .agg(F.max_by(F.struct("envelope"), "_place").alias("_e")).select("cik", "concept", "_e.envelope"))

@@ -65,6 +65,25 @@ def test_asof_join_interval_semantics(spark):
                    ("2", "2025-01-01", "w")]
 
 
+def test_asof_pieces_of_hot_keys_and_open_versions(spark):
+    rows = spark.sql("SELECT IF(id % 3 = 0, 'hot', concat('k', id % 7)) AS cik, date_add(DATE'1990-01-01', CAST(id * 7 % 13000 AS INT)) AS d, id FROM range(3000)")
+    rows = rows.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS cik, DATE'2000-01-01' AS d, 9001L AS id UNION ALL SELECT 'hot', NULL, 9002L"))
+    versions = spark.sql("""SELECT k AS cik, date_add(DATE'1992-01-01', 400 * n) AS valid_from,
+        CASE WHEN n < 9 THEN date_add(DATE'1992-01-01', 400 * n + IF(n = 4, 100, 400)) END AS valid_to, concat(k, '-', n) AS attr
+        FROM (SELECT explode(array('hot', 'k1', 'k2', NULL)) AS k) CROSS JOIN (SELECT CAST(id AS INT) AS n FROM range(10))""")
+    on = (rows.cik == versions.cik) & (rows.d >= versions.valid_from) & (versions.valid_to.isNull() | (rows.d < versions.valid_to))
+    want = sorted((r.id, r.attr) for r in rows.join(versions, on).collect())
+    for hot, fraction in (("2000000", "0.01"), ("100", "1.0")):
+        spark.conf.set("factlake.skew.hotKeyRows", hot)
+        spark.conf.set("factlake.skew.sampleFraction", fraction)
+        try:
+            assert sorted((r.id, r.attr) for r in asof_join(rows, versions, "cik", "d").collect()) == want
+            assert asof_join(rows, versions, "cik", "d", how="left").count() == 3002
+        finally:
+            spark.conf.unset("factlake.skew.hotKeyRows")
+            spark.conf.unset("factlake.skew.sampleFraction")
+
+
 def test_rescue_keeps_types_and_is_null_when_nothing_extra(spark):
     df = spark.createDataFrame([('{"a":1,"x":{"k":[1,2]},"y":"s"}',), ('{"a":2}',)], "p string")
     got = [r.r for r in df.select(bronze.rescued(F.col("p"), ("a",)).alias("r")).collect()]

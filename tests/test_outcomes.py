@@ -21,3 +21,10 @@ def test_transport_error_is_retryable(spark):
                                 "request_id long, stream string, http_status int")
     got = {r.request_id: (r.outcome, r.retryable) for r in requests.fetch_outcomes(log).collect()}
     assert got == {1: ("retryable", True), 2: ("retryable", True), 3: ("ok", False)}
+
+
+def test_a_final_transport_error_is_a_failure(spark):
+    log = spark.sql("""SELECT 1L request_id, timestamp'2026-01-01 00:00:00' requested_at, 'u' url, CAST(NULL AS INT) http_status
+                       UNION ALL SELECT 2L, timestamp'2026-01-01 00:00:01', 'v', 200""")
+    got = {r.url: (r.final_status, r.succeeded, r.gave_up) for r in requests.retry_accounting(log, max_attempts=1).collect()}
+    assert got == {"u": (None, False, True), "v": (200, True, False)}

@@ -114,6 +114,13 @@ def test_completed_pairs_skip_blank_and_truncated(spark, tmp_root):
     assert got == {("0000320193", "Assets", True), ("0000320193", "Revenues", False)}
 
 
+def test_last_line_of_a_pair_wins(spark, tmp_root):
+    line = lambda c, e: json.dumps({"cik": c, "concept": "Assets", "envelope": e})
+    write_files(tmp_root, {"a.jsonl": "\n".join([line(1, {"v": 1}), line(2, None), line(1, {"v": 2})]), "b.jsonl": line(2, {"v": 3}) + "\n" + line(3, {"v": 4}) + "\n" + line(3, None)})
+    got = {r.cik: r.envelope for r in src.read_completed_pairs(spark, tmp_root).collect()}
+    assert got == {"0000000001": '{"v": 2}', "0000000002": '{"v": 3}', "0000000003": None}
+
+
 def test_envelope_line_validation(spark):
     from factlake import contracts as C
     good = {f: "x" for f in C.ENVELOPE_FIELDS}
