@@ -141,9 +141,7 @@ def gold_job(spark: SparkSession, silver_tables: dict[str, str], gold_root: str,
 
 def export_job(spark: SparkSession, gold_tables: dict[str, str], silver_filing: str, serving_root: str,
                generated_at: str) -> DataFrame:
-    """Serving copy ``v1/{table}/`` plus ``v1/_manifest``; the manifest invariant is checked."""
-    X.export_tables({n: spark.read.parquet(p) for n, p in gold_tables.items()}, serving_root)
+    """Serving copy ``v1/{table}/`` plus ``v1/_manifest``, published only if the manifest invariant holds."""
     filings = spark.read.parquet(silver_filing)
-    m = X.manifest(spark, serving_root, sorted(gold_tables), generated_at)
-    X.write_manifest(m, serving_root, filings.agg(F.max("filed_date")).first()[0])
-    return m
+    tables = {n: spark.read.parquet(p) for n, p in gold_tables.items()}
+    return X.publish(spark, tables, serving_root, generated_at, filings.agg(F.max("filed_date")).first()[0])

@@ -104,11 +104,11 @@ def _replace_dates(rows: DataFrame, path: str, dates: list[str]) -> int:
 
 def dedupe_captures(bronze: DataFrame) -> DataFrame:
     """One row per (resource_id, content_sha256): identical re-landings collapse to the
-    first capture (the count tells how many there were), while different contents of one resource (co-registrants,
+    first capture, ties by file (the count tells how many there were), while different contents of one resource (co-registrants,
     revisions) are all kept.  Aggregation with partial combine, so skew-safe."""
     rest = [c for c in bronze.columns if c not in ("resource_id", "content_sha256")]
     return (bronze.groupBy("resource_id", "content_sha256")
-            .agg(F.min_by(F.struct(*rest), F.struct("logical_date", "fetched_at")).alias("_r"),
+            .agg(F.min_by(F.struct(*rest), F.struct("logical_date", "fetched_at", *[c for c in ("_source_file",) if c in rest])).alias("_r"),
                  F.count(F.lit(1)).alias("captures"))
             .select("resource_id", "content_sha256", "_r.*", "captures"))
 

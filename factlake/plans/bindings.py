@@ -176,8 +176,8 @@ def company_snapshots_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def request_log_from_events(events: DataFrame) -> DataFrame:
-    """A fetch log: one request per event; stream by user, status by event type (views above 400: transport errors, no status)."""
-    status = (F.when((F.col("event_type") == "view") & (F.col("value") > 400), F.lit(None).cast("int"))
+    """A fetch log: one request per event; stream by user, status by event type (views above 150: transport errors, no status)."""
+    status = (F.when((F.col("event_type") == "view") & (F.col("value") > 150), F.lit(None).cast("int"))
               .when(F.col("event_type") == "signup", 404)
               .when(F.col("event_type") == "error", 503)
               .when(F.col("event_type") == "purchase", 429)

@@ -6,6 +6,8 @@ the manifest is one small row assembled by a single aggregation.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +41,40 @@ def manifest(spark: SparkSession, serving_root: str, names: list[str], generated
                                             "row_counts")).alias("manifest_json"))
 
 
-def write_manifest(m: DataFrame, serving_root: str, silver_filed_max) -> None:
-    """Check that what was exported is as fresh as silver, then write ``v1/_manifest`` (one tiny JSON file)."""
+def check_fresh(m: DataFrame, silver_filed_max) -> None:
+    """The exported tables must be as fresh as silver."""
     row = m.select("gold_max_filed_date").first()
     if silver_filed_max is not None and row["gold_max_filed_date"] != str(silver_filed_max):
         raise ManifestInvariantError(f"{row['gold_max_filed_date']} != {silver_filed_max}")
+
+
+def write_manifest(m: DataFrame, serving_root: str, silver_filed_max) -> None:
+    """Check that what was exported is as fresh as silver, then write ``v1/_manifest`` (one tiny JSON file)."""
+    check_fresh(m, silver_filed_max)
     m.select("manifest_json").coalesce(1).write.mode("overwrite").text(f"{serving_root.rstrip('/')}/v1/_manifest")
+
+
+def publish(spark: SparkSession, tables: dict[str, DataFrame], serving_root: str, generated_at: str, silver_filed_max) -> DataFrame:
+    """Export in two steps: write everything aside, check it there, then move it into place, the manifest last.
+
+    A stale export, or one that fails while it is written, leaves the published tables and manifest as
+    they were.  Moving is a rename of each table's folder.  Returns the manifest.
+    """
+    root = serving_root.rstrip("/")
+    aside = f"{root}/_staged-{uuid.uuid4().hex[:12]}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(aside).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        export_tables(tables, aside)
+        m = manifest(spark, aside, sorted(tables), generated_at)
+        m = spark.createDataFrame([m.first()], m.schema)  # one row: it outlives the staged folder
+        check_fresh(m, silver_filed_max)
+        fs.mkdirs(path(f"{root}/v1"))
+        for name in tables:
+            fs.delete(path(f"{root}/v1/{name}"), True)
+            if not fs.rename(path(f"{aside}/v1/{name}"), path(f"{root}/v1/{name}")):
+                raise OSError(f"{name} could not be moved into place")
+    finally:
+        fs.delete(path(aside), True)
+    write_manifest(m, root, silver_filed_max)
+    return m

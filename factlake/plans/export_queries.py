@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from factlake.plans import oracle as O
 from factlake.plans.landing_queries import INDEX_ENV
 from factlake.plans.registry import register
 from factlake.session import scratch_dir
+from factlake.sinks.landing import write_stream
 from factlake.sources import landing as src
 
 GEN = "2026-01-01T00:00:00Z"
@@ -50,24 +50,18 @@ def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # silver.filing feeds three marts and the manifest: written once, read back.
     G.silver_filings(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/silver/filing")
     filings = spark.read.parquet(f"{root}/silver/filing")
-    # One ordered pass over the facts feeds two marts; it is kept (memory, then
-    # disk) only while they are written, and recomputed from lineage if lost.
-    seq = gold.fact_sequence(facts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        X.export_tables({"restatement_event": gold.restatement_events(facts, comps, sequence=seq),
-                         "financials_current": gold.financials_current(facts, comps, sequence=seq)}, root)
-    finally:
-        seq.unpersist()
-    events = spark.read.parquet(f"{root}/v1/restatement_event")
+    # One ordered pass over the facts feeds two marts: written once, read back.
+    gold.fact_sequence(facts).write.parquet(f"{root}/gold/sequence")
+    seq = spark.read.parquet(f"{root}/gold/sequence")
+    gold.restatement_events(facts, comps, sequence=seq).write.parquet(f"{root}/gold/events")
+    events = spark.read.parquet(f"{root}/gold/events")
     dim = G.B.company_dimension_from_customer(G.B.table(spark, sf_dir, "customer"))
-    X.export_tables({"filing_activity_daily": gold.filing_activity_daily(filings),
-                     "company_profile": gold.company_profile(dim, filings, events)}, root)
-    tables = ["company_profile", "filing_activity_daily", "financials_current", "restatement_event"]
-    m = X.manifest(spark, root, tables, GEN)
-    X.write_manifest(m, root, filings.agg(F.max("filed_date")).first()[0])
+    tables = {"restatement_event": events, "financials_current": gold.financials_current(facts, comps, sequence=seq),
+              "filing_activity_daily": gold.filing_activity_daily(filings), "company_profile": gold.company_profile(dim, filings, events)}
+    m = X.publish(spark, tables, root, GEN, filings.agg(F.max("filed_date")).first()[0])
     rc = F.col("row_counts")
     return m.select("generated_at", "contracts_version", "gold_max_filed_date",
-                    *[F.element_at(rc, n).alias(f"{n}_rows") for n in tables], "manifest_json")
+                    *[F.element_at(rc, n).alias(f"{n}_rows") for n in sorted(tables)], "manifest_json")
 
 
 _FIELDS = list(C.ENVELOPE_FIELDS)
@@ -92,14 +86,33 @@ def contract_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setops.key_diff(spark.read.text(L.write_envelope_lines(spark, sf_dir)), C.ENVELOPE_FIELDS)
 
 
-@register("replay_diff", O.with_ctes(
-    """SELECT logical_date, count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS only_a,
-              CAST(0 AS BIGINT) AS only_b, true AS equivalent FROM env GROUP BY logical_date""", **INDEX_ENV))
+REPLAY_SPLIT = "2024-01-16"
+ADDED, LOST = "event_type = 'signup' AND value > 250", f"event_type = 'purchase' AND value > 250 AND logical_date >= '{REPLAY_SPLIT}'"
+CHANGED, TWICE = "event_type = 'click' AND value > 250", "event_type = 'view' AND value > 250"
+_SAME = [f for f in C.ENVELOPE_FIELDS if f not in ("fetched_at", "content_sha256", "payload_json")]
+_B = f"""SELECT {', '.join(_SAME)}, CASE WHEN {CHANGED} THEN payload_json || ' ' ELSE payload_json END AS payload_json, event_type, value
+         FROM env WHERE NOT ({LOST})"""
+REPLAY_SQL = O.with_ctes(
+    """SELECT logical_date, CAST(sum(na) AS BIGINT) AS rows_a, CAST(sum(nb) AS BIGINT) AS rows_b, CAST(sum(greatest(na - nb, 0)) AS BIGINT) AS only_a,
+              CAST(sum(greatest(nb - na, 0)) AS BIGINT) AS only_b, sum(abs(na - nb)) = 0 AS equivalent FROM g GROUP BY logical_date""",
+    **INDEX_ENV, b=_B,
+    sides=f"""SELECT {', '.join(_SAME)}, payload_json, 1 AS in_a, 0 AS in_b FROM env WHERE NOT ({ADDED})
+             UNION ALL SELECT {', '.join(_SAME)}, payload_json, 0, 1 FROM b
+             UNION ALL SELECT {', '.join(_SAME)}, payload_json, 0, 1 FROM b WHERE {TWICE}""",
+    g=f"SELECT {', '.join(_SAME)}, payload_json, sum(in_a) AS na, sum(in_b) AS nb FROM sides GROUP BY ALL")
+
+
+@register("replay_diff", REPLAY_SQL)
 def replay_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A straight run and a resumed run (two waves) land the same rows, ignoring fetched_at."""
-    straight = L.land_index(spark, sf_dir)
-    resumed = L.land_index(spark, sf_dir, dates=(None, "2024-01-16"))
-    L.land_index(spark, sf_dir, root=resumed, dates=("2024-01-16", None))
-    a = src.read_landing(spark, straight, "filing_index").select(*C.ENVELOPE_FIELDS)
-    b = src.read_landing(spark, resumed, "filing_index").select(*C.ENVELOPE_FIELDS)
-    return setops.replay_diff(a, b, "logical_date", ignore=("fetched_at",))
+    """A run and its replay in two waves, ignoring fetched_at: the replay lost purchases of the second wave, holds signups the
+    run lacked, changed clicks and repeated views; dates without any of these are equal."""
+    env = L.index_envelopes_with_extras(spark, sf_dir, keep=("event_type", "value"))
+    run, again = scratch_dir(spark, "landing"), scratch_dir(spark, "landing")
+    write_stream(env.where(f"NOT ({ADDED})"), run, "filing_index")
+    payload = F.when(F.expr(CHANGED), F.concat("payload_json", F.lit(" "))).otherwise(F.col("payload_json"))
+    other = env.where(f"NOT ({LOST})").withColumn("payload_json", payload).withColumn("content_sha256", F.sha2("payload_json", 256))
+    other = other.unionByName(other.where(TWICE))
+    for wave in (F.col("logical_date") < REPLAY_SPLIT, F.col("logical_date") >= REPLAY_SPLIT):
+        write_stream(other.where(wave), again, "filing_index")
+    a, b = (src.read_landing(spark, root, "filing_index").select(*C.ENVELOPE_FIELDS) for root in (run, again))
+    return setops.replay_tree(a, b, "logical_date", ignore=("fetched_at",)).drop("leaves_compared")

@@ -121,7 +121,7 @@ def concept_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG = f"""SELECT event_id AS request_id, ts AS requested_at, {O.pad('user_id')} AS resource_cik,
             printf('https://data.sec.gov/submissions/CIK%s.json', {O.pad('user_id')}) AS url,
             ['filing_index', 'company_submissions', 'company_concept'][user_id % 3 + 1] AS stream,
-            CASE WHEN event_type = 'view' AND value > 400 THEN NULL WHEN event_type = 'signup' THEN 404 WHEN event_type = 'error' THEN 503
+            CASE WHEN event_type = 'view' AND value > 150 THEN NULL WHEN event_type = 'signup' THEN 404 WHEN event_type = 'error' THEN 503
                  WHEN event_type = 'purchase' THEN 429 ELSE 200 END
               AS http_status
           FROM events"""

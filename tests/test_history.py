@@ -143,3 +143,17 @@ def test_replay_diff_is_multiset_difference(spark):
     eb = b.drop("fetched_at").exceptAll(a.drop("fetched_at")).count()
     assert got == {"d1": (3, 3, 1, 1, False), "d2": (1, 1, 0, 0, True)}
     assert (ea, eb) == (1, 1)
+
+
+def test_replay_tree_equals_the_plain_difference(spark):
+    from factlake.operators.setops import replay_diff, replay_tree
+    a = spark.sql("SELECT concat('d', id % 5) AS d, CAST(id AS STRING) AS v, 'x' AS fetched_at FROM range(400)")
+    same = a.withColumn("fetched_at", F.lit("y"))
+    assert replay_tree(a, same, "d", ignore=("fetched_at",)).where("NOT equivalent OR leaves_compared > 0").isEmpty()
+    b = same.where("v <> '7'").unionByName(same.where("v = '11'")).unionByName(spark.sql("SELECT 'd9' AS d, CAST(NULL AS STRING) AS v, 'y' AS fetched_at"))
+    b = b.withColumn("v", F.when(F.col("v") == "13", "changed").otherwise(F.col("v")))
+    tree = {r.d: r for r in replay_tree(a, b, "d", ignore=("fetched_at",)).collect()}
+    plain = {r.d: r for r in replay_diff(a, b, "d", ignore=("fetched_at",)).collect()}
+    cols = ["rows_a", "rows_b", "only_a", "only_b", "equivalent"]
+    assert {d: [r[c] for c in cols] for d, r in tree.items()} == {d: [r[c] for c in cols] for d, r in plain.items()}
+    assert tree["d4"].equivalent and tree["d4"].leaves_compared == 0 and 0 < tree["d3"].leaves_compared < 16

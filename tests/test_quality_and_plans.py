@@ -91,6 +91,27 @@ def test_manifest_invariant(spark):
     X.write_manifest(X.manifest(spark, root, ["filing_activity_daily"], "2026-01-01T00:00:00Z"), root, silver)
 
 
+def test_a_stale_export_leaves_the_published_one(spark):
+    import glob
+
+    from factlake.plans import export as X
+    from factlake.session import to_local_path
+    root = scratch_dir(spark, "serving")
+    day = lambda d: spark.createDataFrame([(d,)], "d string").select(F.to_date("d").alias("filed_date"))
+    max_of = lambda d: day(d).agg(F.max("filed_date")).first()[0]
+    publish = lambda have, silver, n: X.publish(spark, {"filing_activity_daily": day(have), "t": spark.range(n)}, root, "2026-01-01T00:00:00Z", max_of(silver))
+    read = lambda: (spark.read.parquet(f"{root}/v1/t").count(), spark.read.text(f"{root}/v1/_manifest").first()[0])
+    m = publish("2024-01-02", "2024-01-02", 3)
+    before = read()
+    assert before[0] == 3 and before[1] == m.first().manifest_json and m.first().row_counts == {"filing_activity_daily": 1, "t": 3}
+    with pytest.raises(X.ManifestInvariantError):
+        publish("2024-01-03", "2024-01-04", 9)
+    assert read() == before
+    publish("2024-01-04", "2024-01-04", 5)
+    assert read()[0] == 5 and '"t":5' in read()[1]
+    assert not glob.glob(to_local_path(root) + "/_staged-*")
+
+
 def test_streaming_rate_audit_counts_everything(spark):
     from factlake.streaming.audit import LOG_SCHEMA, rate_audit_stream, rate_audit_table, rate_windows
     log = B.request_log_from_events(B.table(spark, SF_SMALL, "events"))
