@@ -169,6 +169,28 @@ def filing_activity_daily(filings: DataFrame, run_id: str = RUN_ID, approximate:
                     generated_at().alias("_generated_at"), F.lit(run_id).alias("_run_id"))
 
 
+SKETCH_LG_K = 14       # 2^14 registers: a standard error of about 0.8 %
+SKETCH_BOUND = 0.05    # what users of the estimate may rely on (six standard errors)
+
+
+def activity_sketches(filings: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """Per (filed_date, base_form_type): filings, amendments and a mergeable sketch of the filers.
+
+    Distinct counts of days cannot be added up, sketches can be united: a row a day and form is stored
+    once and answers any span without its filings."""
+    return filings.groupBy("filed_date", "base_form_type").agg(
+        F.count(F.lit(1)).alias("filing_count"), F.count_if(F.col("is_amendment")).alias("amendment_count"),
+        F.hll_sketch_agg("cik", lg_k).alias("filers_sketch"))
+
+
+def activity_of_span(sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """The stored days united over the span ``by`` stands for: counts are added, ``distinct_cik_estimate`` comes from the
+    united sketch (within ``SKETCH_BOUND`` of the exact count)."""
+    return sketches.groupBy(*by).agg(
+        F.sum("filing_count").alias("filing_count"), F.sum("amendment_count").alias("amendment_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("filers_sketch")).alias("distinct_cik_estimate"))
+
+
 def company_profile(companies: DataFrame, filings: DataFrame, events: DataFrame,
                     run_id: str = RUN_ID) -> DataFrame:
     """One row per company: attributes, filing span and count, restatement count (zero-filled).

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factlake.operators import gold, silver
 from factlake.plans import bindings as B
 from factlake.plans import oracle as O
 from factlake.plans.registry import register
+from factlake.session import scratch_dir
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +96,30 @@ def filing_activity_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.filing_activity_daily(silver_filings(spark, sf_dir))
 
 
+SPAN_SQL = O.with_ctes(
+    """SELECT CAST(date_trunc('month', filed_date) AS DATE) AS month, base_form_type, count(*) AS filing_count,
+              count(*) FILTER (WHERE is_amendment) AS amendment_count, count(DISTINCT cik) AS distinct_cik_count,
+              true AS estimate_within_bound
+       FROM filings GROUP BY 1, 2""",
+    index_rows=O.INDEX_ROWS, typed=O.SILVER_FILING,
+    filings="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY accession_number
+                 ORDER BY cik, logical_date, form_type) AS rn FROM typed) WHERE rn = 1""")
+
+
+@register("activity_span", SPAN_SQL)
+def activity_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly activity from stored daily sketches, its estimated filers held against the exact count."""
+    filings, path = silver_filings(spark, sf_dir), scratch_dir(spark, "activity-sketches")
+    gold.activity_sketches(filings).write.parquet(path)
+    month = F.trunc("filed_date", "month").alias("month")
+    span = gold.activity_of_span(spark.read.parquet(path), month, "base_form_type")
+    exact = filings.groupBy(month, "base_form_type").agg(F.countDistinct("cik").alias("distinct_cik_count"))
+    off = F.abs(F.col("distinct_cik_estimate") - F.col("distinct_cik_count"))
+    return span.join(exact, ["month", "base_form_type"]).select(
+        "month", "base_form_type", "filing_count", "amendment_count", "distinct_cik_count",
+        (off <= gold.SKETCH_BOUND * F.col("distinct_cik_count")).alias("estimate_within_bound"))
+
+
 PROFILE_SQL = O.with_ctes(
     f"""SELECT d.cik, d.company_name, d.sic, d.sic_description, d.entity_type, d.state_of_incorporation,
            d.fiscal_year_end, CAST(NULL AS VARCHAR) AS tickers, CAST(NULL AS VARCHAR) AS exchanges,

@@ -139,3 +139,18 @@ def test_activity_counts_co_registrants_behind_a_switch(spark):
     b = gold.filing_activity_daily(deduped, all_filers=rows).first()
     assert (a.filing_count, a.amendment_count, a.distinct_cik_count) == (2, 1, 2)
     assert (b.filing_count, b.distinct_cik_count) == (2, 3)
+
+
+def test_sketches_of_days_unite_over_any_span(spark):
+    from pyspark.sql import functions as F
+
+    from factlake.operators import gold
+    filings = spark.sql("""SELECT concat('c', id % 30000) AS cik, date_add(DATE'2024-01-01', CAST(id % 20 AS INT)) AS filed_date,
+                                  IF(id % 3 = 0, '10-K', '8-K') AS base_form_type, id % 5 = 0 AS is_amendment FROM range(200000)""")
+    days = gold.activity_sketches(filings)
+    assert days.count() == 40
+    for by in (["base_form_type"], [F.lit(1).alias("all")]):
+        got = gold.activity_of_span(days, *by).collect()
+        exact = {r[0]: r.n for r in filings.groupBy(*by).agg(F.countDistinct("cik").alias("n")).collect()}
+        assert sum(r.filing_count for r in got) == 200000 and sum(r.amendment_count for r in got) == 40000
+        assert all(abs(r.distinct_cik_estimate - exact[r[0]]) <= gold.SKETCH_BOUND * exact[r[0]] for r in got)
