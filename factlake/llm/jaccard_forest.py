@@ -3,14 +3,21 @@
 1. Every text becomes its set of shingle hashes.  Texts with equal sets are copies: one
    class member with a multiplicity, never expanded.
 2. Each distinct set gets ``TREES`` signatures of ``DEPTH`` minima.  In each tree the signatures are
-   sorted, so equal prefixes are neighbours in the trie; the matched prefix is shortened from
-   ``DEPTH`` until a pair at the threshold is found with probability ``TARGET`` or more.
-3. Members of a matched prefix, read in order of set size, give edges to the first and to the
-   previous member (bounded memory, no pairs of a whole group).  Edges whose sketches are far
-   below the threshold are dropped; connected components of the rest are the clusters to verify.
+   sorted, which is a prefix trie: what a signature shares with its neighbours is the longest
+   prefix it shares with anyone.  Signatures alone in their shortest prefix leave here.
+3. One ordered pass climbs each trie from the full depth: members meet at their longest shared
+   prefixes first, and the matched prefix is shortened, minimum by minimum, for the members
+   whose chance to meet a link of least similarity is still below ``TARGET``.  That similarity
+   depends on the size of the set (six shingles: 5/6), so documents stop at different depths.
+   Members within ``TIGHT`` bytes of an earlier member's sketch are tied to it and climb no
+   further; the others are tied to every part of their prefix with a member less than ``FAR``
+   away.  A prefix yields one edge a member, to the least of its part.
+   A pair that meets has sketches at most 6 standard deviations from its similarity apart; ties
+   add at most ``TIGHT`` a level on both sides, so ``FAR`` loses none of them.
+   Connected components of the edges are the clusters to verify.
 4. Inside a cluster all pairs are verified on their whole shingle sets, with intersections counted as
-   matrix products in strips.  Clusters over ``BLOCK`` members are split into blocks and
-   each pair of blocks is a task of its own.  Only degrees and labels leave a task.
+   matrix products in strips.  Clusters over ``BLOCK`` members or ``BLOCK_SHINGLES`` shingles are
+   split into blocks and each pair of blocks is a task of its own.  Only degrees and labels leave a task.
 5. Verified links' components are the classes.
 
 Result per document: class_id (smallest doc_id of the class), n_links (documents linked to it,
@@ -28,6 +35,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factlake.llm.bytewords import fold, shingles, word_hashes
@@ -36,9 +44,11 @@ from factlake.llm.common import written
 SHINGLE = 5
 NUM, DEN = 4, 5  # threshold 0.8 as a fraction: exact in integers
 TREES, DEPTH, TARGET = 32, 6, 1 - 1e-6
-SKETCH = 64  # one byte each, for dropping far edges
-FAR = 0.45   # threshold less seven standard deviations of a 64-value sketch
+WIDTH = 2    # bytes a minimum in a signature
+SKETCH = 64  # one byte each, for telling near from far members of a prefix
+TIGHT = 1    # sketches that differ in no more bytes are one member for what follows
 BLOCK = 3_000
+BLOCK_SHINGLES = 4_000_000
 NO_ID = -(1 << 63)
 
 _SEEDS = np.random.default_rng(20_240_501).integers(1, 1 << 63, size=(2, TREES * DEPTH), dtype=np.uint64)
@@ -56,6 +66,29 @@ def match_depth(trees: int = TREES, depth: int = DEPTH, threshold: float = NUM /
     return depth
 
 
+SHORTEST = match_depth()
+#: Bytes in which the sketches of a linked pair's representatives can differ: its own distance
+#: (mean and 6 standard deviations) and the ties of both members on every level.
+FAR = round(SKETCH * (1 - NUM / DEN) + 6 * (SKETCH * NUM * (DEN - NUM)) ** 0.5 / DEN) + 2 * TIGHT * (DEPTH - SHORTEST + 1)
+
+
+def least_similarity(size: int) -> float:
+    """Smallest similarity, short of equality, that a link of a set of ``size`` can have (1: none)."""
+    if size > DEN * DEN:
+        return NUM / DEN  # close enough: the recall at the threshold itself is a lower bound
+    least = 1.0
+    for union in range(size, DEN * size // NUM + 1):
+        common = min(size, -(-NUM * union // DEN))
+        if common < union and DEN * common >= NUM * union:
+            least = min(least, common / union)
+    return least
+
+
+def stop_depth(size: int) -> int:
+    """The prefix at which a set of ``size`` has its target recall."""
+    return match_depth(threshold=least_similarity(size))
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingles(word_hashes(fold(text))[0], SHINGLE))
 
@@ -73,73 +106,175 @@ def minima(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(depth: int):
-    def run(batches):
-        for b in batches:
-            keys, sizes, prefixes, sketches = [], [], [], []
-            for text in b.column(1).to_pylist():
-                s = shingle_set(text)
-                sizes.append(len(s))
-                if len(s) == 0:
-                    keys.append(None)
-                    prefixes.append(None)
-                    sketches.append(None)
-                    continue
-                m = minima(s)
-                tree = np.zeros(TREES, dtype=np.uint64)
-                for k in range(depth):
-                    tree = tree * np.uint64(0x9FB21C651E98DF25) + m.reshape(TREES, DEPTH)[:, k]
-                tree ^= tree >> np.uint64(29)
-                keys.append(set_key(s))
-                prefixes.append(tree.view(np.int64))
-                sketches.append((m[:SKETCH] & np.uint32(0xFF)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                names=["doc_id", "content", "rid", "size", "prefixes", "sketch"])
-    return run
-
-
-def _prefix_edges(batches):
-    """Rows (tree, prefix, size, rid) sorted -> edges to the first and the previous member of a prefix."""
-    key = first = prev = None
+def _signatures(batches):
     for b in batches:
-        a_out, b_out = [], []
-        for tree, prefix, size, rid in zip(*(b.column(k).to_pylist() for k in range(4))):
-            if (tree, prefix) != key:
-                key, first, prev = (tree, prefix), (size, rid), (size, rid)
+        keys, sizes, forests, sketches = [], [], [], []
+        for text in b.column(1).to_pylist():
+            s = shingle_set(text)
+            sizes.append(len(s))
+            if len(s) == 0:
+                keys.append(None)
+                forests.append(None)
+                sketches.append(None)
                 continue
-            for other_size, other in {first, prev}:
-                if DEN * other_size >= NUM * size or other_size * 2 >= size:
-                    a_out.append(min(rid, other))
-                    b_out.append(max(rid, other))
-            prev = (size, rid)
-        if a_out:
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.binary()), pa.array(b_out, pa.binary())], names=["a", "b"])
-
-
-def _near_edges(batches):
+            m = minima(s)
+            keys.append(set_key(s))
+            forests.append(((m * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(">u2").tobytes())
+            sketches.append((m[:SKETCH] & np.uint32(0xFF)).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(2), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(forests, pa.binary()), pa.array(sketches, pa.binary())],
+            names=["doc_id", "content", "rid", "size", "forest", "sketch"])
+
+
+class _Level:
+    """Members of the open prefix of one depth: sketches, and a part of each (perhaps joined to others since)."""
+
+    def __init__(self):
+        self.ids: list[int] = []
+        self.sketches = np.empty((16, SKETCH), dtype=np.uint8)
+        self.parts = np.empty(16, dtype=np.int64)
+
+    def append(self, k: int, sketch: np.ndarray, part: int) -> None:
+        n = len(self.ids)
+        if n == len(self.parts):
+            self.sketches = np.concatenate((self.sketches, np.empty_like(self.sketches)))
+            self.parts = np.concatenate((self.parts, np.empty_like(self.parts)))
+        self.sketches[n], self.parts[n] = sketch, part
+        self.ids.append(k)
+
+    def distances(self, sketch: np.ndarray) -> np.ndarray:
+        return np.count_nonzero(self.sketches[:len(self.ids)] != sketch, axis=1)
+
+
+class _Subtree:
+    """The open path of a trie below one shortest prefix.  Holds members that no earlier one stands for."""
+
+    def __init__(self):
+        self.rids: list[bytes] = []
+        self.stops: list[int] = []
+        self.sketches: list[np.ndarray] = []
+        self.part: list[int] = []
+        self.levels = {d: _Level() for d in range(SHORTEST, DEPTH + 1)}
+        self.edges: list[tuple[bytes, bytes]] = []
+
+    def _root(self, k: int) -> int:
+        while self.part[k] != k:
+            self.part[k] = self.part[self.part[k]]
+            k = self.part[k]
+        return k
+
+    def _join(self, a: int, b: int) -> None:
+        a, b = self._root(a), self._root(b)
+        if a != b:
+            low, high = (a, b) if self.rids[a] <= self.rids[b] else (b, a)
+            self.part[high] = low
+
+    def _meet(self, depth: int, k: int) -> int | None:
+        """Member ``k`` comes to its prefix of ``depth``; the member that stands for it from here on, if any."""
+        level, other = self.levels[depth], None
+        if level.ids:
+            far = level.distances(self.sketches[k])
+            at = int(np.argmin(far))
+            if far[at] <= TIGHT:
+                other = level.ids[at]
+                self.stops[other] = min(self.stops[other], self.stops[k])
+            anchor = k if other is None else other
+            parts = level.parts[:len(level.ids)]
+            near = np.unique(parts[far <= FAR])
+            for part in near.tolist():
+                self._join(anchor, part)
+            if len(near) > 1:
+                parts[np.isin(parts, near)] = self._root(anchor)
+        if other is None:
+            level.append(k, self.sketches[k], self._root(k))
+        return other
+
+    def add(self, rid: bytes, stop: int, sketch: bytes) -> None:
+        k = len(self.rids)
+        self.rids.append(rid)
+        self.stops.append(stop)
+        self.sketches.append(np.frombuffer(sketch, np.uint8))
+        self.part.append(k)
+        other = self._meet(DEPTH, k)
+        if other is not None:
+            self.edges.append((self.rids[other], rid))  # an edge at once: nothing of it is kept
+            for kept in (self.rids, self.stops, self.sketches, self.part):
+                kept.pop()
+
+    def shorten(self, shared: int) -> None:
+        """The next signature shares ``shared`` minima: members climb from the deeper prefixes, until they have their recall."""
+        for depth in range(DEPTH, max(shared, SHORTEST), -1):
+            for k in self.levels[depth].ids:
+                if self.stops[k] < depth:
+                    other = self._meet(depth - 1, k)
+                    if other is not None:
+                        self._join(k, other)
+            self.levels[depth] = _Level()
+
+    def close(self) -> list[tuple[bytes, bytes]]:
+        self.shorten(SHORTEST)
+        roots = (self._root(k) for k in range(len(self.rids)))
+        return self.edges + [(self.rids[r], self.rids[k]) for k, r in enumerate(roots) if r != k]
+
+
+def shared_minima(x: bytes, y: bytes) -> int:
+    n = 0
+    while n < DEPTH and x[n * WIDTH:(n + 1) * WIDTH] == y[n * WIDTH:(n + 1) * WIDTH]:
+        n += 1
+    return n
+
+
+def _trie_edges(batches):
+    """Rows (tree, signature, rid, size, sketch) in trie order -> edges of each shortest prefix."""
+    at, subtree, out = None, _Subtree(), []
+    stops: dict[int, int] = {}
     for b in batches:
-        x = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(-1, SKETCH)
-        y = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, SKETCH)
-        near = pa.array((x == y).sum(axis=1) >= FAR * SKETCH)
-        yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near)], names=["a", "b"])
+        for tree, sig, rid, size, sketch in zip(*(b.column(k).to_pylist() for k in range(5))):
+            if at is not None:
+                shared = shared_minima(at[1], sig) if at[0] == tree else 0
+                if shared < SHORTEST:
+                    out += subtree.close()
+                    subtree = _Subtree()
+                elif shared < DEPTH:
+                    subtree.shorten(shared)
+            at = (tree, sig)
+            size = min(size, DEN * DEN + 1)
+            if size not in stops:
+                stops[size] = stop_depth(size)
+            subtree.add(rid, stops[size], sketch)
+        out, subtree.edges = out + subtree.edges, []
+        yield _edge_batch(out)
+        out = []
+    yield _edge_batch(out + subtree.close())
+
+
+def _edge_batch(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([min(e) for e in edges], pa.binary()), pa.array([max(e) for e in edges], pa.binary())], names=["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(v, c): smallest vertex of each vertex's component, by label propagation with shortcuts.
+    """(v, c): smallest vertex of each vertex's component, by contraction.
 
-    Each round is written to the shared folder; only a count of changed labels reaches the driver.
+    A round points every vertex at its least neighbour, follows the pointers to their ends and keeps the
+    edges between different ends, once each: at least half of the vertices that have edges go.  Rounds are
+    written to the shared folder; only whether anything is left reaches the driver.
     """
-    both = written(edges.union(edges.select("b", "a")).toDF("v", "w"), "cc-edges")
-    labels = written(both.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("c")), "cc-labels")
-    while True:
-        near = both.join(labels.select(F.col("v").alias("w"), F.col("c").alias("d")), "w").groupBy("v").agg(F.min("d").alias("d"))
-        step = labels.join(near, "v").select("v", "c", F.least("c", "d").alias("n"))
-        jump = labels.select(F.col("v").alias("n"), F.col("c").alias("m"))
-        moved = written(step.join(jump, "n").select("v", F.least("n", "m").alias("n"), "c"), "cc-labels")
-        labels = moved.select("v", F.col("n").alias("c"))
-        if moved.filter("n <> c").isEmpty():
-            return labels
+    edges = written(edges.distinct(), "cc-edges")
+    labels = edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct().withColumn("c", F.col("v"))
+    while not edges.isEmpty():
+        both = edges.union(edges.select("b", "a")).toDF("v", "w")
+        ends = written(both.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("e")), "cc-ends")
+        while True:
+            follow = ends.join(ends.select(F.col("v").alias("e"), F.col("e").alias("f")), "e")
+            step = written(follow.select("v", F.col("f").alias("e"), (F.col("f") != F.col("e")).alias("moved")), "cc-ends")
+            ends = step.select("v", "e")
+            if step.filter("moved").isEmpty():
+                break
+        labels = written(labels.join(ends.select(F.col("v").alias("c"), "e"), "c", "left").select("v", F.coalesce("e", "c").alias("c")), "cc-labels")
+        one, two = ends.toDF("a", "x"), ends.toDF("b", "y")
+        left = edges.join(one, "a").join(two, "b").filter("x <> y")
+        edges = written(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "cc-edges")
+    return labels
 
 
 RARE = 32
@@ -237,9 +372,22 @@ def _member_sets(batches):
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, content (hash of the text), rid (None without words), size, prefixes, sketch of every document, written once."""
+    """doc_id, content (hash of the text), rid (None without words), size, forest (signatures of all trees), sketch of every document, written once."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("content"))
-    return written(narrow.mapInArrow(_signatures(match_depth()), "doc_id long, content long, rid binary, size int, prefixes array<long>, sketch binary"), "forest-sets")
+    return written(narrow.mapInArrow(_signatures, "doc_id long, content long, rid binary, size int, forest binary, sketch binary"), "forest-sets")
+
+
+def tries(distinct: DataFrame) -> DataFrame:
+    """(tree, signature, rid, size, sketch) in trie order, of the signatures that share their shortest prefix with another."""
+    step = DEPTH * WIDTH
+    rows = distinct.select("rid", "forest", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    rows = rows.select("rid", "tree", F.expr(f"substring(forest, tree * {step} + 1, {step})").alias("signature"))
+    rows = rows.withColumn("shortest", F.expr(f"substring(signature, 1, {SHORTEST * WIDTH})"))
+    order = W.partitionBy("tree", "shortest").orderBy("signature")
+    shared = rows.select("*", F.lag("rid").over(order).alias("before"), F.lead("rid").over(order).alias("after"))
+    shared = shared.filter("before is not null or after is not null").drop("before", "after")
+    met = shared.join(distinct.select("rid", "size", "sketch"), "rid")
+    return met.repartition("tree", "shortest").sortWithinPartitions("tree", "signature", "rid").select("tree", "signature", "rid", "size", "sketch")
 
 
 def classes(docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
@@ -250,16 +398,13 @@ def classes(docs: DataFrame, sets: DataFrame | None = None) -> DataFrame:
     id_ = F.coalesce("doc_id", F.lit(NO_ID))
     distinct = written(sets.filter("rid is not null").groupBy("rid").agg(
         F.count("*").alias("copies"), F.min(F.struct(id_.alias("id"), F.col("content"))).alias("least"), F.first("size").alias("size"),
-        F.first("prefixes").alias("prefixes"), F.first("sketch").alias("sketch")).select(
-        "rid", "copies", F.col("least.id").alias("least_id"), F.col("least.content").alias("least_text"), "size", "prefixes", "sketch"), "forest-distinct")
-    forest = distinct.select(F.posexplode("prefixes").alias("tree", "prefix"), "size", "rid")
-    ordered = forest.repartition("tree", "prefix").sortWithinPartitions("tree", "prefix", "size", "rid")
-    edges = ordered.mapInArrow(_prefix_edges, "a binary, b binary").distinct()
-    sketch = distinct.select("rid", "sketch")
-    pairs = (edges.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b").select("a", "b", "sa", "sb"))
-    near = written(pairs.mapInArrow(_near_edges, "a binary, b binary"), "forest-edges")
-    clusters = components(near).toDF("rid", "cluster")
-    parts = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+        F.first("forest").alias("forest"), F.first("sketch").alias("sketch")).select(
+        "rid", "copies", F.col("least.id").alias("least_id"), F.col("least.content").alias("least_text"), "size", "forest", "sketch"), "forest-distinct")
+    near = written(tries(distinct).mapInArrow(_trie_edges, "a binary, b binary").distinct(), "forest-edges")
+    clusters = components(near).toDF("rid", "cluster").join(distinct.select("rid", "size"), "rid")
+    blocks = F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)
+    parts = clusters.groupBy("cluster").agg(F.least(F.ceil(blocks), F.count("*")).cast("int").alias("parts"))
+    clusters = clusters.drop("size")
     members = clusters.join(parts, "cluster").join(distinct.select("rid", "copies", "least_id", "least_text"), "rid").withColumn(
         "block", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("least_id"), F.xxhash64("text").alias("least_text"), "text")

@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -187,6 +188,65 @@ def test_match_depth_reaches_target():
     assert jaccard_forest.recall(d) >= jaccard_forest.TARGET > jaccard_forest.recall(d + 1)
 
 
+def trie_rows(*rows):
+    """(tree, minima, rid, size, sketch bytes that differ from zero) in trie order -> edges of the pass."""
+    made = sorted((t, b"".join(m.to_bytes(2, "big") for m in minima), rid, n, bytes([1] * d + [0] * (jaccard_forest.SKETCH - d))) for t, minima, rid, n, d in rows)
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[k]], t) for k, t in enumerate(kinds)], names=list("tsrnd")) for r in made]
+    return {(a, b) for out in jaccard_forest._trie_edges(iter(batches)) for a, b in zip(*(c.to_pylist() for c in out.columns))}
+
+
+def test_forest_shortens_prefixes_until_target():
+    shortest, depth = jaccard_forest.SHORTEST, jaccard_forest.DEPTH
+    assert jaccard_forest.stop_depth(100) == jaccard_forest.stop_depth(4) == shortest
+    assert jaccard_forest.stop_depth(6) == shortest + 1 and jaccard_forest.stop_depth(3) == depth
+    def pair(shared, n, far=20):
+        return trie_rows((0, [1] * depth, b"a", n, 0), (0, [1] * shared + [2] * (depth - shared), b"b", n, far))
+    for shared in range(shortest, depth + 1):
+        assert pair(shared, 100) == {(b"a", b"b")}  # shortened as far as needed
+    assert pair(shortest - 1, 100) == set()         # and no further
+    assert pair(shortest, 6) == set() and pair(shortest + 1, 6) == {(b"a", b"b")}  # smaller sets stop earlier
+    assert pair(depth, 100, jaccard_forest.FAR + 1) == set()  # unlike members of a prefix stay apart
+    # a member far from its neighbour in the trie still meets the one before it; another tree is another trie
+    got = trie_rows((0, [1] * depth, b"a", 100, 0), (0, [1] * depth, b"b", 100, 60), (0, [1] * depth, b"c", 100, 3), (1, [1] * depth, b"d", 100, 0))
+    assert got == {(b"a", b"c")}
+    # one edge a member, to the least of its part, also where a late member joins two parts
+    got = trie_rows((0, [1] * depth, b"a", 100, 0), (0, [1] * depth, b"b", 100, 50), (0, [1] * (depth - 1) + [2], b"c", 100, 25))
+    assert got == {(b"a", b"b"), (b"a", b"c")}
+
+
+def test_components_of_paths_and_stars(llm):
+    random.seed(12)
+    names = random.sample(range(10_000), 400)
+    path = [(names[i], names[i + 1]) for i in range(150)] + [(i, i + 1) for i in range(20_000, 20_090)]
+    star = [(names[200], names[i]) for i in range(201, 390)] + [(7_000_000, 7_000_000)]
+    edges = path + star
+    rows = [tuple(sorted((a.to_bytes(4, "big"), b.to_bytes(4, "big")))) for a, b in edges]
+    got = {int.from_bytes(r.v, "big"): int.from_bytes(r.c, "big") for r in jaccard_forest.components(llm.createDataFrame(rows, "a binary, b binary")).collect()}
+    want = {}
+    for group in (names[:151], range(20_000, 20_091), names[200:390], [7_000_000]):
+        want |= {v: min(group) for v in group}
+    assert got == want
+
+
+def test_jaccard_recall_just_at_threshold_in_a_hot_prefix(llm):
+    """Families over one common text: unlike members share prefixes, links lie just above 0.8."""
+    random.seed(13)
+    common = [rnd(6, "abcdefghij") for _ in range(60)]
+    rows = []
+    for fam in range(150):
+        own = common + [rnd(6, "klmnopqrst") for _ in range(60)]
+        for k in range(4):
+            w = list(own)
+            if k:  # one changed word at one end drops 2 * k of 116 shingles or so
+                at = random.randrange(70, 110)
+                w[at:at + 4] = [rnd(5, "uvwxyz") for _ in range(4)]
+            rows.append((fam * 4 + k, " ".join(w)))
+    want = links(rows)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_forest.links(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(n for _, n in want.values()) > 500 and got == want
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_match_sql(llm, name):
     con = duckdb.connect()
