@@ -91,3 +91,72 @@ def schema_drift(actual: T.StructType, contract: T.StructType, check_nullable: b
         elif check_nullable and a[n][1] and not c[n][1]:
             out.append({"column": n, "issue": "nullable", "actual": True, "contract": False})
     return out
+
+
+#: Declared simple type -> types a JSON value of it may show.
+_JSON_TYPES = {"string": ("STRING",), "date": ("STRING",), "timestamp": ("STRING",), "boolean": ("BOOLEAN",), "int": ("BIGINT",), "bigint": ("BIGINT",),
+               "float": ("BIGINT", "DECIMAL", "DOUBLE"), "double": ("BIGINT", "DECIMAL", "DOUBLE"), "struct": ("OBJECT",), "map": ("OBJECT",), "array": ("ARRAY",)}
+
+
+def declared_paths(schema: T.DataType, path: str = "") -> list[tuple[str, str, tuple[str, ...]]]:
+    """(path, declared type, JSON types it may show) of a struct's fields at every depth; ``[]`` are elements."""
+    if isinstance(schema, T.StructType):
+        inner = [(f"{path}.{f.name}" if path else f.name, f.dataType) for f in schema.fields]
+    elif isinstance(schema, T.ArrayType):
+        inner = [(path + "[]", schema.elementType)]
+    else:
+        return []
+    out = []
+    for name, t in inner:
+        kind = "double" if isinstance(t, T.DecimalType) else t.typeName() if isinstance(t, (T.StructType, T.ArrayType, T.MapType)) else t.simpleString()
+        out += [(name, t.simpleString(), _JSON_TYPES[kind]), *declared_paths(t, name)]
+    return out
+
+
+def payload_drift(payloads: DataFrame, declared: T.StructType, by: str, text_col: str = "payload_json", depth: int = 3) -> DataFrame:
+    """Schema drift of JSON payloads as data: per ``by`` value and path, which types the payloads show, against ``declared``.
+
+    Columns: by, path, declared_type (NULL: undeclared), seen_type (NULL: absent), payloads (how many show it), total (payloads
+    of the ``by`` value) and status: ``ok``, ``type``, ``null`` (a JSON null), ``undeclared``, ``absent`` (payloads that can be
+    parsed but lack a declared path whose parent they hold; top-level paths have no parent) or ``unparsed`` (path ``$``).
+    ``depth`` levels of nesting are walked.  One pass and one aggregation: a payload becomes its distinct (path, type) pairs,
+    which are counted with partial aggregation, so the shuffle holds paths, not payloads.
+    """
+    kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    node = "array<struct<path:string,value:variant>>"
+
+    def children(path, v):
+        name = lambda k: F.when(path == "", k).otherwise(F.concat_ws(".", path, k))
+        members = F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: F.struct(name(e["key"]).alias("path"), e["value"].alias("value")))
+        elements = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda e: F.struct(F.concat(path, F.lit("[]")).alias("path"), e.alias("value")))
+        return F.coalesce(members, elements, F.array().cast(node))
+
+    rows = payloads.select(by, F.try_parse_json(text_col).alias("_v"))
+    rows = rows.select(by, "_v", children(F.lit(""), F.col("_v")).alias("_l1"))
+    for d in range(1, depth):
+        rows = rows.withColumn(f"_l{d + 1}", F.flatten(F.transform(f"_l{d}", lambda n: children(n["path"], n["value"]))))
+    nodes = F.concat(*[f"_l{d}" for d in range(1, depth + 1)])
+    shown = F.array_distinct(F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), kind(n["value"]).alias("seen"))))
+    whole = F.array(F.struct(F.lit("$").alias("path"), F.coalesce(kind(F.col("_v")), F.lit("UNPARSED")).alias("seen")))
+    seen = rows.select(by, F.explode(F.concat(whole, shown)).alias("n")).groupBy(by, "n.path", "n.seen").agg(F.count(F.lit(1)).alias("payloads"))
+
+    top = seen.where("path = '$'").groupBy(by).agg(F.sum("payloads").alias("total"))
+    unparsed = seen.where("path = '$' AND seen <> 'OBJECT'").select(by, "path", "seen", "payloads", F.lit(None).cast("string").alias("declared_type"), F.lit("unparsed").alias("status"))
+    fixed = declared_paths(declared)
+    types = {p: t for p, t, _ in fixed}
+    literal = F.create_map(*[F.lit(x) for p, t in types.items() for x in (p, t)])
+    fits = F.lit(False)
+    for p, _, ok in fixed:
+        fits = fits | ((F.col("path") == p) & F.col("seen").isin(*ok))
+    found = seen.where("path <> '$'").withColumn("declared_type", literal[F.col("path")]).withColumn(
+        "status", F.when(F.col("declared_type").isNull(), "undeclared").when(F.col("seen") == "VOID", "null").when(fits, "ok").otherwise("type"))
+    # declared paths that some payloads lack: counted against the payloads that hold the parent
+    held = seen.where("path <> '$' AND path NOT LIKE '%[]'").groupBy(by, "path").agg(F.sum("payloads").alias("have"))
+    parents = seen.where("seen = 'OBJECT'").groupBy(by, "path").agg(F.sum("payloads").alias("hold")).toDF(by, "parent", "hold")
+    want = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(p.rpartition(".")[0] or "$").alias("parent"), F.lit(t).alias("declared_type"))
+                     for p, t, _ in fixed if not p.endswith("[]") and not p.rpartition(".")[0].endswith("[]")])
+    due = top.select(by, F.inline(want)).join(parents, [by, "parent"]).join(held, [by, "path"], "left")
+    lacking = due.withColumn("payloads", F.col("hold") - F.coalesce("have", F.lit(0))).where("payloads > 0").select(
+        by, "path", F.lit(None).cast("string").alias("seen"), "payloads", "declared_type", F.lit("absent").alias("status"))
+    return found.unionByName(unparsed).unionByName(lacking).join(top, by).select(
+        by, "path", "declared_type", F.col("seen").alias("seen_type"), "payloads", "total", "status")

@@ -116,3 +116,30 @@ def replay_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_stream(other.where(wave), again, "filing_index")
     a, b = (src.read_landing(spark, root, "filing_index").select(*C.ENVELOPE_FIELDS) for root in (run, again))
     return setops.replay_tree(a, b, "logical_date", ignore=("fetched_at",)).drop("leaves_compared")
+
+
+_NAMES = ", ".join(f"'{f.name}'" for f in C.INDEX_PAYLOAD.fields)
+DRIFT_SQL = O.with_ctes(
+    """SELECT logical_date, path, declared_type, seen_type, n AS payloads, total, status FROM counted JOIN totals USING (logical_date) WHERE n > 0""",
+    **INDEX_ENV,
+    line="SELECT logical_date, event_type AS e, value > 100 AS high, e = 'signup' AND value > 200 AS cut FROM env",
+    totals="SELECT logical_date, count(*) AS total FROM line GROUP BY 1",
+    field=f"SELECT unnest([{_NAMES}]) AS path",
+    shown="""SELECT logical_date, path, 'string' AS declared_type,
+               CASE WHEN path = 'cik' AND e = 'click' AND high THEN 'BIGINT' WHEN path = 'company_name' AND e = 'purchase' AND high THEN 'VOID'
+                    WHEN path = 'file_name' AND e = 'view' AND high THEN NULL ELSE 'STRING' END AS seen_type
+             FROM line, field WHERE NOT cut
+             UNION ALL SELECT logical_date, x.path, NULL, x.t FROM line,
+               (VALUES ('props', 'OBJECT'), ('props.k', 'BIGINT'), ('severity', 'STRING')) AS x(path, t) WHERE e = 'error'
+             UNION ALL SELECT logical_date, '$', NULL, 'UNPARSED' FROM line WHERE cut""",
+    counted="""SELECT logical_date, path, declared_type, seen_type, count(*) AS n,
+                 CASE WHEN path = '$' THEN 'unparsed' WHEN seen_type IS NULL THEN 'absent' WHEN declared_type IS NULL THEN 'undeclared'
+                      WHEN seen_type = 'VOID' THEN 'null' WHEN seen_type = 'STRING' THEN 'ok' ELSE 'type' END AS status
+               FROM shown GROUP BY ALL""")
+
+
+@register("schema_drift", DRIFT_SQL)
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths and types of landed payloads per date, against the declared payload struct: wrong types, absences, nulls, nested extras."""
+    landed = spark.read.schema("logical_date string, payload_json string").json(L.write_drifting_payloads(spark, sf_dir))
+    return setops.payload_drift(landed, C.INDEX_PAYLOAD, "logical_date")

@@ -9,7 +9,7 @@ lack the separator line, region 3 files use CRLF line ends.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factlake import contracts as C
@@ -235,3 +235,41 @@ def submissions_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("1990-01-01").alias("from"), F.lit("1994-12-31").alias("to"))).alias("formerNames"),
         F.struct(recent.alias("recent"), F.array().cast("array<struct<name:string>>").alias("files")).alias("filings")))
     return o.select("o_orderkey", doc.alias("payload_json"), d.alias("logical_date"))
+
+
+def write_universe_files(spark: SparkSession, sf_dir: str) -> str:
+    """JSON lists of companies, one file a nation and 1,000 keys: objects, numbers or padded strings by nation; a company
+    with a negative balance is listed twice."""
+    from factlake.functions import keys as K
+
+    c = B.table(spark, sf_dir, "customer").select(
+        "c_nationkey", F.floor(F.col("c_custkey") / 1000).alias("thousand"), "c_custkey",
+        F.when(F.col("c_nationkey") % 3 == 0, F.to_json(F.struct(F.col("c_custkey").alias("cik"), F.col("c_name").alias("name"))))
+        .when(F.col("c_nationkey") % 3 == 1, F.col("c_custkey").cast("string"))
+        .otherwise(F.concat(F.lit('"'), K.pad_cik("c_custkey"), F.lit('"'))).alias("item"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("c_acctbal") < 0, 2).otherwise(1))).alias("_nth"))
+    lists = c.groupBy("c_nationkey", "thousand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "_nth", "item"))), lambda x: x["item"]), ", ").alias("items"))
+    path = scratch_dir(spark, "universe")
+    lists.select("c_nationkey", "thousand", F.concat(F.lit("["), "items", F.lit("]")).alias("value")).write.partitionBy("c_nationkey", "thousand").text(path)
+    return path
+
+
+def write_drifting_payloads(spark: SparkSession, sf_dir: str) -> str:
+    """logical_date and payload_json of index rows whose layout drifts with the events: clicks above 100 carry cik as a number, views
+    above 100 lack file_name, purchases above 100 hold a null company_name, errors add an object and a key, signups above 200 are cut."""
+    rows = B.index_rows_from_events(B.table(spark, sf_dir, "events"), extra=("event_type", "props", "value"))
+    names = [f.name for f in C.INDEX_PAYLOAD.fields]
+
+    def payload(*drop: str, **other) -> Column:
+        return F.to_json(F.struct(*[other.get(n, F.col(n)).alias(n) for n in names if n not in drop], *[c.alias(n) for n, c in other.items() if n not in names]),
+                         {"ignoreNullFields": "false"})
+    kind, high = F.col("event_type"), F.col("value") > 100
+    text = (F.when((kind == "click") & high, payload(cik=F.col("cik").cast("bigint")))
+            .when((kind == "view") & high, payload("file_name"))
+            .when((kind == "purchase") & high, payload(company_name=F.lit(None).cast("string")))
+            .when(kind == "error", payload(props=F.from_json("props", "struct<k:bigint>"), severity=F.lit("high")))
+            .when((kind == "signup") & (F.col("value") > 200), F.substring(payload(), 1, 20))
+            .otherwise(payload()))
+    path = scratch_dir(spark, "drifting")
+    rows.select("logical_date", text.alias("payload_json")).write.json(path)
+    return path

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from factlake import contracts as C
 from factlake.plans import bindings as B
+from factlake.plans import landed_inputs
 from factlake.plans import oracle as O
 from factlake.plans import requests as R
 from factlake.plans.registry import register
 from factlake.session import scratch_dir
 from factlake.sources.landing import read_completed_pairs
+from factlake.sources.universe import read_universe
 
 
 def _universe(spark, sf_dir):
@@ -40,6 +42,18 @@ def universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _universe(spark, sf_dir)
 
 
+@register("universe_files", O.with_ctes("SELECT cik FROM universe", universe=UNIVERSE))
+def universe_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The universe read from JSON list files of objects, numbers and padded strings, with repeats."""
+    return read_universe(spark, landed_inputs.write_universe_files(spark, sf_dir))
+
+
+@register("universe_first", O.with_ctes("SELECT cik FROM universe ORDER BY cik LIMIT 100", universe=UNIVERSE))
+def universe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 100 companies of the universe files, in key order (the limit of a run is the feature)."""
+    return read_universe(spark, landed_inputs.write_universe_files(spark, sf_dir), limit=100)
+
+
 @register("universe_semi", O.with_ctes(
     """SELECT cik, concept_tag, accession_number, filed_date, CAST(value AS DOUBLE) AS value
        FROM facts WHERE cik IN (SELECT cik FROM universe)""", universe=UNIVERSE, facts=O.FACTS))

@@ -2,8 +2,10 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factlake.operators import dq
+from factlake.operators.setops import payload_drift
 from factlake.plans import bindings as B
 from factlake.plans import landed_inputs as L
 from factlake.plans import requests as R
@@ -165,3 +167,20 @@ def test_fetch_accounting(spark):
                                     "cik string, concept string, envelope string")
     r = R.fetch_accounting(fetched).first()
     assert (r.requests, r.records, r.not_reported) == (3, 2, 1)
+
+
+def test_payload_drift_of_nested_payloads(spark):
+    declared = T.StructType().add("id", "long").add("who", T.StructType().add("name", "string").add("age", "double")).add("tags", T.ArrayType(T.StringType()))
+    rows = [("d1", '{"id": 1, "who": {"name": "x", "age": 2}, "tags": ["a", "b"]}'), ("d1", '{"id": "1", "who": {"name": "y", "age": 2.5, "z": {"deep": {"er": 1}}}, "tags": [1, "b"]}'),
+            ("d1", '{"who": null, "tags": []}'), ("d1", "[1]"), ("d1", "{"), ("d1", None), ("d2", '{"id": 1, "who": {}, "tags": "t"}')]
+    got = {(r.day, r.path, r.seen_type, r.payloads, r.total, r.status) for r in payload_drift(spark.createDataFrame(rows, "day string, payload_json string"), declared, "day").collect()}
+    assert got == {
+        ("d1", "id", "BIGINT", 1, 6, "ok"), ("d1", "id", "STRING", 1, 6, "type"), ("d1", "id", None, 1, 6, "absent"),
+        ("d1", "who", "OBJECT", 2, 6, "ok"), ("d1", "who", "VOID", 1, 6, "null"), ("d1", "who.name", "STRING", 2, 6, "ok"),
+        ("d1", "who.age", "BIGINT", 1, 6, "ok"), ("d1", "who.age", "DECIMAL", 1, 6, "ok"),
+        ("d1", "who.z", "OBJECT", 1, 6, "undeclared"), ("d1", "who.z.deep", "OBJECT", 1, 6, "undeclared"),
+        ("d1", "tags", "ARRAY", 3, 6, "ok"), ("d1", "tags[]", "STRING", 2, 6, "ok"), ("d1", "tags[]", "BIGINT", 1, 6, "type"),
+        ("d1", "[]", "BIGINT", 1, 6, "undeclared"), ("d1", "$", "ARRAY", 1, 6, "unparsed"), ("d1", "$", "UNPARSED", 2, 6, "unparsed"),
+        ("d2", "id", "BIGINT", 1, 1, "ok"), ("d2", "who", "OBJECT", 1, 1, "ok"), ("d2", "who.name", None, 1, 1, "absent"),
+        ("d2", "who.age", None, 1, 1, "absent"), ("d2", "tags", "STRING", 1, 1, "type")}
+    assert payload_drift(spark.createDataFrame([], "day string, payload_json string"), declared, "day").count() == 0
