@@ -144,17 +144,29 @@ def _seams(chunks: DataFrame, overlap: int) -> DataFrame:
         "key", F.when(F.coalesce("open", F.lit(0)) == 0, F.col("last") + F.coalesce("kept", F.lit(0))).alias("n_tokens"))
 
 
+def _cut(chunk: int, overlap: int, rows: int = 64):
+    """(key, body) -> (key, no, n, piece): each text in one pass, ``rows`` pieces a batch."""
+    def run(batches):
+        for b in batches:
+            for key, body in zip(b.column(0), b.column(1)):
+                key, body = key.as_py(), body.as_py()  # one text at a time
+                n = max(1, -(-(len(body) - overlap) // chunk))
+                for at in range(0, n, rows):
+                    nos = list(range(at, min(n, at + rows)))
+                    pieces = [body[no * chunk:] if no == n - 1 else body[no * chunk:(no + 1) * chunk + overlap] for no in nos]
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(nos), pa.string()), pa.array(nos, pa.int32()), pa.array([n] * len(nos), pa.int32()),
+                                                      pa.array(pieces, pa.string())], names=["key", "no", "n", "piece"])
+    return run
+
+
 def huge_counts(texts: DataFrame, spec, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(key, body) of distinct huge texts -> (key, n_tokens), by spliced chunks."""
     done, pending = None, texts
+    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
-        n = F.greatest(F.lit(1), F.ceil((F.length("body") - F.lit(overlap)) / F.lit(chunk))).cast("int")
-        cut = pending.select("key", n.alias("n"), "body").select(
-            "key", "n", F.col("body"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("no"))
-        last = F.expr(f"substring(body, no * {chunk} + 1)")
-        pieces = cut.select("key", "no", "n", F.when(F.col("no") == F.col("n") - 1, last)
-                            .otherwise(F.expr(f"substring(body, no * {chunk} + 1, {chunk + overlap})")).alias("piece"))
-        pieces = pieces.repartition("key", "no")  # a document's chunks spread over the tasks
+        pieces = pending.select("key", "body").mapInArrow(_cut(chunk, overlap), "key string, no int, n int, piece string")
+        # a document's chunks spread over the tasks; the width is given, as bytes say little of the time a chunk takes
+        pieces = pieces.repartition(width, "key", "no")
         found = pieces.mapInArrow(_encode_chunks(spec, chunk, overlap),
                                   "key string, no int, n int, total long, head array<int>, head_at array<long>, tail array<int>, tail_at array<long>")
         result = written(_seams(written(found, "token-chunks"), overlap), "token-splices")

@@ -5,7 +5,9 @@ import re
 import time
 
 import duckdb
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -260,3 +262,75 @@ def test_token_counts(llm):
         assert [(r.doc_id, r.n_tokens) for r in got if r.n_tokens != want[r.doc_id]] == []
         assert all(r.n_bytes == len((dict(docs)[r.doc_id] or "").encode()) and r.over_limit == (r.n_tokens > 50) for r in got)
     assert token_counts.token_counts(df.limit(0), path).count() == 0
+
+
+def plain_ranks(text):
+    """n-grams of a text, most frequent first, counted character by character."""
+    low = text.lower()
+    line = "".join(c if c.isalpha() else " " for c in low)
+    count = {}
+    for w in line.split():
+        padded = " " + w + " "
+        grams = list(w) + [padded[i:i + 2] for i in range(len(padded) - 1)] + [padded[i:i + 3] for i in range(len(w))]
+        for g in grams:
+            code = 0
+            for c in g:
+                code = code << 21 | ord(c)
+            count[code] = count.get(code, 0) + 1
+    return sorted(count, key=lambda c: (-count[c], c))
+
+
+def plain_language(text, langs, profiles):
+    doc = plain_ranks(text or "")[:language_id.DOC_TOP]
+    if not doc:
+        return "und", 0.0
+    places = {lang: {c: k for k, c in enumerate(p)} for lang, p in zip(langs, profiles)}
+    far = {lang: sum(abs(at[c] - k) if c in at else language_id.PROFILE for k, c in enumerate(doc)) for lang, at in places.items()}
+    best = min(langs, key=lambda lang: (far[lang], lang))
+    return best, max(0.0, 1.0 - far[best] / (language_id.PROFILE * len(doc)))
+
+
+def test_language_prediction_against_brute_force(llm):
+    docs = llm.read.parquet(f"{SF_SMALL}/documents.parquet")
+    langs, profiles = language_id.learn(docs)
+    for lang, p in zip(langs, profiles):  # all labelled rows are in the sample at this size
+        texts = [r.text for r in docs.filter((F.col("lang") == lang) & F.col("text").isNotNull() & ~language_id.held_out(F.col("doc_id"))).collect()]
+        assert p == plain_ranks("\n".join(texts))[:language_id.PROFILE]
+    got = language_id.predict(docs, langs, profiles).join(docs.select("doc_id", "text"), "doc_id").collect()
+    for r in got:
+        want = plain_language(r.text, langs, profiles)
+        assert r.lang_pred == want[0] and abs(r.score - want[1]) < 1e-12
+
+
+def test_language_labels_have_no_cap(llm):
+    """700 labels, each learned, in three blocks; ties go to the smaller name, also across blocks."""
+    random.seed(31)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:03d}": " ".join("".join(random.choices(abc, k=6)) for _ in range(12)) for k in range(700)}
+    own["l699"] = own["l001"]
+    df = llm.createDataFrame([(None, t, lang) for lang, t in own.items()], "doc_id long, text string, lang string")
+    langs, profiles = language_id.learn(df)
+    assert langs == sorted(own) and len(language_id.Model(langs, profiles).blocks) == 3
+    assert language_id.predict(df, langs, profiles).select("lang_pred").distinct().count() == 699
+    model = language_id.Model(langs, [np.array(p) for p in profiles])
+    for lang, text in own.items():
+        assert model.predict(text)[0] == ("l001" if lang == "l699" else lang)
+
+
+def test_sample_draws_rows_of_one_repeated_id(llm):
+    """Rows that share a doc_id are drawn one by one, so the sample is bounded there too."""
+    rows = [(None, f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} {'uvwxyz'[i % 6] * (1 + i // 100)}", "aa") for i in range(2000)]
+    langs, profiles = language_id.learn(llm.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=100)
+    assert langs == ["aa"] and 0 < len(profiles[0]) <= language_id.PROFILE
+
+
+def test_huge_text_is_cut_in_one_pass():
+    from factlake.llm.token_counts import _cut
+    body = "".join(chr(0x61 + i % 26) if i % 7 else "é" for i in range(10_007))
+    batch = pa.RecordBatch.from_pydict({"key": ["k", "s"], "body": [body, "short"]})
+    rows = [r for out in _cut(100, 8, rows=16)(iter([batch])) for r in out.to_pylist()]
+    mine = [r for r in rows if r["key"] == "k"]
+    assert [r["no"] for r in mine] == list(range(100)) and {r["n"] for r in mine} == {100}
+    assert "".join(r["piece"][:100] for r in mine[:-1]) + mine[-1]["piece"] == body
+    assert all(a["piece"][100:] == b["piece"][:8] for a, b in zip(mine, mine[1:]))
+    assert [r["piece"] for r in rows if r["key"] == "s"] == ["short"]
