@@ -7,7 +7,8 @@ its ``DOC_TOP`` most frequent n-grams the difference of ranks, or ``PROFILE`` if
 profile lacks it.  The smallest distance wins, ties go to the smaller name.
 
 Profiles are learned on a bounded sample: per language about ``TRAIN_PER_LANG`` labelled rows,
-taken by a hash of doc_id, in one pass with pre-aggregated counts.  Texts are used whole.
+taken by a hash of doc_id and text, in one pass with pre-aggregated counts.  Texts are used whole.
+Every label found is learned; the driver and the broadcast model hold ``PROFILE`` n-grams a label.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is
 everything when no labelled row exists.  Each row is predicted from its text alone, so
@@ -26,7 +27,7 @@ N_MAX = 3
 PROFILE = 400
 DOC_TOP = 300
 TRAIN_PER_LANG = 3_000
-MAX_LANGS = 512  # bound of the learned model: MAX_LANGS * PROFILE n-grams
+LANG_BLOCK = 256  # languages compared at once: bounds the rank matrix, however many labels there are
 SPACE = 32
 
 _LETTER: list[np.ndarray] = []
@@ -75,17 +76,30 @@ class Profiles:
         for k, p in enumerate(profiles):
             self.ranks[k, np.searchsorted(self.codes, p)] = np.arange(len(p))
 
+    def closest(self, doc: np.ndarray) -> tuple[int, str]:
+        """The smallest out-of-place distance of ranked codes, and its language (ties: the first)."""
+        at = np.minimum(np.searchsorted(self.codes, doc), len(self.codes) - 1)
+        ranks = np.where(self.codes[at] == doc, self.ranks[:, at], -1)
+        distance = np.where(ranks < 0, PROFILE, np.abs(ranks - np.arange(len(doc)))).sum(axis=1)
+        best = int(np.argmin(distance))
+        return int(distance[best]), self.langs[best]
+
+
+class Model:
+    """Profiles of all languages, in blocks of ``LANG_BLOCK`` in order of their names."""
+
+    def __init__(self, langs: list[str], profiles: list[np.ndarray]):
+        order = sorted(range(len(langs)), key=langs.__getitem__)
+        cuts = [order[k:k + LANG_BLOCK] for k in range(0, len(order), LANG_BLOCK)]
+        self.blocks = [Profiles([langs[i] for i in cut], [profiles[i] for i in cut]) for cut in cuts]
+
     def predict(self, text: str | None) -> tuple[str, float]:
         codes = ngrams(text)
-        if len(codes) == 0 or not self.langs:
+        if len(codes) == 0 or not self.blocks:
             return "und", 0.0
         doc = ranked(codes, DOC_TOP)
-        at = np.minimum(np.searchsorted(self.codes, doc), len(self.codes) - 1)
-        ranks = np.where(self.codes[at] == doc, self.ranks[:, at], -1)
-        out_of_place = np.where(ranks < 0, PROFILE, np.abs(ranks - np.arange(len(doc))))
-        distance = out_of_place.sum(axis=1)
-        best = int(np.argmin(distance))
-        return self.langs[best], float(max(0.0, 1.0 - distance[best] / (PROFILE * len(doc))))
+        distance, lang = min(block.closest(doc) for block in self.blocks)
+        return lang, float(max(0.0, 1.0 - distance / (PROFILE * len(doc))))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -95,11 +109,11 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> tuple[list[str], list[list[int]]]:
     """Language names and profiles, from rows (doc_id, text, lang) outside the held-out fold."""
     rows = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return [], []
     share = F.create_map([F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_lang / n))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.filter(draw < share[F.col("lang")]).select("lang", "text")
 
     def run(batches):
@@ -125,7 +139,7 @@ def predict(docs: DataFrame, langs: list[str], profiles: list[list[int]]) -> Dat
 
     def run(batches):
         names, lists = model.value
-        fitted = Profiles(names, [np.array(p, dtype=np.int64) for p in lists])
+        fitted = Model(names, [np.array(p, dtype=np.int64) for p in lists])
         for b in batches:
             got = [fitted.predict(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
