@@ -273,7 +273,7 @@ class _Block:
 def blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> list[_Block]:
     """The benchmark in blocks of about ``block_bytes``, each broadcast."""
     spark = benchmark.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").alias("body"))
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), F.col("text").alias("body")).distinct()
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     n = max(1, -(-int(total) // block_bytes))
     out = []
