@@ -5,16 +5,19 @@ document included).  Sorting every suffix is not needed: each 400-byte window ha
 the leftmost smallest hash of its 32-byte strings, so equal windows have equal anchors at equal
 places.  Only suffixes at anchors whose 32 bytes occur twice are sorted.
 
-1. Anchors of every text; those whose fingerprint occurs once are dropped (pre-aggregated counts).
+1. Anchors of every text, one row per fingerprint and text with its number of places; fingerprints
+   with one place are dropped (pre-aggregated counts).
 2. For the others the bytes of all windows they own (left and right context) are shuffled by
    fingerprint and read in order of (fingerprint, content).  Equal contents are copies: all their
-   windows repeat, and one of them stays as a reference.
+   windows repeat, and one of them stays as a reference.  Equal contexts of one text are one row with
+   the intervals they cover, so a long run of one byte or of a short period costs one row.
 3. The distinct contexts of a fingerprint are sorted deep-shallow, the right contexts as suffixes,
    the left ones as reversed prefixes: multikey quicksort on 8-byte words to ``SHALLOW`` bytes, then
    blind tries order the groups that still agree.  From both orders and their common prefix lengths
    follow the window offsets that occur twice.
-4. A fingerprint with more than ``GROUP`` distinct contexts (a hot passage amid different texts)
-   does not stay in one task: its windows are counted by their hashes, with partial sums.
+4. A fingerprint with more than ``GROUP`` places (a hot passage amid different texts) never meets in
+   one task: its contexts are dealt by content and salt, copies are taken out there, and the windows of
+   the others are counted by their hashes, with partial sums.
 5. The covered intervals return to the texts that hold them.
 
 Everything is keyed by content (128-bit digest of the text), so copies, repeated rows and null
@@ -38,7 +41,8 @@ LENGTH = 400
 GRAM = 32
 PIECE = 1 << 18   # window starts handled at once
 SHALLOW = 96      # bytes sorted by multikey quicksort before the tries
-GROUP = 20_000    # distinct contexts of one fingerprint sorted in one task
+GROUP = 20_000    # places of one fingerprint sorted in one task
+SALTS = 16        # tasks over which one content of a hot fingerprint is dealt
 PAIRS = 40        # groups up to this size compare ranges of the sorted order pair by pair
 
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, size=256, dtype=np.uint64) | np.uint64(1)
@@ -224,10 +228,10 @@ def _anchor_rows(length: int):
     def run(batches):
         for b in batches:
             for tkey, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                pos, fp, first, _ = anchors(body.encode("utf-8"), length)
-                if len(pos):
-                    yield pa.RecordBatch.from_arrays([pa.array([tkey] * len(pos), pa.binary()), pa.array(first, pa.int64()), pa.array(fp, pa.int64())],
-                                                     names=["tkey", "first", "fp"])
+                fp, n = np.unique(anchors(body.encode("utf-8"), length)[1], return_counts=True)
+                if len(fp):
+                    yield pa.RecordBatch.from_arrays([pa.array([tkey] * len(fp), pa.binary()), pa.array(fp, pa.int64()), pa.array(n, pa.int64())],
+                                                     names=["tkey", "fp", "n"])
     return _batched(run)
 
 
@@ -246,35 +250,65 @@ def _batched(run, rows: int = 20_000):
     return joined
 
 
-def _contexts(length: int):
-    """(tkey, body, starts of owned windows of repeated anchors) -> their bytes."""
-    names = ["fp", "content", "tkey", "first", "left", "bytes"]
+def _joined(firsts: list[int], size: int) -> list[int]:
+    """Ascending intervals of one size, merged: begin, end, begin, end, ..."""
+    out: list[int] = []
+    for at in firsts:
+        if out and at <= out[-1]:
+            out[-1] = at + size
+        else:
+            out += [at, at + size]
+    return out
+
+
+def _contexts(length: int, rows: int = 4_000):
+    """(tkey, body, repeated fingerprints, hot ones) -> the distinct contexts of the text, with the intervals they cover."""
+    kinds = {"fp": pa.int64(), "hot": pa.bool_(), "content": pa.binary(), "tkey": pa.binary(), "first": pa.int64(), "left": pa.int32(),
+             "bytes": pa.binary(), "spans": pa.list_(pa.int64())}
 
     def run(batches):
         for b in batches:
-            for tkey, body, starts in zip(*(b.column(k).to_pylist() for k in range(3))):
-                data = body.encode("utf-8")
+            for tkey, body, fps, hot in zip(*(b.column(k).to_pylist() for k in range(4))):
+                data, hot = body.encode("utf-8"), set(hot)
                 pos, fp, first, last = anchors(data, length)
-                pick = np.flatnonzero(np.isin(first, np.asarray(starts)))
-                raw = [data[first[k]:last[k] + length] for k in pick]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(fp[pick], pa.int64()), pa.array([hashlib.blake2b(r, digest_size=16).digest() for r in raw], pa.binary()),
-                    pa.array([tkey] * len(pick), pa.binary()), pa.array(first[pick], pa.int64()),
-                    pa.array((pos - first)[pick], pa.int32()), pa.array(raw, pa.binary())], names=names)
-    return _batched(run, 4_000)
+                pick = np.flatnonzero(np.isin(fp, np.asarray(fps)))
+                held: dict[tuple, list[int]] = {}  # (content, left) -> starts; equal ones have one fingerprint and size
+                sizes: list[tuple[int, int]] = []
+                for f, p, a, z in zip(*(x[pick].tolist() for x in (fp, pos, first, last + length))):
+                    key = hashlib.blake2b(data[a:z], digest_size=16).digest(), p - a
+                    if key not in held:
+                        held[key] = []
+                        sizes.append((f, z - a))
+                    held[key].append(a)
+                out = []
+                for ((content, left), firsts), (f, size) in zip(held.items(), sizes):
+                    a = firsts[0]
+                    out.append((f, f in hot, content, tkey, a, left, data[a:a + size], _joined(firsts, size)))
+                    if len(out) == rows:
+                        yield _rows(out, kinds)
+                        out = []
+                if out:
+                    yield _rows(out, kinds)
+    return _batched(run, rows)
+
+
+CONTEXT = "fp long, hot boolean, content binary, tkey binary, first long, left int, bytes binary, spans array<long>"
+SPAN = "tkey binary, lo long, hi long, over binary, left int"
 
 
-CONTEXT = "fp long, content binary, tkey binary, first long, left int, bytes binary"
-SPAN = "tkey binary, lo long, hi long, over binary, left int"
+def _rows(rows: list[tuple], kinds: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], names=list(kinds))
 
 
-def _sorted_groups(length: int, group: int):
-    """Contexts sorted by (fp, content, left) -> covered intervals; contexts of hot fingerprints as they are."""
+def _sorted_groups(length: int):
+    """Contexts sorted by (fp, content, left) -> covered intervals; of hot fingerprints also the distinct contexts as they are."""
     def run(batches):
         spans: list[tuple] = []
         fp = None
-        members: list[list] = []  # [content, left, tkey, first, bytes, copied]
-        hot = False
+        members: list[list] = []  # [content, left, tkey, first, bytes, copied, intervals]
+
+        def cover(tkey, intervals):
+            spans.extend((tkey, lo, hi, None, None) for lo, hi in zip(intervals[::2], intervals[1::2]))
 
         def finish():
             if len(members) < 2:
@@ -285,31 +319,28 @@ def _sorted_groups(length: int, group: int):
                     spans.append((m[2], m[3] + m[1] - d[1], m[3] + m[1] - d[0] + length, None, None))
 
         for b in batches:
-            for f, content, tkey, first, left, raw in zip(*(b.column(k).to_pylist() for k in range(6))):
+            for f, hot, content, tkey, first, left, raw, own in zip(*(b.column(k).to_pylist() for k in range(8))):
                 if f != fp:
-                    if not hot:
-                        finish()
-                    fp, members, hot = f, [], False
+                    finish()
+                    fp, members = f, []
                 if members and members[-1][0] == content and members[-1][1] == left:
                     m = members[-1]
                     if not m[5]:
                         m[5] = True
-                        spans.append((m[2], m[3], m[3] + len(m[4]), None, None))
-                    spans.append((tkey, first, first + len(raw), None, None))
+                        cover(m[2], m[6])
+                    cover(tkey, own)
                     continue
-                if hot:  # the one before is done with: only it is held
+                if hot:  # the one before is done with: only this one is held
                     members = []
                     spans.append((tkey, first, first + len(raw), raw, left))
-                members.append([content, left, tkey, first, raw, False])
-                if len(members) > group:
-                    hot = True
-                    spans += [(m[2], m[3], m[3] + len(m[4]), m[4], m[1]) for m in members]
-                    members = members[-1:]
+                copied = own != [first, first + len(raw)]  # by its own text
+                if copied:
+                    cover(tkey, own)
+                members.append([content, left, tkey, first, raw, copied, own])
             if len(spans) >= 5_000:
                 yield _span_rows(spans)
                 spans.clear()
-        if not hot:
-            finish()
+        finish()
         if spans:
             yield _span_rows(spans)
     return run
@@ -335,19 +366,22 @@ def covered(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFr
     """(tkey, spans): covered intervals (begin, end, begin, end, ..., not merged) of each text that has any."""
     long_ = _keyed(docs).filter(F.octet_length("body") >= length)
     texts = long_.groupBy("tkey").agg(F.count("*").alias("rows"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("one"))
-    found = written(long_.select("tkey", "body").mapInArrow(_anchor_rows(length), "tkey binary, first long, fp long"), "suffix-anchors")
-    place = F.xxhash64("tkey", "first")  # copies of a text share their places
-    twice = found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("fp")
-    repeated = found.join(twice, "fp", "left_semi").groupBy("tkey").agg(F.collect_set("first").alias("starts"))
+    found = written(long_.select("tkey", "body").mapInArrow(_anchor_rows(length), "tkey binary, fp long, n long"), "suffix-anchors")
+    text = F.xxhash64("tkey")  # copies of a text share their places
+    places = found.groupBy("fp").agg(F.min(text).alias("a"), F.max(text).alias("b"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    twice = places.filter("most > 1 OR a <> b").select("fp", (F.col("n") > group).alias("hot"))
+    repeated = found.select("tkey", "fp").join(twice, "fp").groupBy("tkey").agg(F.collect_set("fp").alias("fps"), F.collect_set(F.when(F.col("hot"), F.col("fp"))).alias("hot"))
     holder = long_.withColumn("one", F.coalesce("doc_id", F.lit(-(1 << 63)))).join(texts.select("tkey", "one"), ["tkey", "one"], "left_semi")
-    contexts = holder.join(repeated, "tkey").select("tkey", "body", "starts").mapInArrow(_contexts(length), CONTEXT)
-    ordered = contexts.repartition("fp").sortWithinPartitions("fp", "content", "left", "tkey", "first")
-    spans = written(ordered.mapInArrow(_sorted_groups(length, group), SPAN), "suffix-spans")
+    contexts = holder.join(repeated, "tkey").select("tkey", "body", "fps", "hot").mapInArrow(_contexts(length), CONTEXT)
+    dealt = F.when(F.col("hot"), F.xxhash64("content", F.pmod(F.xxhash64("tkey"), F.lit(SALTS)))).otherwise(F.lit(0))
+    ordered = contexts.repartition("fp", dealt).sortWithinPartitions("fp", "content", "left", "tkey", "first")
+    spans = written(ordered.mapInArrow(_sorted_groups(length), SPAN), "suffix-spans")
     plain = spans.filter("over is null").select("tkey", "lo", "hi")
     hot = spans.filter("over is not null")
     if not hot.isEmpty():
-        windows = hot.mapInArrow(_windows(length), "window binary, tkey binary, lo long").distinct()
-        again = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+        windows = hot.mapInArrow(_windows(length), "window binary, tkey binary, lo long")
+        place = F.xxhash64("tkey", "lo")
+        again = windows.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("window")
         plain = plain.unionByName(windows.join(again, "window", "left_semi").select("tkey", "lo", (F.col("lo") + length).alias("hi")))
     whole = texts.filter("rows > 1").select("tkey", F.lit(0).cast("long").alias("lo"), F.lit(1 << 62).cast("long").alias("hi"))
     every = plain.unionByName(whole)

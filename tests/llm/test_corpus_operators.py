@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -55,6 +56,34 @@ def test_repeats_on_documents_and_empty(llm):
     assert [r.n_removed for r in suffix_dedup.digests(same).collect()] == [401, 401]
 
 
+def test_runs_of_short_periods(llm):
+    random.seed(3)
+    texts = ["x" * 600_000 + rnd(500), rnd(500, "uvw") + "x" * 500, "ab" * 1000 + "tail", rnd(70, "pq") * 40 + rnd(450), ("line of a log\n" * 3000)]
+    df = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for group in (20_000, 2):
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(df, group=group).collect()}
+        assert got == dict(enumerate(repeats(texts)))
+
+
+@pytest.mark.parametrize("unit", ["x", "ab", "one line of a ruler, as long as this\n"])
+def test_contexts_of_a_run_stay_in_proportion(unit):
+    body = (unit * 300_000)[:300_000]
+    found = pa.Table.from_batches(suffix_dedup._anchor_rows(400)([pa.record_batch({"tkey": [b"k"], "body": [body]})]))
+    given = pa.record_batch({"tkey": [b"k"], "body": [body], "fps": [found.column("fp").to_pylist()], "hot": pa.array([[]], pa.list_(pa.int64()))})
+    held = pa.Table.from_batches(suffix_dedup._contexts(400)([given]))
+    assert held.num_rows < 20 and sum(len(x) for x in held.column("bytes").to_pylist()) < 20_000
+    ends = [b for spans in held.column("spans").to_pylist() for b in spans[1::2]]
+    assert max(ends) == len(body)
+
+
+def test_anchors_of_long_texts(monkeypatch):
+    data = "".join(t for t in repeated_texts() if t).encode()
+    owned = lambda: [np.repeat(x, last - first + 1).tolist() for pos, fp, first, last in [suffix_dedup.anchors(data)] for x in (pos, fp)]
+    whole = owned()
+    monkeypatch.setattr(suffix_dedup, "PIECE", 300)
+    assert owned() == whole
+
+
 def test_deep_shallow_order():
     random.seed(2)
     for shallow in (8, 96):
