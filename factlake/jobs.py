@@ -18,7 +18,7 @@ from factlake.operators import bronze, dq, gold, silver
 from factlake.operators.merge import merge_upsert, scd2_history
 from factlake.plans import export as X
 from factlake.session import scratch_dir
-from factlake.sources.landing import read_checked
+from factlake.sources.landing import landed_files, read_checked
 from factlake.streaming.ingest import latest_snapshot
 
 BRONZE_TABLES = {
@@ -55,7 +55,7 @@ def bronze_job(spark: SparkSession, landing_root: str, bronze_root: str,
         new = new.withColumn("content_sha256", F.sha2(F.coalesce("payload_json", F.lit("")), 256)) \
             if "payload_json" in new.columns else new
         added[stream] = bronze.refresh_dates(
-            new, path, beside={f"{bronze_root.rstrip('/')}/_bad_lines/{stream}": bad})
+            new, landed_files(spark, landing_root, stream), path, beside={f"{bronze_root.rstrip('/')}/_bad_lines/{stream}": bad})
     return added
 
 

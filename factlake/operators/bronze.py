@@ -56,9 +56,9 @@ def company_concept_raw(envelopes: DataFrame, ingest_ts: Column | None = None) -
                             F.lit(None).cast("string").alias("_rescued_data"))
 
 
-def _file_key(path: str) -> str:
+def _file_key(path: Column) -> Column:
     """``logical_date=<date>/<file>`` of a landed file, however its root is spelled."""
-    return "/".join(path.replace("%3D", "=").split("/")[-2:])
+    return F.regexp_extract(F.replace(path, F.lit("%3D"), F.lit("=")), "([^/]+/[^/]+)$", 1)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -66,21 +66,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def refresh_dates(incoming: DataFrame, table_path: str, beside: dict[str, DataFrame] | None = None) -> int:
+def refresh_dates(incoming: DataFrame, files: DataFrame, table_path: str, beside: dict[str, DataFrame] | None = None) -> int:
     """Bring the bronze table (partitioned by ``logical_date``) up to the landed files; returns rows added.
 
-    A landing date is replaced as a whole, so bronze replaces it too: files are listed first (names
-    only), the dates that hold a file bronze has not seen are read, and just their partitions are
-    overwritten.  Landing the same batch again therefore adds nothing, changed content replaces the
+    A landing date is replaced as a whole, so bronze replaces it too: ``files`` (a ``path`` a landed
+    file, see ``landed_files``) is anti-joined with the files of the table, the dates that hold one bronze has
+    not seen are read, and just their partitions are overwritten.  The driver gets dates, never file names.  Landing the same batch again therefore adds nothing, changed content replaces the
     old, and an emptied date empties its partition.  Other dates are neither read nor written.
     ``beside`` maps paths to companion tables (bad lines) that are replaced for the same dates.
     """
     spark = incoming.sparkSession
-    landed = {_file_key(f) for f in incoming.inputFiles()}
+    landed = files.select(_file_key(F.col("path")).alias("file"))
     if path_exists(spark, table_path):  # one name per landed file
         seen = spark.read.schema(incoming.schema).parquet(table_path).select("_source_file").distinct()
-        landed -= {_file_key(r[0]) for r in seen.toLocalIterator()}
-    dates = sorted({k.split("/")[0].removeprefix("logical_date=") for k in landed})
+        landed = landed.join(seen.select(_file_key(F.col("_source_file")).alias("file")), "file", "left_anti")
+    date = F.regexp_extract("file", "^logical_date=([^/]+)/", 1)
+    dates = sorted(r[0] for r in landed.select(date).distinct().collect())
     if not dates:
         return 0
     for path, rows in (beside or {}).items():

@@ -255,7 +255,7 @@ def bronze_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     for landed in ((), (1,), (), (0,)):
         if landed:
             L.land_documents(spark, sf_dir, root=root, captures=landed)
-        bronze.refresh_dates(_bronze_docs(spark, sf_dir, root), table)
+        bronze.refresh_dates(_bronze_docs(spark, sf_dir, root), src.landed_files(spark, root, "company_submissions"), table)
     return spark.read.parquet(table).select("resource_id", "logical_date", "content_sha256")
 
 

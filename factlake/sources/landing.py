@@ -82,6 +82,14 @@ def read_landing(spark: SparkSession, root: str, stream: str | None = None) -> D
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def landed_files(spark: SparkSession, root: str, stream: str) -> DataFrame:
+    """Path, size and modification time of every landed file of a stream; contents are not read.
+
+    Landed files are gzip, so one without rows has bytes and is listed; a file of no bytes is not."""
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/edgar/{stream}")
+    return files.select("path", "length", "modificationTime")
+
+
 def read_checked(spark: SparkSession, root: str, stream: str) -> tuple[DataFrame, DataFrame]:
     """(envelopes of the sound lines of a stream, bad lines with their text, file and reason).
 

@@ -1,5 +1,6 @@
 """End to end: landed envelopes of all three streams through bronze, silver, gold and export."""
 
+import gzip
 import json
 
 from pyspark.sql import functions as F
@@ -128,3 +129,13 @@ def test_two_captures_of_a_day_give_one_version(spark):
             .withColumn("logical_date", F.to_date("d"))
         got = scd2_history(df, "cik", ["name"], within_day=("at",), carry=("ein",)).collect()
         assert [(r.name, r.ein, str(r.valid_from), r.is_current) for r in got] == [("B", "e2", "2026-01-01", True)]
+
+
+def test_landed_files_list_names_not_contents(spark, tmp_path):
+    folder = tmp_path / "edgar" / "filing_index" / "logical_date=2024-01-02"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json.gz").write_bytes(gzip.compress(b"{}\n"))
+    (folder / "part-1.json.gz").write_bytes(gzip.compress(b""))  # an emptied batch
+    files = src.landed_files(spark, str(tmp_path), "filing_index")
+    assert [r.path.split("/")[-1] for r in files.orderBy("path").collect()] == ["part-0.json.gz", "part-1.json.gz"]
+    assert "content" not in files._jdf.queryExecution().optimizedPlan().output().mkString()
