@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factlake.session import scratch_dir
+
 
 def replay_diff(a: DataFrame, b: DataFrame, by: str, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Per ``by`` value: rows in each capture and rows only in one of them.
@@ -119,8 +121,9 @@ def payload_drift(payloads: DataFrame, declared: T.StructType, by: str, text_col
     Columns: by, path, declared_type (NULL: undeclared), seen_type (NULL: absent), payloads (how many show it), total (payloads
     of the ``by`` value) and status: ``ok``, ``type``, ``null`` (a JSON null), ``undeclared``, ``absent`` (payloads that can be
     parsed but lack a declared path whose parent they hold; top-level paths have no parent) or ``unparsed`` (path ``$``).
-    ``depth`` levels of nesting are walked.  One pass and one aggregation: a payload becomes its distinct (path, type) pairs,
-    which are counted with partial aggregation, so the shuffle holds paths, not payloads.
+    ``depth`` levels of nesting are walked.  A payload without arrays shows what its schema says, so such payloads are counted
+    by schema and only one of each (``by`` value, schema) is walked.  One with an array (its schema merges the elements) is walked
+    itself and becomes its distinct (path, type) pairs.  Both are counted with partial aggregation, and the counts written once.
     """
     kind = lambda v: F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
     node = "array<struct<path:string,value:variant>>"
@@ -131,14 +134,22 @@ def payload_drift(payloads: DataFrame, declared: T.StructType, by: str, text_col
         elements = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda e: F.struct(F.concat(path, F.lit("[]")).alias("path"), e.alias("value")))
         return F.coalesce(members, elements, F.array().cast(node))
 
-    rows = payloads.select(by, F.try_parse_json(text_col).alias("_v"))
-    rows = rows.select(by, "_v", children(F.lit(""), F.col("_v")).alias("_l1"))
+    shapes = payloads.select(by, F.col(text_col).alias("_text"), F.schema_of_variant(F.try_parse_json(text_col)).alias("_shape"))
+    listed = F.coalesce(F.contains("_shape", F.lit("ARRAY<")), F.lit(False))
+    plain = shapes.where(~listed).groupBy(by, "_shape").agg(F.min("_text").alias("_text"), F.count(F.lit(1)).alias("_n"))
+    rows = plain.select(by, "_text", "_n").unionByName(shapes.where(listed).select(by, "_text", F.lit(1).cast("bigint").alias("_n")))
+
+    rows = rows.select(by, "_n", F.try_parse_json("_text").alias("_v"))
+    rows = rows.select(by, "_n", "_v", children(F.lit(""), F.col("_v")).alias("_l1"))
     for d in range(1, depth):
         rows = rows.withColumn(f"_l{d + 1}", F.flatten(F.transform(f"_l{d}", lambda n: children(n["path"], n["value"]))))
     nodes = F.concat(*[f"_l{d}" for d in range(1, depth + 1)])
     shown = F.array_distinct(F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), kind(n["value"]).alias("seen"))))
     whole = F.array(F.struct(F.lit("$").alias("path"), F.coalesce(kind(F.col("_v")), F.lit("UNPARSED")).alias("seen")))
-    seen = rows.select(by, F.explode(F.concat(whole, shown)).alias("n")).groupBy(by, "n.path", "n.seen").agg(F.count(F.lit(1)).alias("payloads"))
+    seen = rows.select(by, "_n", F.explode(F.concat(whole, shown)).alias("n")).groupBy(by, "n.path", "n.seen").agg(F.sum("_n").alias("payloads"))
+    path = scratch_dir(payloads.sparkSession, "drift-seen")  # read by five branches below
+    seen.write.parquet(path)
+    seen = payloads.sparkSession.read.schema(seen.schema).parquet(path)
 
     top = seen.where("path = '$'").groupBy(by).agg(F.sum("payloads").alias("total"))
     unparsed = seen.where("path = '$' AND seen <> 'OBJECT'").select(by, "path", "seen", "payloads", F.lit(None).cast("string").alias("declared_type"), F.lit("unparsed").alias("status"))

@@ -184,3 +184,23 @@ def test_payload_drift_of_nested_payloads(spark):
         ("d2", "id", "BIGINT", 1, 1, "ok"), ("d2", "who", "OBJECT", 1, 1, "ok"), ("d2", "who.name", None, 1, 1, "absent"),
         ("d2", "who.age", None, 1, 1, "absent"), ("d2", "tags", "STRING", 1, 1, "type")}
     assert payload_drift(spark.createDataFrame([], "day string, payload_json string"), declared, "day").count() == 0
+
+
+def test_payload_drift_reads_its_payloads_once_or_twice(spark, tmp_root):
+    """One walk a schema, one more for payloads with arrays; the same counts however payloads share schemas."""
+    rows = [("d1", f'{{"id": {i}, "who": {{"name": "n{i}"}}}}') for i in range(40)] + [("d1", '{"id": 1, "ARRAY<x": null}'), (None, '{"id": 1}')]
+    rows += [("d1", f'{{"id": "{i}", "tags": [{i}, "b"]}}') for i in range(5)]
+    declared = T.StructType().add("id", "long").add("who", T.StructType().add("name", "string"))
+    spark.createDataFrame(rows, "day string, payload_json string").write.parquet(tmp_root)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    given = spark.read.parquet(tmp_root).mapInArrow(counted, "day string, payload_json string")
+    got = {(r.path, r.seen_type, r.payloads, r.total, r.status) for r in payload_drift(given, declared, "day").collect()}
+    assert got == {("id", "BIGINT", 41, 46, "ok"), ("id", "STRING", 5, 46, "type"), ("who", "OBJECT", 40, 46, "ok"), ("who", None, 6, 46, "absent"),
+                   ("who.name", "STRING", 40, 46, "ok"), ("ARRAY<x", "VOID", 1, 46, "undeclared"), ("tags", "ARRAY", 5, 46, "undeclared"),
+                   ("tags[]", "BIGINT", 5, 46, "undeclared"), ("tags[]", "STRING", 5, 46, "undeclared")}
+    assert reads.value <= 2 * len(rows)
