@@ -10,6 +10,7 @@ import pytest
 
 import corpus_pipeline
 from factlake.llm import bpe_codec, jaccard_forest, line_templates, quality_lines, queries, suffix_dedup
+from factlake.llm.common import giving_back
 from tests.conftest import SF_SMALL
 from tests.llm.brute import contamination, links, repeats, words
 from tools.oracle_compare import compare, register_views
@@ -65,6 +66,32 @@ def test_runs_of_short_periods(llm):
         assert got == dict(enumerate(repeats(texts)))
 
 
+def test_texts_are_cut_where_they_are(llm):
+    """Of the last stage only intervals go through Python, and a text of many runs is cut in one pass."""
+    random.seed(9)
+    passage = rnd(420)
+    texts = ["".join(passage + rnd(15, "uvé") for _ in range(300)), passage, "é" + passage, None, "short"]
+    df = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = suffix_dedup.remove_repeats(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("MapInArrow")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(df).collect()}
+    assert got == dict(enumerate(repeats(texts)))
+
+
+def test_worker_gives_memory_back():
+    resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096 >> 20
+    pins = []
+
+    def run(batches):
+        held = [bytes(600) for _ in range(400_000)]
+        pins.append(bytes(600))  # above the others: only a trim returns what is below
+        yield len(held)
+    before = resident()
+    assert list(giving_back(run)([])) == [400_000]
+    assert resident() - before < 80
+
+
 @pytest.mark.parametrize("unit", ["x", "ab", "one line of a ruler, as long as this\n"])
 def test_contexts_of_a_run_stay_in_proportion(unit):
     body = (unit * 300_000)[:300_000]
