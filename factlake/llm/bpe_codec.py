@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from factlake.llm.common import give_back, giving_back
 from factlake.session import scratch_dir
 
 BLOCK_CHARS = 32 << 20
@@ -220,6 +221,11 @@ class BlockWords:
 
 def _assemble(tokens, keep_ids: bool):
     def run(docs: pa.Table, messages: pa.Table) -> pa.Table:
+        out = assembled(docs, messages)
+        give_back()
+        return out
+
+    def assembled(docs: pa.Table, messages: pa.Table) -> pa.Table:
         words = BlockWords(messages.column("message").to_pylist(), tokens.value)
         doc_ids, n_tokens, ids_sha, decoded_sha, ids, decoded = [], [], [], [], [], []
         for of, data in zip(docs.column("doc_ids").to_pylist(), docs.column("codes").to_pylist()):
@@ -251,11 +257,11 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars:
     path = scratch_dir(spark, "bpe-blocks")
     name = "bpe_blocks_" + path.rsplit("-", 1)[-1]
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    (narrow.mapInArrow(_split(pattern, block_chars), BLOCKS).write.format("parquet").option("compression", "zstd").option("path", path)
+    (narrow.mapInArrow(giving_back(_split(pattern, block_chars)), BLOCKS).write.format("parquet").option("compression", "zstd").option("path", path)
      .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
     blocks = spark.table(name)
     words = blocks.filter("word is not null").select("word", "block", "number").repartition("word").sortWithinPartitions("word")
-    messages = words.mapInArrow(_encode(vocabulary, pattern), "block long, message binary")
+    messages = words.mapInArrow(giving_back(_encode(vocabulary, pattern)), "block long, message binary")
     documents = blocks.filter("word is null").select("block", "doc_ids", "codes")
     return documents.groupBy("block").cogroup(messages.groupBy("block")).applyInArrow(_assemble(tokens, keep_ids), schema)
 
