@@ -118,6 +118,21 @@ def restatement_events(facts: DataFrame, companies: DataFrame | None = None,
     return ev.select(*cols, generated_at().alias("_generated_at"), F.lit(run_id).alias("_run_id"))
 
 
+def with_standing(sequence: DataFrame) -> DataFrame:
+    """``fact_sequence`` with ``_next`` (NULL on a key's last row), ``assertion_count`` and ``was_restated`` of ordinary keys.
+
+    Taken on the sequence before it is written they cost no shuffle or sort; rows of hot keys have NULLs."""
+    w = Window.partitionBy(*FACT_KEY).orderBy(*[F.col(c) for c in FACT_ORDER])
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cold = sequence.where(~F.col(HOT_FLAG)).select(
+        "*", F.lead(F.lit(1)).over(w).alias("_next"),
+        F.count(F.lit(1)).over(whole).cast("int").alias("assertion_count"),
+        F.max(F.col("is_restatement")).over(whole).alias("was_restated"))
+    hot = sequence.where(F.col(HOT_FLAG)).select("*", F.lit(None).cast("int").alias("_next"), F.lit(None).cast("int").alias("assertion_count"),
+                                                 F.lit(None).cast("boolean").alias("was_restated"))
+    return cold.unionByName(hot)
+
+
 def financials_current(facts: DataFrame, companies: DataFrame | None = None,
                        sequence: DataFrame | None = None, run_id: str = RUN_ID) -> DataFrame:
     """Latest assertion per fact key (greatest filed_date, then accession), with
@@ -130,15 +145,10 @@ def financials_current(facts: DataFrame, companies: DataFrame | None = None,
     are reduced by a keyed aggregate with partial combine instead.
     """
     seq = sequence if sequence is not None else fact_sequence(facts)
+    if "_next" not in seq.columns:
+        seq = with_standing(seq)
     payload = ["value", "decimals", "fiscal_year", "fiscal_period", "accession_number", "form_type", "filed_date"]
-    w = Window.partitionBy(*FACT_KEY).orderBy(*[F.col(c) for c in FACT_ORDER])
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cold = seq.where(~F.col(HOT_FLAG)).select(
-        *FACT_KEY, *payload,
-        F.lead(F.lit(1)).over(w).alias("_next"),
-        F.count(F.lit(1)).over(whole).cast("int").alias("assertion_count"),
-        F.max(F.col("is_restatement")).over(whole).alias("was_restated"))
-    cold = cold.where(F.col("_next").isNull()).drop("_next")
+    cold = seq.where(~F.col(HOT_FLAG) & F.col("_next").isNull()).select(*FACT_KEY, *payload, "assertion_count", "was_restated")
     latest = F.max_by(F.struct(*payload), F.struct(*[F.col(c) for c in FACT_ORDER]))
     hot = (seq.where(F.col(HOT_FLAG)).groupBy(*FACT_KEY)
            .agg(latest.alias("l"), F.count(F.lit(1)).cast("int").alias("assertion_count"),

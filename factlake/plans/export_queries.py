@@ -50,8 +50,8 @@ def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # silver.filing feeds three marts and the manifest: written once, read back.
     G.silver_filings(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/silver/filing")
     filings = spark.read.parquet(f"{root}/silver/filing")
-    # One ordered pass over the facts feeds two marts: written once, read back.
-    gold.fact_sequence(facts).write.parquet(f"{root}/gold/sequence")
+    # One ordered pass over the facts feeds two marts, the latest rows marked in it: written once, read back.
+    gold.with_standing(gold.fact_sequence(facts)).write.parquet(f"{root}/gold/sequence")
     seq = spark.read.parquet(f"{root}/gold/sequence")
     gold.restatement_events(facts, comps, sequence=seq).write.parquet(f"{root}/gold/events")
     events = spark.read.parquet(f"{root}/gold/events")

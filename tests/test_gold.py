@@ -154,3 +154,18 @@ def test_sketches_of_days_unite_over_any_span(spark):
         exact = {r[0]: r.n for r in filings.groupBy(*by).agg(F.countDistinct("cik").alias("n")).collect()}
         assert sum(r.filing_count for r in got) == 200000 and sum(r.amendment_count for r in got) == 40000
         assert all(abs(r.distinct_cik_estimate - exact[r[0]]) <= gold.SKETCH_BOUND * exact[r[0]] for r in got)
+
+
+def test_latest_rows_are_marked_in_the_pass_of_the_sequence(spark, tmp_root):
+    """Marking them adds no shuffle or sort, and the latest view of the written sequence needs no window."""
+    facts = B.facts_from_lineitem(B.table(spark, SF_SMALL, "lineitem"))
+    seq = gold.with_standing(gold.fact_sequence(facts))
+    plan = seq._jdf.queryExecution().sparkPlan().toString()
+    physical = seq._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") >= 3 and physical.count("Exchange hashpartitioning") == 1 and physical.count("Sort [") == 1
+    seq.write.parquet(tmp_root)
+    latest = gold.financials_current(facts, sequence=spark.read.parquet(tmp_root))
+    physical = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in physical
+    plain = gold.financials_current(facts)
+    assert latest.exceptAll(plain).isEmpty() and plain.exceptAll(latest).isEmpty() and plain.count() > 0
