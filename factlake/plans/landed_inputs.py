@@ -97,12 +97,19 @@ def land_documents(spark: SparkSession, sf_dir: str, root: str | None = None, ca
     return root
 
 
+def _index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.index_rows_from_events(B.table(spark, sf_dir, "events"), extra=("ts", "event_type", "props", "value"))
+
+
 def index_envelopes_with_extras(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """filing_index envelopes; payloads of 'error' events carry two undeclared keys."""
+    return _with_extras(_index_rows(spark, sf_dir), keep)
+
+
+def _with_extras(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     from factlake.functions import keys as K
     from factlake.sources.landing import build_envelope, rfc3339
 
-    rows = B.index_rows_from_events(B.table(spark, sf_dir, "events"), extra=("ts", "event_type", "props", "value"))
     fields = {f.name: F.col(f.name) for f in C.INDEX_PAYLOAD.fields}
     plain = K.canonical_json(K.sorted_struct(**fields))
     extra = K.canonical_json(K.sorted_struct(**fields, props=F.parse_json("props"), severity=F.lit("high")))
@@ -146,16 +153,20 @@ def land_faulty_lines(spark: SparkSession, sf_dir: str) -> str:
 
 def land_index(spark: SparkSession, sf_dir: str, root: str | None = None,
                dates: tuple[str | None, str | None] = (None, None)) -> str:
-    """Land the filing_index envelopes, optionally only logical dates in [from, to)."""
-    from factlake.sinks.landing import write_stream
+    """Land the filing_index envelopes, optionally only logical dates in [from, to).
+
+    Index rows are dealt before their envelopes are made: narrow rows are shuffled, and the payloads
+    are built in as many tasks as the shuffle has, not in the few that scan the events."""
+    from factlake.sinks.landing import deal, write_stream
 
     root = root or scratch_dir(spark, "landing")
-    env = index_envelopes_with_extras(spark, sf_dir)
+    rows = _index_rows(spark, sf_dir)
     if dates[0]:
-        env = env.where(F.col("logical_date") >= dates[0])
+        rows = rows.where(F.col("logical_date") >= F.lit(dates[0]).cast("date"))
     if dates[1]:
-        env = env.where(F.col("logical_date") < dates[1])
-    write_stream(env, root, "filing_index")
+        rows = rows.where(F.col("logical_date") < F.lit(dates[1]).cast("date"))
+    env = _with_extras(deal(rows, resource="accession_number"))
+    write_stream(env, root, "filing_index", dealt=True)
     return root
 
 

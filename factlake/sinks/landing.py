@@ -21,11 +21,16 @@ from factlake.session import shuffle_width
 FILES_PER_DATE = 16  # buckets a date is written in; raise it with the size of a day
 
 
-def _dealt(envelopes: DataFrame, files: int) -> DataFrame:
-    """Rows of one (date, bucket of resource ids) together and sorted, buckets spread over the tasks."""
-    bucket = F.pmod(F.xxhash64("resource_id"), F.lit(files))
-    return (envelopes.select(*C.ENVELOPE_FIELDS)
-            .repartition(shuffle_width(envelopes.sparkSession), F.col("logical_date"), bucket)
+def deal(rows: DataFrame, date: str = "logical_date", resource: str = "resource_id", files: int = FILES_PER_DATE) -> DataFrame:
+    """Rows of one (date, bucket of resource ids) together, buckets spread over the tasks."""
+    bucket = F.pmod(F.xxhash64(resource), F.lit(files))
+    return rows.repartition(shuffle_width(rows.sparkSession), F.col(date), bucket)
+
+
+def _sorted(envelopes: DataFrame, files: int, dealt: bool = False) -> DataFrame:
+    """Dealt rows in the order they are written in."""
+    rows = envelopes.select(*C.ENVELOPE_FIELDS)
+    return ((rows if dealt else deal(rows, files=files))
             .sortWithinPartitions("logical_date", "resource_id", "content_sha256", *[f for f in C.ENVELOPE_FIELDS if f not in ("logical_date", "resource_id", "content_sha256")]))
 
 
@@ -33,9 +38,11 @@ def stream_root(root: str, stream: str) -> str:
     return f"{root.rstrip('/')}/edgar/{stream}"
 
 
-def write_stream(envelopes: DataFrame, root: str, stream: str, files: int = FILES_PER_DATE) -> None:
-    """Write one stream's envelopes under ``logical_date=`` partitions (dynamic overwrite)."""
-    (_dealt(envelopes.where(F.col("stream") == stream), files)
+def write_stream(envelopes: DataFrame, root: str, stream: str, files: int = FILES_PER_DATE, dealt: bool = False) -> None:
+    """Write one stream's envelopes under ``logical_date=`` partitions (dynamic overwrite).
+
+    ``dealt`` says that they were made from rows that ``deal`` has dealt: they are not shuffled again."""
+    (_sorted(envelopes.where(F.col("stream") == stream), files, dealt)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", "gzip").partitionBy("logical_date")
      .json(stream_root(root, stream)))
@@ -43,7 +50,7 @@ def write_stream(envelopes: DataFrame, root: str, stream: str, files: int = FILE
 
 def write_batch(envelopes: DataFrame, root: str, stream: str, logical_date: str, files: int = FILES_PER_DATE) -> None:
     """Write one (stream, date) batch into its own directory, replacing it even when empty."""
-    (_dealt(envelopes, files)
+    (_sorted(envelopes, files)
      .write.mode("overwrite").option("compression", "gzip")
      .json(f"{stream_root(root, stream)}/logical_date={logical_date}"))
 

@@ -35,18 +35,25 @@ def landing_stream(spark: SparkSession, root: str, stream: str, max_files: int |
 LANDED = ["resource_id", "content_sha256"]
 
 
+def _keyed(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its ``LANDED`` columns as keys that are never null, and their names; the hash leads, as
+    it is told apart by its first bytes when rows are sorted."""
+    keys = {f"_{c}": F.coalesce(c, F.lit("")) for c in LANDED[::-1]} | {f"_no_{c}": F.col(c).isNull() for c in LANDED}
+    return df.withColumns(keys), list(keys)
+
+
 def unseen(batch: DataFrame, seen: DataFrame | None) -> DataFrame:
     """One envelope per (resource_id, content hash) of ``batch`` that ``seen`` does not hold.
 
     However old an envelope is, it is dropped only if the same content is there already.  Of copies
-    in one batch the earliest fetch stays (ties by file).  An unreadable line counts by its raw text."""
-    batch = batch.withColumn("content_sha256", F.coalesce("content_sha256", F.sha2(CORRUPT, 256)))
-    w = Window.partitionBy(*LANDED).orderBy("logical_date", "fetched_at", "_source_file")
+    in one batch the earliest fetch stays (ties by file).  An unreadable line counts by its raw text.
+    Window and join share their keys, so the envelopes are shuffled and sorted by them once."""
+    batch, keys = _keyed(batch.withColumn("content_sha256", F.coalesce("content_sha256", F.sha2(CORRUPT, 256))))
+    w = Window.partitionBy(*keys).orderBy("logical_date", "fetched_at", "_source_file")
     one = batch.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
-    if seen is None:
-        return one
-    same = [one[c].eqNullSafe(seen[c]) for c in LANDED]
-    return one.join(seen, same[0] & same[1], "left_anti")
+    if seen is not None:
+        one = one.join(_keyed(seen)[0].select(*keys), keys, "left_anti")
+    return one.drop(*keys)
 
 
 def bronze_stream(spark: SparkSession, landing_root: str, table_path: str, checkpoint: str,

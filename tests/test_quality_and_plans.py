@@ -10,6 +10,7 @@ from factlake.plans import bindings as B
 from factlake.plans import landed_inputs as L
 from factlake.plans import requests as R
 from factlake.session import scratch_dir
+from factlake.sources.landing import read_landing
 from factlake.streaming import ingest
 from tests.conftest import SF_SMALL
 
@@ -151,6 +152,39 @@ def test_stream_dedupes_relanded_envelopes(spark):
     assert spark.read.parquet(plain_t).count() == 2 * n
 
 
+def test_stream_dedupe_shuffles_its_envelopes_once(spark):
+    schema = "resource_id string, content_sha256 string, logical_date string, fetched_at string, _source_file string, _corrupt_record string"
+    rows = [("r1", "h1", "2024-01-02", "t", "f2", None), ("r1", "h1", "2024-01-01", "t", "f1", None), ("r2", "h1", "2024-01-01", "t", "f1", None),
+            (None, "h1", "2024-01-01", "t", "f1", None), ("", "h1", "2024-01-01", "t", "f1", None), (None, None, "2024-01-01", "t", "f1", "{cut"),
+            (None, None, "2024-01-01", "t", "f1", None), (None, None, "2024-01-03", "t", "f1", None)]
+    batch = spark.createDataFrame(rows, schema)
+    seen = spark.createDataFrame([("r2", "h1"), (None, "h1"), ("r9", "h9")], "resource_id string, content_sha256 string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = ingest.unseen(batch, seen)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.resource_id or "", r.resource_id is None, r.content_sha256 or "", r.logical_date) for r in new.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2  # the batch once, the keys once
+    cut = spark.sql("SELECT sha2('{cut', 256)").first()[0]
+    assert got == sorted([("r1", False, "h1", "2024-01-01"), ("", False, "h1", "2024-01-01"), ("", True, cut, "2024-01-01"), ("", True, "", "2024-01-01")])
+    assert new.columns == batch.columns
+
+
+def test_landed_index_rows_are_dealt_before_their_envelopes_are_made(spark, monkeypatch):
+    from factlake.sinks import landing as sink
+    made = []
+    monkeypatch.setattr(sink, "_sorted", lambda env, files, dealt=False, real=sink._sorted: made.append(real(env, files, dealt)) or made[-1])
+    root = L.land_index(spark, SF_SMALL, dates=("2024-01-10", "2024-01-12"))
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "sha2" not in plan[plan.index("Exchange"):]
+    env = L.index_envelopes_with_extras(spark, SF_SMALL).where("logical_date >= '2024-01-10' AND logical_date < '2024-01-12'")
+    got = read_landing(spark, root, "filing_index").select(*env.columns).withColumn("logical_date", F.col("logical_date").cast("string"))
+    assert env.count() > 0 and env.exceptAll(got).count() == 0 and got.exceptAll(env).count() == 0
+
+
 def test_ties_do_not_depend_on_input_order(spark):
     from factlake.operators.merge import merge_upsert, scd2_history
     rows = [("k", "2024-01-01", "a"), ("k", "2024-01-01", "b")]
